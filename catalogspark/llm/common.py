@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from catalogspark.session import ship
 
-#: Rows up to which a side may be broadcast; its callers' rows are a few numbers each.
-BROADCAST_ROWS = 50_000
+#: Counted rows up to which a side is broadcast. Its rows are a few numbers each, so it stays under some 30 MB.
+BROADCAST_ROWS = 500_000
 
 #: A row without an id sorts after all rows that have one.
 NO_ID = (1 << 63) - 1

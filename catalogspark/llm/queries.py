@@ -7,16 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.llm import mixing, packing, quality, shard
+from catalogspark.llm import embeddings, licenses, lines, minhash, mixing, packing, quality, shard, substring, suffix
 from catalogspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     col = lambda c: F.col(f"{quality.LEDGER}.{c}")
@@ -34,6 +54,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_source_mixing, op7_quality_rules, op8_packing, op9_sharding)}
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
