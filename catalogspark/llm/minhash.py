@@ -223,3 +223,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> Data
     out = rows.select("doc_id", "n", "sum_a", "sum_b").join(checkpoint(placed), ["n", "sum_a", "sum_b"], "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))).withColumn("component_id", F.nullif("component_id", F.lit(NO_ID)))
+
+
+def drop_near(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """docs without the documents whose component has a smaller id; docs' own columns."""
+    lost = checkpoint(near_duplicates(docs, percent).where("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__lost")).distinct())
+    return docs.join(small_side(lost, lost.count()), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__lost"), "left_anti")
