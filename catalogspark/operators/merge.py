@@ -67,7 +67,9 @@ def survivors(columns: list[str], seq: str = "seq", keep_base_title: bool = Fals
 
 
 def canonical(rows: DataFrame) -> DataFrame:
-    """rows with their title_key, year and url_key."""
+    """rows with their title_key, year and url_key; rows that have them are left as they are."""
+    if "title_key" in rows.columns and "year" in rows.columns:
+        return rows
     out = rows.withColumns({"title_key": X.title_key(F.col("movie_title")), "year": X.year_of(F.col("release_date"))})
     return out.withColumn("url_key", U.url_key(F.col("bluray_url"))) if "bluray_url" in rows.columns else out
 
