@@ -7,8 +7,8 @@
    threshold of 0.8 a pair is missed with a chance of (1 - 0.8**4)**20, or 3 in
    100,000, and less above it. Band keys travel packed; only keys that two
    different lines share become rows.
-3. Exact Jaccard on the lines' characters decides: first against the smallest
-   line of each list, then for all pairs of a list that are still apart.
+3. Exact Jaccard on the lines' characters decides; long lists are linked through
+   hubs, exactly and without testing all their pairs (see linking.py).
 4. Distributed union-find joins the links, and of each component the line that
    comes first by (document, line number) stays.
 
@@ -32,7 +32,7 @@ from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
 from catalogspark.llm.common import NO_ID, checkpoint, small_side
 from catalogspark.llm.components import connected
-from catalogspark.llm.minhash import first_pairs, other_pairs
+from catalogspark.llm.linking import links
 
 SHINGLE = 8
 PERCENT = 80
@@ -204,29 +204,16 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, line_text binary")
 
 
-def _exact(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        left, right = batch.column("xa").to_pylist(), batch.column("xb").to_pylist()
-        for i in range(0, len(left), 256):
-            (p, pb), (q, qb) = char_shingles(left[i : i + 256]), char_shingles(right[i : i + 256])
-            for k in range(len(pb) - 1):
-                a, b = np.unique(p[pb[k] : pb[k + 1]]), np.unique(q[qb[k] : qb[k + 1]])
-                both = np.sort(np.concatenate([a, b]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(both) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _sets(bodies: list[bytes]) -> list[np.ndarray]:
+    grams, bounds = char_shingles(bodies)
+    return [np.unique(grams[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
-def verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose lines' exact Jaccard reaches the threshold; checkpointed."""
-    pairs = checkpoint(pairs)
-    asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    wanted = checkpoint(places.join(asked, "key").select("key", "doc_id", "line"))
-    found = line_texts(docs, wanted).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
-    texts = checkpoint(found)
-    full = pairs.join(texts.toDF("a", "xa"), "a").join(texts.toDF("b", "xb"), "b").select("a", "b", "xa", "xb")
-    return checkpoint(full.mapInArrow(lambda it: _exact(it, percent), "a long, b long"))
+def bodies(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, body): the text of each wanted line."""
+    asked = checkpoint(places.join(wanted.withColumnRenamed("rep", "key"), "key").select("key", "doc_id", "line"))
+    found = line_texts(docs, asked).join(asked.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    return found.toDF("rep", "body")
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
@@ -253,9 +240,7 @@ def line_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     place = signed.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("p"))
     places = checkpoint(place.select("key", "p.doc_id", "p.line"))
     lists = checkpoint(candidate_lists(signed, chunks))
-    links = verified(first_pairs(lists, 1), places, docs, percent)
-    more = verified(other_pairs(lists, connected(links), 1), places, docs, percent)
-    return places, connected(links.union(more))
+    return places, connected(links(lists, lambda wanted: bodies(docs, places, wanted), _sets, percent))
 
 
 def judged_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

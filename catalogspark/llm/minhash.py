@@ -9,11 +9,10 @@
    rarest values. Values are ordered by how many classes retain them, and a class
    is listed under its rarest ones: a value that many unrelated documents share
    lists none of them, unless they share most of their sketch.
-3. Pairs: every list first links each member to its smallest member. The union
-   sketch (the K smallest of both) estimates the similarity and drops pairs far
-   below T; exact Jaccard on full sets decides. Lists whose members are then all
-   in one component are done. In the others every pair that lies in different
-   components is tested too, so the components are those of all links.
+3. Links: pairs of short lists are first estimated by the union sketch (the K
+   smallest values of both), then decided by exact Jaccard on full sets. Long
+   lists are linked through hubs, exactly and without testing all their pairs
+   (see linking.py).
 4. Components by distributed union-find.
 
 Defined cases: null or empty texts have an empty set and link with nothing; texts
@@ -34,6 +33,7 @@ from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
 from catalogspark.llm.common import NO_ID, checkpoint, small_side
 from catalogspark.llm.components import connected
+from catalogspark.llm.linking import links
 
 SHINGLE = 5
 PERCENT = 85
@@ -141,30 +141,6 @@ def inverted_lists(classes: DataFrame, n_rows: int, most: int) -> DataFrame:
     return dealt.cogroup(counted.groupBy("chunk")).applyInArrow(lambda l, r: _list_values(l, r, most), "value long, rep long, n long")
 
 
-def sizes_allow(a: str, b: str, percent: int):
-    """A set can only reach the threshold with one of nearly its size."""
-    return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
-
-
-def first_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each member of a list with the list's smallest."""
-    hubs = lists.groupBy("value").agg(F.min(F.struct("rep", "n")).alias("hub"))
-    both = lists.join(hubs, "value").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"))
-    return both.where((F.col("a") != F.col("b")) & sizes_allow("na", "nb", percent)).select("a", "b").distinct()
-
-
-def other_pairs(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a list that lie in different components, without the list's smallest member, which is tested."""
-    placed = lists.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
-    placed = checkpoint(placed)
-    heads = placed.groupBy("value").agg(F.min(F.struct("rep", "c")).alias("hub"), F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("m > 2 and lo < hi")
-    open_lists = placed.join(heads.select("value", F.col("hub.rep").alias("hub"), F.col("hub.c").alias("hc")), "value").where("rep != hub")
-    few = open_lists.where("c != hc").select("value", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"))
-    pairs = few.join(open_lists.select("value", F.col("rep").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny")), "value")
-    pairs = pairs.where((F.col("cx") != F.col("cy")) & sizes_allow("nx", "ny", percent))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def _estimate(batches: Iterator[pa.RecordBatch], lowest: float, k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -179,36 +155,31 @@ def _estimate(batches: Iterator[pa.RecordBatch], lowest: float, k: int) -> Itera
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _exact(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([p, q])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * shared >= percent * (len(both) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in B.slices(batches, "text"):
         keys, bounds = shingle_sets(*B.utf8(part.column("text")))
         data = keys.tobytes()
         rows = [data[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(), pa.array(rows, pa.binary())], names=["rep", "keys"])
+        yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(), pa.array(rows, pa.binary())], names=["rep", "body"])
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """The pairs that pass the union-sketch estimate and then exact Jaccard on full sets; checkpointed."""
+def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int = K) -> DataFrame:
+    """The pairs whose union sketch allows for the threshold."""
     sketch = classes.select("rep", "sketch")
     near = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-    near = checkpoint(near.mapInArrow(lambda it: _estimate(it, lowest_estimate(percent, k), k), "a long, b long"))
-    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text").join(small_side(wanted, wanted.count()), "doc_id")
-    sets = texts.mapInArrow(_sets, "rep long, keys binary")
-    full = near.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b").select("a", "b", "xa", "xb")
-    return checkpoint(full.mapInArrow(lambda it: _exact(it, percent), "a long, b long"))
+    return near.mapInArrow(lambda it: _estimate(it, lowest_estimate(percent, k), k), "a long, b long")
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, body): the whole shingle sets of the wanted documents; only those leave the scan where they are few."""
+    wanted = checkpoint(wanted)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+    chosen = rows.join(small_side(wanted.withColumnRenamed("rep", "doc_id"), wanted.count()), "doc_id")
+    return chosen.mapInArrow(_sets, "rep long, body binary").dropDuplicates(["rep"])
+
+
+def _arrays(bodies: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in bodies]
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
@@ -216,9 +187,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> Data
     rows = checkpoint(sketches(docs, k))
     classes = checkpoint(rows.where("n > 0").groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")))
     lists = checkpoint(inverted_lists(classes, classes.count(), listed(percent, k)))
-    links = verified(first_pairs(lists, percent), classes, docs, percent, k)
-    more = verified(other_pairs(lists, connected(links), percent), classes, docs, percent, k)
-    parts = connected(links.union(more))
+    found = links(lists, lambda wanted: full_sets(docs, wanted), _arrays, percent, lambda pairs: estimated(pairs, classes, percent, k))
+    parts = connected(found)
     placed = classes.select("n", "sum_a", "sum_b", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sum_a", "sum_b", F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("doc_id", "n", "sum_a", "sum_b").join(checkpoint(placed), ["n", "sum_a", "sum_b"], "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
