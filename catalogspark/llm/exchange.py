@@ -68,32 +68,61 @@ def reply(table: pa.Table, rows: np.ndarray, fields: dict[str, np.ndarray]) -> p
     return pa.table({"chunk": pa.array(chunks[np.array(packed["bucket"], np.int64)].astype(np.int32))} | {k: pa.array(v, pa.binary()) for k, v in packed.items() if k != "bucket"})
 
 
-def send_repeats(keys: np.ndarray, ids: np.ndarray, chunk: int, buckets: int) -> pa.Table:
+def key_bytes(chunks: int) -> int:
+    """Bytes of a fingerprint that the first exchange carries.
+
+    Its answers only choose what the next step looks at whole, so a chance match
+    costs work and no result. Some 2 ** 17 keys a chunk, and under one chance
+    match in a hundred keys.
+    """
+    return min(8, max(5, -(-(chunks.bit_length() + 17 + 7) // 8)))
+
+
+def narrow(keys: np.ndarray, width: int) -> np.ndarray:
+    """The upper `width` bytes of each key, as numbers."""
+    return keys >> np.uint64(64 - 8 * width)
+
+
+def _to_bytes(keys: np.ndarray, width: int) -> np.ndarray:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
+
+
+def unpack_keys(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Narrow keys of all rows, and the row of each."""
+    parts = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in table.column("keys").to_pylist()]
+    rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    out = np.zeros((len(rows), 8), np.uint8)
+    if len(rows):
+        out[:, :width] = np.concatenate(parts)
+    return out.view("<u8").reshape(-1), rows
+
+
+def send_repeats(keys: np.ndarray, ids: np.ndarray, chunk: int, buckets: int, width: int = 8) -> pa.Table:
     """First exchange, sending side: each distinct key of the chunk, and whether several of its documents have it."""
-    distinct, low, high, _ = smallest(keys, ids)
+    distinct, low, high, _ = smallest(narrow(keys, width), ids)
     bucket = (distinct % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    packed = by_bucket(bucket[order], {"keys": distinct[order], "several": (low < high)[order]})
+    packed = by_bucket(bucket[order], {"keys": _to_bytes(distinct[order], width), "several": (low < high)[order]})
     return pa.table({"bucket": pa.array(packed["bucket"], pa.int32()), "chunk": pa.array([chunk] * len(packed["bucket"]), pa.int32()), "keys": pa.array(packed["keys"], pa.binary()), "several": pa.array(packed["several"], pa.binary())})
 
 
-def find_repeats(table: pa.Table) -> pa.Table:
+def find_repeats(table: pa.Table, width: int = 8) -> pa.Table:
     """First exchange, bucket side: tell every chunk which of its keys stand in another document too."""
-    keys, rows = unpack(table, "keys", np.uint64)
+    keys, rows = unpack_keys(table, width)
     several, _ = unpack(table, "several", np.bool_)
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     hit = several.copy()
     hit[order[1:][same]] = True
     hit[order[:-1][same]] = True
-    return reply(table, rows[hit], {"keys": keys[hit]})
+    return reply(table, rows[hit], {"keys": _to_bytes(keys[hit], width)})
 
 
 SENT = "bucket int, chunk int, keys binary, several binary"
 REPEATED = "chunk int, keys binary"
 
 
-def repeats(docs: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
-    """Per chunk, the keys of keys_of(chunk) -> (keys, doc ids) that occur in two documents or more."""
-    sent = docs.groupBy("chunk").applyInArrow(lambda key, t: send_repeats(*keys_of(t), key[0].as_py(), buckets), SENT)
-    return sent.groupBy("bucket").applyInArrow(lambda t: find_repeats(t), REPEATED)
+def repeats(docs: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], buckets: int, width: int = 8) -> DataFrame:
+    """Per chunk, the (narrow) keys of keys_of(chunk) -> (keys, doc ids) that occur in two documents or more."""
+    sent = docs.groupBy("chunk").applyInArrow(lambda key, t: send_repeats(*keys_of(t), key[0].as_py(), buckets, width), SENT)
+    return sent.groupBy("bucket").applyInArrow(lambda t: find_repeats(t, width), REPEATED)

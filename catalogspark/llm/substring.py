@@ -80,14 +80,14 @@ def chunk_anchors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _joined(out)
 
 
-def extend(chunk: int, table: pa.Table, repeated: pa.Table, buckets: int) -> pa.Table:
+def extend(chunk: int, table: pa.Table, repeated: pa.Table, buckets: int, width: int = 8) -> pa.Table:
     """The windows around the chunk's repeated anchors, each once, with the chunk's smallest document."""
-    known = np.sort(X.unpack(repeated, "keys", np.uint64)[0])
+    known = np.sort(X.unpack_keys(repeated, width)[0])
     out = []
     for part in B.slices([table], "text") if len(known) else ():
         w = Words(part)
         at, grams = w.anchors()
-        at = at[B.find(known, grams)[1]]
+        at = at[B.find(known, X.narrow(grams, width))[1]]
         near = B.covered(np.maximum(at - (WINDOW - ANCHOR), 0), np.minimum(at, WINDOW - ANCHOR) + 1, len(w.codes))
         places, windows = w.windows(WINDOW)
         use = near[places]
@@ -137,8 +137,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     rows, chunks = X.chunked(docs)
     buckets = max(1, chunks // 4)
-    again = X.repeats(rows, chunk_anchors, buckets)
-    sent = rows.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(lambda key, l, r: extend(key[0].as_py(), l, r, buckets), "bucket int, chunk int, keys binary, ids binary")
+    width = X.key_bytes(chunks)
+    again = X.repeats(rows, chunk_anchors, buckets, width)
+    sent = rows.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(lambda key, l, r: extend(key[0].as_py(), l, r, buckets, width), "bucket int, chunk int, keys binary, ids binary")
     earlier = sent.groupBy("bucket").applyInArrow(lambda t: find_earlier(t), "chunk int, keys binary")
     out = rows.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(lambda l, r: remove(l, r), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

@@ -54,6 +54,16 @@ _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
+def context_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lefts: np.ndarray) -> np.ndarray:
+    """Fingerprint of each context and of its anchor's place; in pieces, so that memory stays small."""
+    out = [np.zeros(0, np.uint64)]
+    for i in range(0, len(starts), 4096):
+        a, n = starts[i : i + 4096], sizes[i : i + 4096].astype(np.int64)
+        codes = B.BYTE_CODES[data[a[0] : a[-1] + n[-1]]]
+        out.append(B.mix(B.span_hashes(codes, a - a[0], a - a[0] + n) + lefts[i : i + 4096].astype(np.uint64)))
+    return np.concatenate(out)
+
+
 class Runs:
     """Runs of windows of a block by anchor: first and last start, anchor place, fingerprint and document."""
 
@@ -103,14 +113,14 @@ def take_spans(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return buf[np.repeat(starts - (done - lengths), lengths) + np.arange(done[-1] if len(done) else 0)]
 
 
-def send_contexts(chunk: int, table: pa.Table, repeated: pa.Table, buckets: int) -> pa.Table:
+def send_contexts(chunk: int, table: pa.Table, repeated: pa.Table, buckets: int, width: int = 8) -> pa.Table:
     """Each distinct context of the chunk's repeated anchors, with the chunk's smallest document."""
-    known = np.sort(X.unpack(repeated, "keys", np.uint64)[0])
+    known = np.sort(X.unpack_keys(repeated, width)[0])
     fields: list[list[np.ndarray]] = []
     spans: list[np.ndarray] = []
     for part in B.slices([table], "text") if len(known) else ():
         r = Runs(part)
-        use = np.flatnonzero(B.find(known, r.gram)[1])
+        use = np.flatnonzero(B.find(known, X.narrow(r.gram, width))[1])
         size = r.last[use] - r.first[use] + WINDOW
         fields.append([r.contexts()[use], r.ids[r.doc[use]], r.gram[use], r.anchor[use] - r.first[use], size])
         spans.append(take_spans(r.buf, r.first[use], size))
@@ -118,12 +128,12 @@ def send_contexts(chunk: int, table: pa.Table, repeated: pa.Table, buckets: int)
         fields, spans = [[np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]], [np.zeros(0, np.uint8)]
     keys, ids, gram, left, size = (np.concatenate(x) for x in zip(*fields, strict=True))
     data, begin = np.concatenate(spans), np.cumsum(size) - size
-    distinct, low, _, one = X.smallest(keys, ids)
+    _, low, _, one = X.smallest(keys, ids)
     bucket = (gram[one] % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     one = one[order]
-    packed = X.by_bucket(bucket[order], {"keys": distinct[order], "ids": low[order], "lefts": left[one].astype(np.uint8), "sizes": size[one].astype(np.uint8)}, size[one], take_spans(data, begin[one], size[one]).tobytes())
-    return pa.table({"bucket": pa.array(packed.pop("bucket"), pa.int32()), "chunk": pa.array([chunk] * len(packed["keys"]), pa.int32())} | {k: pa.array(v, pa.binary()) for k, v in packed.items()})
+    packed = X.by_bucket(bucket[order], {"ids": low[order], "lefts": left[one].astype(np.uint8), "sizes": size[one].astype(np.uint8)}, size[one], take_spans(data, begin[one], size[one]).tobytes())
+    return pa.table({"bucket": pa.array(packed.pop("bucket"), pa.int32()), "chunk": pa.array([chunk] * len(packed["ids"]), pa.int32())} | {k: pa.array(v, pa.binary()) for k, v in packed.items()})
 
 
 def _least_between(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -175,10 +185,11 @@ def window_groups(rounds, m: int, columns: int) -> Iterator[tuple[int, np.ndarra
 
 def find_earlier(table: pa.Table) -> pa.Table:
     """A bucket's contexts: one bit a window, set where a smaller document than the sender's has it."""
-    keys, rows = X.unpack(table, "keys", np.uint64)
-    ids, lefts, sizes = (X.unpack(table, name, kind)[0] for name, kind in (("ids", np.int64), ("lefts", np.uint8), ("sizes", np.uint8)))
+    ids, rows = X.unpack(table, "ids", np.int64)
+    lefts, sizes = (X.unpack(table, name, np.uint8)[0] for name in ("lefts", "sizes"))
     data, _ = X.unpack(table, "data", np.uint8)
     begin = np.cumsum(sizes, dtype=np.int64) - sizes
+    keys = context_keys(data, begin, sizes, lefts)
     distinct, low, _, one = X.smallest(keys, ids)
     back, _ = B.find(distinct, keys)
     m = len(distinct)
@@ -247,8 +258,9 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     rows, chunks = X.chunked(docs)
     buckets = max(1, chunks // 4)
-    again = X.repeats(rows, chunk_grams, buckets)
-    sent = rows.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(lambda key, l, r: send_contexts(key[0].as_py(), l, r, buckets), "bucket int, chunk int, keys binary, ids binary, lefts binary, sizes binary, data binary")
+    width = X.key_bytes(chunks)
+    again = X.repeats(rows, chunk_grams, buckets, width)
+    sent = rows.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(lambda key, l, r: send_contexts(key[0].as_py(), l, r, buckets, width), "bucket int, chunk int, ids binary, lefts binary, sizes binary, data binary")
     earlier = sent.groupBy("bucket").applyInArrow(lambda t: find_earlier(t), "chunk int, keys binary, bits binary")
     out = rows.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(lambda l, r: remove(l, r), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
