@@ -60,4 +60,27 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: The copies of each document, by the closed form of the Poisson terms.
+MIXING_SQL = """
+WITH c AS (SELECT coalesce(source, chr(0) || 'none') AS s, count(*) AS n FROM documents GROUP BY 1), t AS (SELECT sum(n) AS total, sum(sqrt(n)) AS w FROM c),
+r AS (SELECT s, sqrt(n) / w * total / n AS rate FROM c, t),
+d AS (SELECT doc_id, source, rate, coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM documents JOIN r ON coalesce(source, chr(0) || 'none') = s),
+u AS (SELECT *, (CAST('0x' || substr(md5('mixture:' || k), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM d),
+p AS (SELECT *, len(list_filter(range(0, 60), lambda i: list_sum(list_transform(range(0, i + 1), lambda j: exp(-rate + j * ln(rate) - lgamma(j + 1)))) < u)) AS n_copies FROM u),
+e AS (SELECT *, unnest(range(0, n_copies)) AS copy FROM p)
+SELECT doc_id, source, CAST(copy AS INT) AS copy, CAST(n_copies AS INT) AS n_copies, (CAST('0x' || substr(md5('mixture:' || k || ':' || CAST(copy AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS shuffle_key FROM e"""
+
+#: The measurements and rules, over one row a window and one a line.
+QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8),
+h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS c FROM g),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM h, range(8) r(j) WHERE c > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(n_dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN l USING (doc_id)),
+b AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END + CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END
+  + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END + CASE WHEN word_chars < 2 * n_words OR word_chars > 25 * n_words THEN 16 ELSE 0 END AS failed_bits FROM m)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) > 0 AS base_failed, failed_bits = 0 AS kept, n_lines, failed_bits FROM b"""
+
+ORACLE_SQL: dict[str, str] = {"op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL}
