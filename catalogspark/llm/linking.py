@@ -9,8 +9,8 @@ with every member; members linked to it are connected, and for the rest:
 
 For if D(x) and D(y) were disjoint, |x ^ y| = |D(x)| + |D(y)|, and y would be no
 more similar to x than h is. So members are listed anew, under elements of their
-D, with elements outside h (edits) before those in it: pairs that only share what
-the whole group shares no longer meet. With b = (1 - t) / (1 + t), x and y link
+D, the rarest of the group first: pairs that only share what the whole group
+shares no longer meet. With b = (1 - t) / (1 + t), x and y link
 when |x ^ y| <= b (|x| + |y|), which bounds the overlap of their D from below, so
 a prefix of each D is enough:
 
@@ -19,7 +19,9 @@ a prefix of each D is enough:
 - a member linked to h only meets one that is not, which must list its whole D
   if it is near enough to link with any such member at all.
 
-The new lists are handled likewise, so a family inside a group gets its own hub.
+Of the new lists each member first tries a few hubs; then lists and pairs inside
+one component are left out, since only components are asked for. Very long lists
+are handled likewise again, so a family inside a group gets its own hub.
 After LEVELS rounds what is left is tested pair by pair. All steps are joins and
 aggregations on Spark; no list is gathered in one task.
 """
@@ -30,18 +32,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
 from catalogspark.llm.common import checkpoint
+from catalogspark.llm.components import connected
 
 #: Pairs up to which a list is tested pair by pair, at first and later on. A hub
 #: spreads each member over as many new lists as its D has elements, so that in
 #: later rounds it only pays for lists much longer than that.
-SHORT = (1 << 10, 1 << 18)
+SHORT = (1 << 8, 1 << 18)
 LEVELS = 8
-LISTS = "value long, rep long, n long, w long, lead boolean, near boolean"
+#: Hubs of later lists that a member tries first.
+TRIES = 4
 
 Decode = Callable[[list[bytes]], list[np.ndarray]]
 
@@ -59,8 +63,10 @@ def _heads(lists: DataFrame, level: int) -> DataFrame:
         F.count(F.lit(1)).alias("m"),
         F.count_if(~F.col("near")).alias("open"),
         F.min(F.when(F.col("lead"), F.struct("w", "rep"))).alias("hub"),
+        F.min("c").alias("lo"),
+        F.max("c").alias("hi"),
     )
-    return heads.where("p > 0 and m > 1 and open > 0").select("value", (F.col("p") * F.col("m") <= SHORT[min(level, 1)]).alias("short"), "hub")
+    return heads.where("p > 0 and m > 1 and open > 0 and lo < hi").select("value", (F.col("p") * F.col("m") <= SHORT[min(level, 1)]).alias("short"), "hub")
 
 
 def _hubs(lists: DataFrame, heads: DataFrame) -> DataFrame:
@@ -72,17 +78,31 @@ def _hubs(lists: DataFrame, heads: DataFrame) -> DataFrame:
 
 def short_pairs(lists: DataFrame, heads: DataFrame, percent: int, level: int) -> DataFrame:
     """(a, b), a < b: the eligible pairs of lists with few leading rows."""
-    side = lambda s, df: df.select("value", *[F.col(c).alias(c + s) for c in ("rep", "n", "w", "lead", "near")])
+    side = lambda s, df: df.select("value", *[F.col(c).alias(c + s) for c in ("rep", "n", "w", "lead", "near", "c")])
     one = side("1", lists.where("lead").join(heads.select("value"), "value", "left_semi"))
     met = one.join(side("2", lists), "value")
     rule = (F.col("near1") & ~F.col("near2")) | (~F.col("near1") & F.col("lead2"))
     size = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
     if level:  # |D(x)| and |D(y)| differ by at most |x ^ y|
         size = size & ((100 + percent) * F.abs(F.col("w1") - F.col("w2")) <= (100 - percent) * (F.col("n1") + F.col("n2")))
-    met = met.where((F.col("rep1") != F.col("rep2")) & rule & size)
+    met = met.where((F.col("c1") != F.col("c2")) & rule & size)
     return met.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 
 
+def first_tries(lists: DataFrame, heads: DataFrame) -> DataFrame:
+    """(a, b): each member apart from its hub with the best hubs of its new lists, a few a member. What they link need not be tested again."""
+    tries = lists.where("not near").join(heads.select("value", "hub"), "value").where("rep != hub.rep")
+    few = tries.groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, TRIES).alias("hubs"))  # one a list of the member: bounded by its D
+    return few.select("rep", F.explode("hubs").alias("h")).select(F.least("rep", "h.rep").alias("a"), F.greatest("rep", "h.rep").alias("b")).distinct()
+
+
+def with_parts(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """rows with `c`, the component of each set so far: its own before any link is known."""
+    if parts is None:
+        return rows.withColumn("c", F.col("rep"))
+    return rows.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+
+
 def star_pairs(lists: DataFrame, heads: DataFrame, level: int) -> DataFrame:
     """(g, a, b): every member of a long list with its hub. Lists of one hub are one group at first."""
     met = lists.join(_hubs(lists, heads), "value").where("rep != hub")
@@ -105,54 +125,62 @@ def test_pairs(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int)
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _differences(h: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int, int]:
-    """Whether x links with hub h; the elements of D(x) to list, edits first; how many lead; |D(x)|."""
+def _differences(h: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int, bool]:
+    """Whether x links with hub h; D(x); how many of its elements lead; whether all must be listed."""
     both = np.concatenate([h, x])
-    order = np.argsort(both, kind="stable")
-    values = both[order]
-    twin = np.zeros(len(values) + 1, bool)
-    twin[1:-1] = values[1:] == values[:-1]
-    alone = ~(twin[:-1] | twin[1:])
-    values, added = values[alone], order[alone] >= len(h)
-    d = np.concatenate([values[added], values[~added]])
+    both.sort()
+    twin = np.zeros(len(both) + 1, bool)
+    twin[1:-1] = both[1:] == both[:-1]
+    d = both[~(twin[:-1] | twin[1:])]
     size, p, q = len(d), 100 + percent, 100 - percent
     linked = p * size <= q * (len(h) + len(x))
     # More than (|D| + b (|h| - |x|)) / 2 shared elements against members that do not link with h.
     share = max(1, (p * size + q * (len(h) - len(x))) // (2 * p) + 1)
     # Partners have up to |x| * 100 / percent elements.
     share = max(share, size - (q * (len(x) + len(x) * 100 // percent)) // p)
-    lead = max(size - share + 1, 0)
     # A member linked to h has |D(y)| <= b (|y| + |h|), and differs from x by at most b (|x| + |y|).
     most_y = len(h) * 100 // percent
     whole = not linked and p * size <= q * (2 * most_y + len(h) + len(x))
-    return linked, d if whole else d[:lead], min(lead, size), size
+    return linked, d, max(size - share + 1, 0), whole
+
+
+STARS = "g long, a long, rep long, n long, w long, near boolean, leads int, whole boolean, values array<long>"
 
 
 def test_stars(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int) -> Iterator[pa.RecordBatch]:
-    """A row with value null for each pair, near if it links, and the rows of the next lists."""
+    """A row for each member of a star: near if it links with the hub, its D, and how much of it to list."""
     for batch in batches:
         for i in range(0, batch.num_rows, 128):
             part = batch.slice(i, 128)
             hubs = part.column("a").to_pylist()
-            bodies = part.column("xa").to_pylist()
             decoded: dict[int, np.ndarray] = {}
-            for a, body in zip(hubs, bodies, strict=True):
+            for a, body in zip(hubs, part.column("xa").to_pylist(), strict=True):
                 if a not in decoded:
                     decoded[a] = decode([body])[0]
-            rows: list[tuple] = []
-            for g, a, b, x in zip(part.column("g").to_pylist(), hubs, part.column("b").to_pylist(), decode(part.column("xb").to_pylist()), strict=True):
-                near, listed, lead, size = _differences(decoded[a], x, percent)
-                rows.append((np.zeros(1, np.int64), np.zeros(1, bool), a, b, len(x), size, near, True))
-                keys = B.mix(listed ^ B.mix(np.array([g, a], np.int64).view(np.uint64) + np.uint64(3)).sum(dtype=np.uint64)).view(np.int64)
-                rows.append((keys, np.arange(len(listed)) < lead, a, b, len(x), size, near, False))
-            count = [len(r[0]) for r in rows]
-            spread = lambda k, kind: pa.array(np.repeat(np.array([r[k] for r in rows], kind), count))
+            sets = decode(part.column("xb").to_pylist())
+            got = [_differences(decoded[a], x, percent) for a, x in zip(hubs, sets, strict=True)]
+            # Members too far from all others list nothing.
+            lists = [d if leads > 0 else d[:0] for _, d, leads, _ in got]
+            offsets = np.concatenate([[0], np.cumsum([len(d) for d in lists])]).astype(np.int32)
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists).view(np.int64)))
+            column = lambda v, kind: pa.array(np.array(v, kind))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([r[0] for r in rows])), spread(2, np.int64), spread(3, np.int64), spread(4, np.int64), spread(5, np.int64), pa.array(np.concatenate([r[1] for r in rows])), spread(6, bool), spread(7, bool)],
-                names=["value", "a", "rep", "n", "w", "lead", "near", "verdict"],
+                [part.column("g"), part.column("a"), part.column("b"), column([len(x) for x in sets], np.int64), column([len(r[1]) for r in got], np.int64), column([r[0] for r in got], bool), column([r[2] for r in got], np.int32), column([r[3] for r in got], bool), values],
+                names=["g", "a", "rep", "n", "w", "near", "leads", "whole", "values"],
             )
 
 
+def next_lists(tested: DataFrame) -> DataFrame:
+    """Members under the elements of their D, the rarest of the group in front; elements of one member are left out."""
+    open_groups = tested.where("not near").select("g", "a").distinct()
+    each = tested.join(open_groups, ["g", "a"], "left_semi").select("g", "a", "rep", "n", "w", "near", "leads", "whole", F.explode("values").alias("v"))
+    each = each.withColumn("value", F.xxhash64("g", "a", "v"))
+    often = each.groupBy("value").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("g", "a", "rep").orderBy("df", "value")  # the elements of one set
+    ranked = each.join(often, "value").withColumn("lead", F.row_number().over(order) <= F.col("leads"))
+    return ranked.where("df > 1 and (lead or whole)").select("value", "rep", "n", "w", "lead", "near")
+
+
 def links(lists: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], decode: Decode, percent: int, first_filter: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(a, b) edges whose components are those of all links among the sets listed in (value, rep, n).
 
@@ -161,7 +189,18 @@ def links(lists: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], decode:
     of short first lists that cannot link.
     """
     rows, out, bodies = checkpoint(start_lists(lists)), None, None
+
+    def with_bodies(df: DataFrame) -> DataFrame:
+        return df.join(bodies.toDF("b", "xb"), "b").join(bodies.toDF("a", "xa"), "a")
+
+    def tested_pairs(df: DataFrame) -> DataFrame:
+        return checkpoint(with_bodies(df).select("a", "b", "xa", "xb").mapInArrow(lambda it: test_pairs(it, decode, percent), "a long, b long"))
+
     for level in range(LEVELS + 1):
+        if level:  # links make most pairs needless: components are what counts
+            tried = tested_pairs(checkpoint(first_tries(rows, checkpoint(_heads(with_parts(rows, None), level)))))
+            out = out.union(tried)
+        rows = checkpoint(with_parts(rows, connected(out) if level else None))
         heads = checkpoint(_heads(rows, level))
         few = heads.where(F.lit(True) if level == LEVELS else F.col("short"))
         pairs = short_pairs(rows, few, percent, level)
@@ -172,12 +211,11 @@ def links(lists: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], decode:
         if bodies is None:  # later levels only bring pairs of members of these stars
             wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(stars.select("a")).union(stars.select("b")).distinct()
             bodies = checkpoint(bodies_of(wanted))
-        with_bodies = lambda df: df.join(bodies.toDF("b", "xb"), "b").join(bodies.toDF("a", "xa"), "a")  # noqa: B023, E731
-        found = checkpoint(with_bodies(pairs).select("a", "b", "xa", "xb").mapInArrow(lambda it: test_pairs(it, decode, percent), "a long, b long"))
+        found = tested_pairs(pairs)
         out = found if out is None else out.union(found)
         if stars.isEmpty():
             break
-        tested = checkpoint(with_bodies(stars).select("g", "a", "b", "xa", "xb").mapInArrow(lambda it: test_stars(it, decode, percent), "value long, a long, rep long, n long, w long, lead boolean, near boolean, verdict boolean"))
-        out = out.union(tested.where("verdict and near").select("a", F.col("rep").alias("b")))
-        rows = tested.where("not verdict").select("value", "rep", "n", "w", "lead", "near")
+        tested = checkpoint(with_bodies(stars).select("g", "a", "b", "xa", "xb").mapInArrow(lambda it: test_stars(it, decode, percent), STARS))
+        out = out.union(tested.where("near").select("a", F.col("rep").alias("b")))
+        rows = checkpoint(next_lists(tested))
     return out
