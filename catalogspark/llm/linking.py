@@ -115,12 +115,19 @@ def _shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
+def _each_once(ids: list[int], bodies: pa.Array, decode: Decode) -> list[np.ndarray]:
+    """The sets of a run of pairs; a set that stands in several is decoded once."""
+    first = {x: i for i, x in reversed(list(enumerate(ids)))}
+    sets = dict(zip(first, decode(bodies.take(pa.array(list(first.values()))).to_pylist()), strict=True))
+    return [sets[x] for x in ids]
+
+
 def test_pairs(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs that link."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            left, right = decode(part.column("xa").to_pylist()), decode(part.column("xb").to_pylist())
+        for i in range(0, batch.num_rows, 1024):
+            part = batch.slice(i, 1024)
+            left, right = (_each_once(part.column(k).to_pylist(), part.column(f"x{k}"), decode) for k in "ab")
             keep = [(100 + percent) * _shared(x, y) >= percent * (len(x) + len(y)) for x, y in zip(left, right, strict=True)]
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
