@@ -41,3 +41,11 @@ def test_stages_against_brute_force(spark, docs, rows):
 def test_run(spark, tmp_path, docs):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_near_dedup_takes_pairs_from_80_percent(spark):
+    """116 shingles each; two words changed leave 106 of 126 in common (0.84), three leave 101 of 131 (0.77)."""
+    w = [f"w{i}" for i in range(120)]
+    changed = lambda *at: " ".join(f"v{i}" if i in at else x for i, x in enumerate(w))
+    df = spark.createDataFrame([(1, changed()), (2, changed(20, 60)), (3, changed(20, 60, 80, 100)), (4, changed(10, 30, 50, 70, 90))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [1, 4]
