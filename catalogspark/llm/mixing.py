@@ -9,8 +9,10 @@ task.
 
 Nulls: a null source is a source of its own, a null id hashes as the empty
 string. Repeated rows draw the same count. Empty tables give empty results.
-Rates above MAX_RATE are refused, since a draw enumerates the distribution.
-Extra columns pass through `mix`.
+A draw enumerates the distribution, so a rate above MAX_RATE is drawn as a sum of
+independent Poisson draws of mean PART_RATE at most, which is exact. Documents of
+more than BLOCK copies are dealt out in blocks before these become rows. Extra
+columns pass through `mix`.
 """
 
 from __future__ import annotations
@@ -23,7 +25,12 @@ from catalogspark.llm.common import partitions, small_side
 SEED = "mixture"
 #: Default targets: present shares raised to this power, then normalised.
 TEMPERATURE = 0.5
+#: Rates up to this are one draw.
 MAX_RATE = 200.0
+#: The largest mean of a draw that is one of several.
+PART_RATE = 100.0
+#: Copies that one row becomes in one step.
+BLOCK = 1000
 NO_SOURCE = "\x00none"
 
 
@@ -45,35 +52,56 @@ def source_rates(docs: DataFrame, targets: dict[str, float] | None = None, tempe
     return weighed.select("_source", rate.alias("rate"))
 
 
-def poisson_inverse(u: Column, rate: Column, highest: int) -> Column:
+def poisson_inverse(u: Column, rate: Column, highest: Column) -> Column:
     """The smallest k with P(X <= k) >= u, for k up to `highest`: terms built one from the last."""
-    start = F.struct(F.lit(0).alias("k"), F.exp(-rate).alias("p"), F.exp(-rate).alias("c"))
+    start = F.struct(F.lit(0).alias("k"), F.exp(-rate).alias("p"), F.exp(-rate).alias("c"), u.alias("u"))
 
     def step(acc: Column, i: Column) -> Column:
         p = acc["p"] * rate / i
-        return F.when(acc["c"] >= u, acc).otherwise(F.struct(i.alias("k"), p.alias("p"), (acc["c"] + p).alias("c")))
+        return F.when(acc["c"] >= acc["u"], acc).otherwise(F.struct(i.alias("k"), p.alias("p"), (acc["c"] + p).alias("c"), acc["u"].alias("u")))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(highest)), start, step, lambda acc: acc["k"])
+    return F.aggregate(F.sequence(F.lit(1), highest), start, step, lambda acc: acc["k"])
+
+
+def highest_count(rate: Column) -> Column:
+    """A count that a draw of this mean exceeds with a chance under a double's resolution."""
+    return (rate + 12 * F.sqrt(F.greatest(rate, F.lit(1.0))) + 20).cast("int")
+
+
+def poisson_count(seed: str, name: Column, rate: Column) -> Column:
+    """A document's copies: one draw, or the sum of as many draws as its rate needs."""
+    parts = F.ceil(rate / PART_RATE).cast("int")
+    part = rate / parts
+    draw = lambda done, i: done + poisson_inverse(unit_hash(F.lit(seed), name, F.lit("part"), i.cast("string")), part, highest_count(part))
+    several = F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), draw)
+    return F.when(rate <= MAX_RATE, poisson_inverse(unit_hash(F.lit(seed), name), rate, highest_count(rate))).otherwise(several)
+
+
+def copies_of(drawn: DataFrame, parts: int, some_large: bool) -> DataFrame:
+    """One row a copy, numbered in `_copy`. Large counts become blocks, which are dealt out before they become rows."""
+    rows = lambda df, first, end: df.withColumn("_copy", F.explode(F.sequence(first, end - 1)))
+    if not some_large:
+        return rows(drawn, F.lit(0), F.col("_copies"))
+    blocks = drawn.where(F.col("_copies") > BLOCK).withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / BLOCK).cast("int"))))
+    blocks = blocks.repartition(parts, F.xxhash64("doc_id", "_block"))
+    first = F.col("_block") * BLOCK
+    return rows(drawn.where(F.col("_copies") <= BLOCK), F.lit(0), F.col("_copies")).unionByName(rows(blocks, first, F.least(F.col("_copies"), first + BLOCK)).drop("_block"))
 
 
 def mix(docs: DataFrame, targets: dict[str, float] | None = None, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
     """docs' rows repeated to the targets, with `_copy` from 0, `_copies` and `_order`; globally shuffled by `_order`."""
     rates = source_rates(docs, targets, temperature)
     n, top = rates.agg(F.count(F.lit(1)), F.max("rate")).first()
-    if (top or 0) > MAX_RATE:
-        raise ValueError(f"a source would repeat {top:.0f} times; the bound is {MAX_RATE:.0f}")
-    highest = int((top or 0) + 12 * (top or 1) ** 0.5 + 20)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     drawn = (
         docs.withColumn("_source", F.coalesce(F.col("source"), F.lit(NO_SOURCE)))
         .join(small_side(rates, n), "_source")
-        .withColumn("_copies", poisson_inverse(unit_hash(F.lit(seed), name), F.col("rate"), highest))
+        .withColumn("_copies", poisson_count(seed, name, F.col("rate")))
         .where("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-        .withColumn("_order", unit_hash(F.lit(seed), name, F.col("_copy").cast("string")))
     )
     parts = partitions(docs.sparkSession)
-    return drawn.repartitionByRange(parts, "_order").sortWithinPartitions("_order").drop("_source", "rate")
+    copies = copies_of(drawn, parts, (top or 0) > MAX_RATE).withColumn("_order", unit_hash(F.lit(seed), name, F.col("_copy").cast("string")))
+    return copies.repartitionByRange(parts, "_order").sortWithinPartitions("_order").drop("_source", "rate")
 
 
 def mix_report(docs: DataFrame, **how) -> DataFrame:

@@ -114,6 +114,24 @@ def test_mixing_meets_targets(spark):
     assert abs(sum(total.values()) / 20_000 - 1) < 0.05
 
 
+def test_mixing_at_any_rate(spark):
+    """A source of one row among 20,000 repeats some 10,000 times, the rare rows of another some 400 times."""
+    df = spark.range(20_000).selectExpr("id as doc_id", "case id when 7 then 'one' when 8 then null else if(id % 800 = 1, 'few', 'many') end as source")
+    report = mixing.mix_report(df, targets={"one": 10, "few": 10, "many": 1}).collect()
+    copies = defaultdict(list)
+    for r in report:
+        copies[(r.source, r.doc_id, r.n_copies)].append(r.copy)
+    assert all(sorted(c) == list(range(n)) for (_, _, n), c in copies.items())
+    mean = {"one": 200_000 / 21, "few": 200_000 / 21 / 25}
+    for source, rate in mean.items():
+        counts = [n for s, _, n in copies if s == source]
+        assert len(counts) == (1 if source == "one" else 25)
+        assert abs(sum(counts) / len(counts) - rate) < 5 * (rate / len(counts)) ** 0.5
+        assert max(abs(n - rate) for n in counts) < 5 * rate**0.5 and (len(counts) == 1 or len(set(counts)) > 5)
+    assert [r.shuffle_key for r in report] == sorted(r.shuffle_key for r in report)
+    assert len({r.shuffle_key for r in report}) == len(report)
+
+
 def test_quality(docs, rows, empty):
     stored = quality.ledger(docs)
     col = lambda c: F.col(f"{quality.LEDGER}.{c}")
