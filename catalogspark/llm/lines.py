@@ -13,9 +13,11 @@
    comes first by (document, line number) stays.
 
 Defined cases: null and empty texts have no lines; blank lines (white space only)
-stay and match nothing; lines of any length are read whole; rows that share an id
-share their line places; rows without an id come last; an empty table gives an
-empty result. Columns of the input pass through `drop_repeats` untouched.
+stay and match nothing; lines of any length are read whole; in the report, rows
+that share an id share their line places; rows without an id come last; an empty
+table gives an empty result. `drop_repeats` decides for each row by its own text,
+also where rows share an id or have none (equal rows of one id are one document);
+other columns of the input pass through it untouched.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
-from catalogspark.llm.common import NO_ID, checkpoint, small_side
+from catalogspark.llm.common import NO_ID, checkpoint, keyed_rows, small_side
 from catalogspark.llm.components import connected
 from catalogspark.llm.linking import links
 
@@ -217,17 +219,19 @@ def bodies(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, key) of every line that holds a word."""
+    """(doc_id, line, key) of every line that holds a word; of keyed rows, with their `__row`."""
+    rows = docs.select(F.col("__id").alias("doc_id"), "text", "__row") if "__row" in docs.columns else _slim(docs)
+    passed = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in B.slices(batches, "text"):
             buf, off = B.utf8(part.column("text"))
             begins, ends, doc, number, wordy = line_bounds(buf, off)
             at = np.flatnonzero(wordy)
-            ids = part.column("doc_id").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc[at]]), pa.array(number[at]), pa.array(B.span_hashes(B.BYTE_CODES[buf], begins[at], ends[at]).view(np.int64))], names=["doc_id", "line", "key"])
+            own = [pa.array(part.column(c).to_numpy()[doc[at]]) for c in passed]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(number[at]), pa.array(B.span_hashes(B.BYTE_CODES[buf], begins[at], ends[at]).view(np.int64))], names=[*passed, "line", "key"])
 
-    return _slim(docs).mapInArrow(run, "doc_id long, line long, key long")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*passed, "line", "key"]))
 
 
 def line_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -243,14 +247,21 @@ def line_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     return places, connected(links(lists, lambda wanted: bodies(docs, places, wanted), _sets, percent))
 
 
-def judged_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, line, kept_doc_id, kept_line, kept of every line with a word: where its component's first line stands."""
+def line_homes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(key, kept_doc_id, kept_line) of each distinct line: where its component's first line stands; and (node, component) of linked lines."""
     places, parts = line_classes(docs, percent)
     linked = places.join(parts.withColumnRenamed("node", "key"), "key").groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("p"))
     homes = parts.join(linked, "component").select(F.col("node").alias("key"), "p")
-    homes = checkpoint(places.join(homes, "key", "left").select("key", F.coalesce("p.doc_id", "doc_id").alias("kept_doc_id"), F.coalesce("p.line", "line").alias("kept_line")))
-    out = line_keys(docs).join(homes, "key").drop("key")
-    return out.withColumn("kept", (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("line") == F.col("kept_line")))
+    return checkpoint(places.join(homes, "key", "left").select("key", F.coalesce("p.doc_id", "doc_id").alias("kept_doc_id"), F.coalesce("p.line", "line").alias("kept_line"))), parts
+
+
+def _judged(keys: DataFrame, homes: DataFrame) -> DataFrame:
+    return keys.join(homes, "key").withColumn("kept", (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("line") == F.col("kept_line")))
+
+
+def judged_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, line, kept_doc_id, kept_line, kept of every line with a word: where its component's first line stands."""
+    return _judged(line_keys(docs), line_homes(docs, percent)[0]).drop("key")
 
 
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -259,9 +270,28 @@ def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))).withColumn("kept_doc_id", F.nullif("kept_doc_id", F.lit(NO_ID)))
 
 
+def _later_rows(rows: DataFrame, homes: DataFrame, parts: DataFrame) -> DataFrame | None:
+    """(doc_id, __row, line) of the lines that stand at their component's first place, but in a later row of the same id."""
+    ids = rows.groupBy(F.col("__id").alias("doc_id")).agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
+    shared = checkpoint(ids.where("a < b").select(F.col("doc_id").alias("__id")))
+    n = shared.count()
+    if not n:
+        return None
+    keys = line_keys(rows.join(small_side(shared, n), "__id"))
+    tied = _judged(keys, homes).where("kept").join(parts.withColumnRenamed("node", "key"), "key", "left")
+    tied = checkpoint(tied.select("doc_id", "__row", "line", F.coalesce("component", "key").alias("component")))
+    first = tied.groupBy("component").agg(F.min("__row").alias("__first"))
+    return tied.join(first, "component").where(F.col("__row") != F.col("__first")).select("doc_id", "__row", "line")
+
+
 def drop_repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with only the kept and the blank lines in `text`; every row stays."""
-    lost = judged_lines(docs, percent).where("not kept").groupBy("doc_id").agg(F.collect_set("line").alias("__lost")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(lost, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__id"), "left")
+    rows = keyed_rows(docs)
+    homes, parts = line_homes(docs, percent)
+    gone = _judged(line_keys(rows), homes).where("not kept").select("doc_id", "__row", "line")
+    later = _later_rows(rows, homes, parts)
+    gone = gone if later is None else gone.union(later)
+    lost = gone.groupBy(F.col("doc_id").alias("__id"), "__row").agg(F.collect_set("line").alias("__lost"))
+    joined = rows.join(lost, ["__id", "__row"], "left")
     lines = F.filter(F.split(F.col("text"), "\n", -1), lambda x, i: ~F.array_contains(F.coalesce("__lost", F.array().cast("array<bigint>")), i.cast("long")))
     return joined.withColumn("text", F.when(F.col("__lost").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))).select(*docs.columns)

@@ -16,8 +16,10 @@
 4. Components by distributed union-find.
 
 Defined cases: null or empty texts have an empty set and link with nothing; texts
-are read whole; repeated rows are one class; rows that share an id (or have none)
-are one node; an empty table gives an empty result.
+are read whole; repeated rows are one class; in the report, rows that share an id
+(or have none) are one node; an empty table gives an empty result. `drop_near`
+decides for each row by its own text, also where rows share an id or have none
+(equal rows of one id are one document).
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
-from catalogspark.llm.common import NO_ID, checkpoint, small_side
+from catalogspark.llm.common import NO_ID, checkpoint, keyed_rows, small_side
 from catalogspark.llm.components import connected
 from catalogspark.llm.linking import links
 
@@ -196,6 +198,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> Data
 
 
 def drop_near(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs without the documents whose component has a smaller id; docs' own columns."""
-    lost = checkpoint(near_duplicates(docs, percent).where("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__lost")).distinct())
-    return docs.join(small_side(lost, lost.count()), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__lost"), "left_anti")
+    """docs with the first row, by id, of each component; docs' own columns."""
+    rows = keyed_rows(docs).withColumn("__key", F.xxhash64("__id", "__row"))
+    near = near_duplicates(rows.select(F.col("__key").alias("doc_id"), "text"), percent).where("not kept")
+    others = checkpoint(near.select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__component")).distinct())
+    members = checkpoint(others.union(others.select("__component", "__component").distinct()))
+    places = checkpoint(rows.select("__id", "__key").join(small_side(members, members.count()), "__key").distinct())
+    first = places.groupBy("__component").agg(F.min(F.struct("__id", "__key")).alias("__first"))
+    lost = checkpoint(places.join(first, "__component").where(F.col("__key") != F.col("__first.__key")).select("__key"))
+    return rows.join(small_side(lost, lost.count()), "__key", "left_anti").select(*docs.columns)
