@@ -188,7 +188,9 @@ def candidate_lists(signed: DataFrame, chunks: int) -> DataFrame:
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, words) of the wanted (doc_id, line) places: only their documents leave the scan where they are few."""
     by_doc = checkpoint(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("wanted")))  # bounded by one document's lines
-    rows = _slim(docs).join(small_side(by_doc, by_doc.count()), "doc_id")
+    n, places = by_doc.agg(F.count(F.lit(1)), F.sum(F.size("wanted"))).first()
+    # The bound's rows have some 60 bytes; a line number has 8.
+    rows = _slim(docs).join(small_side(by_doc, n + 8 * (places or 0) // 60), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in B.slices(batches, "text"):

@@ -79,6 +79,16 @@ def test_line_dedup_rewrites_texts(docs, rows):
     assert sorted(r for r in got(out, "doc_id", "text") if r[1] is not None) == want
 
 
+def test_line_broadcast_counts_line_numbers(spark, monkeypatch):
+    """One document with 3,000 wanted lines is more than one small row."""
+    asked = []
+    monkeypatch.setattr(lines, "small_side", lambda df, n: asked.append(n) or df)
+    text = "\n".join(f"line {i}" for i in range(3000))
+    docs = spark.createDataFrame([(1, text), (2, "other")], "doc_id long, text string")
+    found = lines.line_texts(docs, spark.range(3000).selectExpr("1L as doc_id", "id as line"))
+    assert asked == [401] and found.count() == 3000
+
+
 def test_embedding_near_dedup(spark):
     r = np.random.default_rng(3)
     centres = r.normal(size=(6, 16))
