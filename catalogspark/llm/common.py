@@ -1,14 +1,13 @@
-"""What several operators share: sizing from the data, checkpoints, checked broadcasts."""
+"""What several operators share: sizing from the data, checked broadcasts, rows without an id."""
 
 from __future__ import annotations
 
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.session import ship
+from catalogspark.session import checkpoint, release, ship, stored
+
+__all__ = ["checkpoint", "release", "ship", "stored"]
 
 #: Counted rows up to which a side is broadcast. Its rows are a few numbers each, so it stays under some 30 MB.
 BROADCAST_ROWS = 500_000
@@ -58,11 +57,3 @@ def keyed_rows(docs: DataFrame) -> DataFrame:
     nameless = copies.select(*columns, F.lit(NO_ID).alias("__id"), F.xxhash64("__copy", *parts).alias("__row"))
     return named.unionByName(nameless)
 
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster shares."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder or Path(tempfile.mkdtemp(prefix="spark-")).as_uri())
-    return df.checkpoint(eager=True)

@@ -4,8 +4,8 @@ Each task first merges its own edges with a union-find and passes on one edge a
 node, from the node to its smallest local partner. Then large-star and
 small-star rounds run as joins and minimum aggregations until the edges stop
 changing; they end as stars whose centres are the components' smallest nodes.
-Nothing is gathered in one task or on the driver, and each round's edges are
-checkpointed, so a lost executor costs one round.
+Nothing is gathered in one task or on the driver. Each round's edges are stored in
+the shared folder, so a lost executor costs one round, and the last round's go.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogspark.llm.common import checkpoint
+from catalogspark.llm.common import release, stored
 
 #: Edges that a task merges at a time, which bounds its memory.
 LOCAL_EDGES = 500_000
@@ -61,13 +61,16 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of (a, b) edges; component is the smallest node reachable."""
-    e = checkpoint(edges.toDF("a", "b").mapInArrow(_local_forest, "u long, v long").distinct())
+    """(node, component) for every node of (a, b) edges, a stored table; component is the smallest node reachable."""
+    e = stored(edges.toDF("a", "b").mapInArrow(_local_forest, "u long, v long").distinct())
     state = None
     while True:
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state or now[0] == 0:
             break
-        state = now
-        e = checkpoint(_stars(_stars(e, True), False))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct().toDF("node", "component"))
+        state, last = now, e
+        e = stored(_stars(_stars(e, True), False))
+        release(last)
+    out = stored(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct().toDF("node", "component")))
+    release(e)
+    return out

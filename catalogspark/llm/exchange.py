@@ -83,13 +83,14 @@ def narrow(keys: np.ndarray, width: int) -> np.ndarray:
     return keys >> np.uint64(64 - 8 * width)
 
 
-def _to_bytes(keys: np.ndarray, width: int) -> np.ndarray:
+def to_bytes(keys: np.ndarray, width: int) -> np.ndarray:
+    """The lower `width` bytes of each key, a row a key."""
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
 
 
-def unpack_keys(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+def unpack_keys(table: pa.Table, width: int, name: str = "keys") -> tuple[np.ndarray, np.ndarray]:
     """Narrow keys of all rows, and the row of each."""
-    parts = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in table.column("keys").to_pylist()]
+    parts = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in table.column(name).to_pylist()]
     rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     out = np.zeros((len(rows), 8), np.uint8)
     if len(rows):
@@ -102,7 +103,7 @@ def send_repeats(keys: np.ndarray, ids: np.ndarray, chunk: int, buckets: int, wi
     distinct, low, high, _ = smallest(narrow(keys, width), ids)
     bucket = (distinct % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    packed = by_bucket(bucket[order], {"keys": _to_bytes(distinct[order], width), "several": (low < high)[order]})
+    packed = by_bucket(bucket[order], {"keys": to_bytes(distinct[order], width), "several": (low < high)[order]})
     return pa.table({"bucket": pa.array(packed["bucket"], pa.int32()), "chunk": pa.array([chunk] * len(packed["bucket"]), pa.int32()), "keys": pa.array(packed["keys"], pa.binary()), "several": pa.array(packed["several"], pa.binary())})
 
 
@@ -115,7 +116,7 @@ def find_repeats(table: pa.Table, width: int = 8) -> pa.Table:
     hit = several.copy()
     hit[order[1:][same]] = True
     hit[order[:-1][same]] = True
-    return reply(table, rows[hit], {"keys": _to_bytes(keys[hit], width)})
+    return reply(table, rows[hit], {"keys": to_bytes(keys[hit], width)})
 
 
 SENT = "bucket int, chunk int, keys binary, several binary"

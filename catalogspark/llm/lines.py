@@ -4,11 +4,11 @@
    distinct runs of SHINGLE characters (a shorter line is one run), and its
    signature the minima of BANDS * ROWS hash functions over the set.
 2. Banding: lines that agree on all ROWS minima of a band are candidates. At the
-   threshold of 0.8 a pair is missed with a chance of (1 - 0.8**4)**20, or 3 in
+   threshold of 0.8 a pair is missed with a chance of (1 - 0.8**3)**14, or 4 in
    100,000, and less above it. Band keys travel packed; only keys that two
    different lines share become rows.
-3. Exact Jaccard on the lines' characters decides; long lists are linked through
-   hubs, exactly and without testing all their pairs (see linking.py).
+3. Exact Jaccard on the lines' characters decides: each list's hub with all its
+   members, then in tiles those that the hubs leave apart (see linking.py).
 4. Distributed union-find joins the links, and of each component the line that
    comes first by (document, line number) stays.
 
@@ -32,14 +32,13 @@ from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
-from catalogspark.llm.common import NO_ID, checkpoint, keyed_rows, small_side
-from catalogspark.llm.components import connected
-from catalogspark.llm.linking import links
+from catalogspark.llm.common import NO_ID, keyed_rows, release, small_side, stored
+from catalogspark.llm.linking import linked
 
 SHINGLE = 8
 PERCENT = 80
-ROWS = 4
-BANDS = 20
+ROWS = 3
+BANDS = 14
 #: Distinct lines to a chunk of the band exchange.
 CHUNK_LINES = 8_192
 #: Lines that a task remembers so as not to sign them twice.
@@ -50,7 +49,6 @@ SIGN_CHARS = 1 << 16
 _rng = np.random.default_rng(977)
 _MULTIPLY = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _FLIP = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
-_CHAR = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,26 +71,18 @@ def line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def char_shingles(lines: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each line's character runs, repeats included, and where each line's begin (n + 1)."""
-    data = b"".join(lines)
-    text = data.decode("utf-8", "replace")
-    codes = (np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)) * _CHAR
-    size = np.array([len(x) for x in lines], np.int64) if len(text) == len(data) else np.array([len(x.decode("utf-8", "replace")) for x in lines], np.int64)
-    done = np.concatenate([[0], np.cumsum(size)])
-    grams = B.rolling_hashes(codes, width)
+    buf = np.frombuffer(b"".join(lines), np.uint8)
+    chars = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+    done = np.searchsorted(chars, np.concatenate([[0], np.cumsum([len(x) for x in lines])]))
+    size = np.diff(done)
     count = np.maximum(size - width + 1, 1)
     bounds = np.concatenate([[0], np.cumsum(count)])
     at = np.repeat(done[:-1] - bounds[:-1], count) + np.arange(bounds[-1])
-    short = np.flatnonzero(size < width)
-    if len(grams):
-        out = grams[np.minimum(at, len(grams) - 1)]
-    else:
-        out = np.zeros(len(at), np.uint64)
-    out[bounds[short]] = B.span_hashes(codes, done[short], done[short + 1])
-    return out, bounds
+    return B.span_hashes(buf, chars[at], chars[np.minimum(at + width, np.repeat(done[1:], count))]), bounds
 
 
-def signatures(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """One band key a line and band, and the number of shingles with repeats (an upper bound of the set's size)."""
+def signatures(lines: list[bytes]) -> np.ndarray:
+    """One band key a line and band."""
     grams, bounds = char_shingles(lines)
     low = (grams >> np.uint64(32)).astype(np.uint32)
     keys = np.zeros((len(lines), BANDS), np.uint64)
@@ -100,10 +90,9 @@ def signatures(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         key = np.full(len(lines), band + 1, np.uint64)
         for j in range(band * ROWS, (band + 1) * ROWS):
             least = np.minimum.reduceat((low ^ _FLIP[j]) * _MULTIPLY[j], bounds[:-1])
-            key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(31)
+            key = B.mix((key << np.uint64(1)) ^ least)
         keys[:, band] = key
-    return keys, np.diff(bounds)
+    return keys
 
 
 def _some(lines: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -118,8 +107,8 @@ def _some(lines: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(lines)
 
 
-def signed_lines(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, line, bands): each distinct line, about once a task, with a place where it stands."""
+def signed_lines(docs: DataFrame, width: int) -> DataFrame:
+    """(key, twin, doc_id, line, bands): each distinct line, about once a task, with a place where it stands. twin is a second fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -128,24 +117,25 @@ def signed_lines(docs: DataFrame) -> DataFrame:
             begins, ends, doc, number, wordy = line_bounds(buf, off)
             ids = part.column("doc_id").to_numpy()
             at = np.flatnonzero(wordy)
-            keys = B.span_hashes(B.BYTE_CODES[buf], begins[at], ends[at])
+            keys = B.span_hashes(buf, begins[at], ends[at])
             order = np.lexsort((number[at], ids[doc[at]], keys))
             first = order[np.concatenate([[True], keys[order][1:] != keys[order][:-1]])] if len(order) else order
-            fresh = np.array([i for i, k in zip(first.tolist(), keys[first].tolist(), strict=True) if k not in seen], np.int64)
-            places = pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(ids[doc[at[first]]]), pa.array(number[at[first]]), pa.nulls(len(first), pa.binary())], names=["key", "doc_id", "line", "bands"])
-            if len(fresh) < len(first):
-                yield places.filter(pa.array(~np.isin(first, fresh)))
+            keys, at = keys[first], at[first]
+            fresh = np.array([k not in seen for k in keys.tolist()], bool)
             if len(seen) > SEEN:
                 seen.clear()
             seen.update(keys[fresh].tolist())
             data = buf.tobytes()
-            lines = [data[a:b] for a, b in zip(begins[at[fresh]].tolist(), ends[at[fresh]].tolist(), strict=True)]
+            bands = np.full(len(keys), None, object)
+            new = np.flatnonzero(fresh)
+            lines = [data[a:b] for a, b in zip(begins[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
             for a, b in _some(lines):
-                bands, _ = signatures(lines[a:b])
-                use = fresh[a:b]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(ids[doc[at[use]]]), pa.array(number[at[use]]), pa.array([x.tobytes() for x in bands], pa.binary())], names=["key", "doc_id", "line", "bands"])
+                signed = X.to_bytes(X.narrow(signatures(lines[a:b]), width).ravel(), width).reshape(b - a, -1)
+                bands[new[a:b]] = [x.tobytes() for x in signed]
+            twins = B.span_hashes(buf, begins[at], ends[at], seed=1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(twins.view(np.int64)), pa.array(ids[doc[at]]), pa.array(number[at]), pa.array(bands, pa.binary())], names=["key", "twin", "doc_id", "line", "bands"])
 
-    return _slim(docs).mapInArrow(run, "key long, doc_id long, line long, bands binary")
+    return _slim(docs).mapInArrow(run, "key long, twin long, doc_id long, line long, bands binary")
 
 
 def _slim(docs: DataFrame) -> DataFrame:
@@ -159,35 +149,42 @@ def _distinct(table: pa.Table) -> pa.Table:
     return table.take(pa.array(first))
 
 
-def _send_bands(chunk: int, table: pa.Table, buckets: int) -> pa.Table:
-    bands = X.unpack(_distinct(table), "bands", np.uint64)[0]
-    values, counts = np.unique(bands, return_counts=True)
-    bucket = (B.mix(values) % np.uint64(buckets)).astype(np.int64)
+def _send_bands(chunk: int, table: pa.Table, buckets: int, width: int) -> pa.Table:
+    values, counts = np.unique(X.unpack_keys(_distinct(table), width, "bands")[0], return_counts=True)
+    bucket = (values % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    packed = X.by_bucket(bucket[order], {"keys": values[order], "several": (counts > 1)[order]})
+    packed = X.by_bucket(bucket[order], {"keys": X.to_bytes(values[order], width), "several": (counts > 1)[order]})
     return pa.table({"bucket": pa.array(packed["bucket"], pa.int32()), "chunk": pa.array([chunk] * len(packed["keys"]), pa.int32()), "keys": pa.array(packed["keys"], pa.binary()), "several": pa.array(packed["several"], pa.binary())})
 
 
-def _list_bands(table: pa.Table, replies: pa.Table) -> pa.Table:
-    known = np.sort(X.unpack(replies, "keys", np.uint64)[0])
+LISTED = "value long, key long, twin long, doc_id long, line long"
+
+
+def _list_bands(table: pa.Table, replies: pa.Table, width: int) -> pa.Table:
+    """A row (value, key) for each shared band, and one without a value for each distinct line, with its first place."""
+    known = np.sort(X.unpack_keys(replies, width)[0])
     one = _distinct(table)
-    bands, row = X.unpack(one, "bands", np.uint64)
+    bands, row = X.unpack_keys(one, width, "bands")
     use = B.find(known, bands)[1]
-    return pa.table({"value": pa.array(bands[use].view(np.int64)), "rep": pa.array(one.column("key").to_numpy()[row[use]]), "n": pa.array(np.ones(int(use.sum()), np.int64))})
+    places = table.select(["key", "twin", "doc_id", "line"]).sort_by([("key", "ascending"), ("doc_id", "ascending"), ("line", "ascending")])
+    keys = places.column("key").to_numpy()
+    places = places.take(pa.array(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys))
+    lists = pa.table({"value": pa.array(bands[use].view(np.int64)), "key": pa.array(one.column("key").to_numpy()[row[use]])})
+    return pa.concat_tables([lists, places], promote_options="default").select(["value", "key", "twin", "doc_id", "line"])
 
 
-def candidate_lists(signed: DataFrame, chunks: int) -> DataFrame:
-    """(value, rep, n): band keys that at least two different lines share, with the lines' keys."""
+def listed_lines(signed: DataFrame, chunks: int, width: int) -> DataFrame:
+    """LISTED rows: band keys that at least two different lines share, with the lines' keys; and every distinct line's first place."""
     buckets = max(1, chunks // 4)
     dealt = signed.groupBy("chunk")
-    sent = dealt.applyInArrow(lambda key, t: _send_bands(key[0].as_py(), t, buckets), X.SENT)
-    shared = sent.groupBy("bucket").applyInArrow(lambda t: X.find_repeats(t), X.REPEATED)
-    return dealt.cogroup(shared.groupBy("chunk")).applyInArrow(lambda l, r: _list_bands(l, r), "value long, rep long, n long")
+    sent = dealt.applyInArrow(lambda key, t: _send_bands(key[0].as_py(), t, buckets, width), X.SENT)
+    shared = sent.groupBy("bucket").applyInArrow(lambda t: X.find_repeats(t, width), X.REPEATED)
+    return dealt.cogroup(shared.groupBy("chunk")).applyInArrow(lambda l, r: _list_bands(l, r, width), LISTED)
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, words) of the wanted (doc_id, line) places: only their documents leave the scan where they are few."""
-    by_doc = checkpoint(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("wanted")))  # bounded by one document's lines
+    """(key, line_text) of the wanted (doc_id, line) places: only their documents leave the scan where they are few."""
+    by_doc = stored(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("wanted")))  # bounded by one document's lines
     n, places = by_doc.agg(F.count(F.lit(1)), F.sum(F.size("wanted"))).first()
     # The bound's rows have some 60 bytes; a line number has 8.
     rows = _slim(docs).join(small_side(by_doc, n + 8 * (places or 0) // 60), "doc_id")
@@ -202,7 +199,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             asked = np.repeat(np.arange(len(sizes)), sizes) * width + np.minimum(lists.flatten().to_numpy(), width - 1)
             use = np.flatnonzero(wordy & np.isin(doc * width + number, asked))
             data = buf.tobytes()
-            keys = B.span_hashes(B.BYTE_CODES[buf], begins[use], ends[use]).view(np.int64)
+            keys = B.span_hashes(buf, begins[use], ends[use]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([data[a:b] for a, b in zip(begins[use].tolist(), ends[use].tolist(), strict=True)], pa.binary())], names=["key", "line_text"])
 
     return rows.mapInArrow(run, "key long, line_text binary")
@@ -215,13 +212,13 @@ def _sets(bodies: list[bytes]) -> list[np.ndarray]:
 
 def bodies(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, body): the text of each wanted line."""
-    asked = checkpoint(places.join(wanted.withColumnRenamed("rep", "key"), "key").select("key", "doc_id", "line"))
+    asked = stored(places.join(wanted.withColumnRenamed("rep", "key"), "key").select("key", "doc_id", "line"))
     found = line_texts(docs, asked).join(asked.select("key"), "key", "left_semi").dropDuplicates(["key"])
     return found.toDF("rep", "body")
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, key) of every line that holds a word; of keyed rows, with their `__row`."""
+    """(doc_id, line, key, twin) of every line that holds a word; of keyed rows, with their `__row`."""
     rows = docs.select(F.col("__id").alias("doc_id"), "text", "__row") if "__row" in docs.columns else _slim(docs)
     passed = [c for c in rows.columns if c != "text"]
 
@@ -231,39 +228,42 @@ def line_keys(docs: DataFrame) -> DataFrame:
             begins, ends, doc, number, wordy = line_bounds(buf, off)
             at = np.flatnonzero(wordy)
             own = [pa.array(part.column(c).to_numpy()[doc[at]]) for c in passed]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(number[at]), pa.array(B.span_hashes(B.BYTE_CODES[buf], begins[at], ends[at]).view(np.int64))], names=[*passed, "line", "key"])
+            keys = [pa.array(B.span_hashes(buf, begins[at], ends[at], seed).view(np.int64)) for seed in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(number[at]), *keys], names=[*passed, "line", "key", "twin"])
 
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*passed, "line", "key"]))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*passed, "line", "key", "twin"]))
 
 
-def line_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(key, doc_id, line): each distinct line's first place; and (key, component) of linked lines."""
-    rows = signed_lines(docs)
+def line_homes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(key, twin, component, kept_doc_id, kept_line) of each distinct line, stored: its component (null where it is alone) and where that one's first line stands."""
     # About ten lines a document; a wrong guess only changes the chunks' size.
     chunks = max(1, -(-10 * docs.count() // CHUNK_LINES))
-    signed = rows.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
-    signed = checkpoint(signed)
-    place = signed.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("p"))
-    places = checkpoint(place.select("key", "p.doc_id", "p.line"))
-    lists = checkpoint(candidate_lists(signed, chunks))
-    return places, connected(links(lists, lambda wanted: bodies(docs, places, wanted), _sets, percent))
-
-
-def line_homes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(key, kept_doc_id, kept_line) of each distinct line: where its component's first line stands; and (node, component) of linked lines."""
-    places, parts = line_classes(docs, percent)
-    linked = places.join(parts.withColumnRenamed("node", "key"), "key").groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("p"))
-    homes = parts.join(linked, "component").select(F.col("node").alias("key"), "p")
-    return checkpoint(places.join(homes, "key", "left").select("key", F.coalesce("p.doc_id", "doc_id").alias("kept_doc_id"), F.coalesce("p.line", "line").alias("kept_line"))), parts
+    width = X.key_bytes(chunks)
+    signed = signed_lines(docs, width).withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
+    listed = stored(listed_lines(signed, chunks, width))
+    lists = listed.where("value is not null").select("value", F.col("key").alias("rep"))
+    places = listed.where("value is null").drop("value")
+    parts = linked(lists, lambda wanted: bodies(docs, places, wanted), _sets, percent)
+    grouped = places.join(parts.withColumnRenamed("node", "key"), "key")
+    firsts = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("p"))
+    homes = grouped.select("key", "component").join(firsts, "component")
+    out = stored(places.join(homes, "key", "left").select("key", "twin", "component", F.coalesce("p.doc_id", "doc_id").alias("kept_doc_id"), F.coalesce("p.line", "line").alias("kept_line")))
+    release(listed, parts)
+    return out
 
 
 def _judged(keys: DataFrame, homes: DataFrame) -> DataFrame:
-    return keys.join(homes, "key").withColumn("kept", (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("line") == F.col("kept_line")))
+    """A line goes only if its second fingerprint says too that it is the line that was judged."""
+    met = keys.join(homes.withColumnRenamed("twin", "_twin"), "key")
+    same = F.col("twin") == F.col("_twin")
+    for c, own in (("kept_doc_id", "doc_id"), ("kept_line", "line")):
+        met = met.withColumn(c, F.when(same, F.col(c)).otherwise(F.col(own)))
+    return met.withColumn("kept", (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("line") == F.col("kept_line"))).drop("twin", "_twin")
 
 
 def judged_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, line, kept_doc_id, kept_line, kept of every line with a word: where its component's first line stands."""
-    return _judged(line_keys(docs), line_homes(docs, percent)[0]).drop("key")
+    return _judged(line_keys(docs), line_homes(docs, percent)).drop("key", "component")
 
 
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -272,16 +272,16 @@ def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))).withColumn("kept_doc_id", F.nullif("kept_doc_id", F.lit(NO_ID)))
 
 
-def _later_rows(rows: DataFrame, homes: DataFrame, parts: DataFrame) -> DataFrame | None:
+def _later_rows(rows: DataFrame, homes: DataFrame) -> DataFrame | None:
     """(doc_id, __row, line) of the lines that stand at their component's first place, but in a later row of the same id."""
     ids = rows.groupBy(F.col("__id").alias("doc_id")).agg(F.min("__row").alias("a"), F.max("__row").alias("b"))
-    shared = checkpoint(ids.where("a < b").select(F.col("doc_id").alias("__id")))
+    shared = stored(ids.where("a < b").select(F.col("doc_id").alias("__id")))
     n = shared.count()
     if not n:
         return None
     keys = line_keys(rows.join(small_side(shared, n), "__id"))
-    tied = _judged(keys, homes).where("kept").join(parts.withColumnRenamed("node", "key"), "key", "left")
-    tied = checkpoint(tied.select("doc_id", "__row", "line", F.coalesce("component", "key").alias("component")))
+    tied = _judged(keys, homes).where("kept")
+    tied = stored(tied.select("doc_id", "__row", "line", F.coalesce("component", "key").alias("component")))
     first = tied.groupBy("component").agg(F.min("__row").alias("__first"))
     return tied.join(first, "component").where(F.col("__row") != F.col("__first")).select("doc_id", "__row", "line")
 
@@ -289,11 +289,14 @@ def _later_rows(rows: DataFrame, homes: DataFrame, parts: DataFrame) -> DataFram
 def drop_repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with only the kept and the blank lines in `text`; every row stays."""
     rows = keyed_rows(docs)
-    homes, parts = line_homes(docs, percent)
+    homes = line_homes(docs, percent)
     gone = _judged(line_keys(rows), homes).where("not kept").select("doc_id", "__row", "line")
-    later = _later_rows(rows, homes, parts)
+    later = _later_rows(rows, homes)
     gone = gone if later is None else gone.union(later)
-    lost = gone.groupBy(F.col("doc_id").alias("__id"), "__row").agg(F.collect_set("line").alias("__lost"))
+    lost = gone.groupBy(F.col("doc_id").alias("__id"), "__row").agg(F.collect_set(F.col("line").cast("int")).alias("__lost"))  # bounded by one document's lines
     joined = rows.join(lost, ["__id", "__row"], "left")
-    lines = F.filter(F.split(F.col("text"), "\n", -1), lambda x, i: ~F.array_contains(F.coalesce("__lost", F.array().cast("array<bigint>")), i.cast("long")))
-    return joined.withColumn("text", F.when(F.col("__lost").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))).select(*docs.columns)
+    split = F.split(F.col("text"), "\n", -1)
+    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "__lost")
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col("__split"), i)), "\n")
+    joined = joined.withColumn("__split", F.when(F.col("__lost").isNotNull(), split)).withColumn("__kept", kept)
+    return joined.withColumn("text", F.coalesce("__kept", "text")).select(*docs.columns)

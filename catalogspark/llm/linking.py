@@ -1,29 +1,22 @@
-"""Exact linking inside candidate lists, without testing all pairs of a long list.
+"""Exact linking inside candidate lists, without a row for each pair of a list.
 
 Sets x and y link when their Jaccard similarity reaches t. A list names sets that
-may link. A short list is tested pair by pair. In a long one, a hub is compared
-with every member; members linked to it are connected, and for the rest:
-
-    if x does not link with hub h, whoever links with x shares an element of the
-    symmetric difference D(x) = x ^ h with it.
-
-For if D(x) and D(y) were disjoint, |x ^ y| = |D(x)| + |D(y)|, and y would be no
-more similar to x than h is. So members are listed anew, under elements of their
-D, the rarest of the group first: pairs that only share what the whole group
-shares no longer meet. With b = (1 - t) / (1 + t), x and y link
-when |x ^ y| <= b (|x| + |y|), which bounds the overlap of their D from below, so
-a prefix of each D is enough:
-
-- against a member not linked to h, any z shares more than (|D(z)| + b (|h| - |z|)) / 2;
-- far members share at least |D(x)| - b (|x| + |x| / t);
-- a member linked to h only meets one that is not, which must list its whole D
-  if it is near enough to link with any such member at all.
-
-Of the new lists each member first tries a few hubs; then lists and pairs inside
-one component are left out, since only components are asked for. Very long lists
-are handled likewise again, so a family inside a group gets its own hub.
-After LEVELS rounds what is left is tested pair by pair. All steps are joins and
-aggregations on Spark; no list is gathered in one task.
+may link, and only components of links are asked for.
+
+1. Hubs: the set of a list that stands in most lists is its hub, and lists of one
+   hub are one group. A hub is compared with every member of its group, which
+   makes as many rows as the group has members.
+2. Components of these links: what lies in one component need not meet again, so
+   a family of near copies is settled by its hub, however large it is.
+3. Tiles: members outside their hub's component are compared with the group's
+   others. Both are packed into blocks of bounded size, and a row is a pair of
+   blocks. Inside a tile, overlaps of all its pairs are counted by a product of
+   incidence matrices; a tile passes on a forest of its links.
+4. Components of both.
+
+Every pair of a list is thus tested or known to be connected. Where sets come with
+a sketch (their smallest elements), pairs of hubs and of tiles are first estimated
+by the union of the two sketches, and only what passes is tested in full.
 """
 
 from __future__ import annotations
@@ -32,81 +25,31 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
-from catalogspark.llm.common import checkpoint
+from catalogspark.llm.common import partitions, release, stored
 from catalogspark.llm.components import connected
 
-#: Pairs up to which a list is tested pair by pair, at first and later on. A hub
-#: spreads each member over as many new lists as its D has elements, so that in
-#: later rounds it only pays for lists much longer than that.
-SHORT = (1 << 8, 1 << 18)
-LEVELS = 8
-#: Hubs of later lists that a member tries first.
-TRIES = 4
+#: Members, and elements of members, of one block.
+BLOCK_SETS = 256
+BLOCK_ELEMENTS = 1 << 18
+#: Elements of one matrix product.
+COLUMNS = 4096
+#: Pairs that are tested one by one rather than by a product.
+FEW = 64
 
 Decode = Callable[[list[bytes]], list[np.ndarray]]
+Sketch = tuple[int, float]  # elements, and the lowest estimate that may link
 
 
-def start_lists(lists: DataFrame) -> DataFrame:
-    """First lists from (value, rep, n): the hub is the set in most lists, the one with the fewest elements of its own."""
+def groups(lists: DataFrame) -> DataFrame:
+    """(g, rep): the members of each hub's group, from (value, rep) lists; the hub g is one of them."""
     often = lists.groupBy("rep").agg((-F.count(F.lit(1))).alias("w"))
-    return lists.join(often, "rep").select("value", "rep", "n", "w", F.lit(True).alias("lead"), F.lit(False).alias("near"))
-
-
-def _heads(lists: DataFrame, level: int) -> DataFrame:
-    """Of each list with an eligible pair: whether it is short, and its own best hub."""
-    heads = lists.groupBy("value").agg(
-        F.count_if("lead").alias("p"),
-        F.count(F.lit(1)).alias("m"),
-        F.count_if(~F.col("near")).alias("open"),
-        F.min(F.when(F.col("lead"), F.struct("w", "rep"))).alias("hub"),
-        F.min("c").alias("lo"),
-        F.max("c").alias("hi"),
-    )
-    return heads.where("p > 0 and m > 1 and open > 0 and lo < hi").select("value", (F.col("p") * F.col("m") <= SHORT[min(level, 1)]).alias("short"), "hub")
-
-
-def _hubs(lists: DataFrame, heads: DataFrame) -> DataFrame:
-    """(value, hub): the best hub that any member's lists have, so that a group's lists share its centre. A hub need not be a member."""
-    members = lists.where("lead").select("value", "rep").join(heads, "value")
-    best = members.groupBy("rep").agg(F.min("hub").alias("best"))
-    return members.select("value", "rep").join(best, "rep").groupBy("value").agg(F.min("best").alias("hub")).select("value", F.col("hub.rep").alias("hub"))
-
-
-def short_pairs(lists: DataFrame, heads: DataFrame, percent: int, level: int) -> DataFrame:
-    """(a, b), a < b: the eligible pairs of lists with few leading rows."""
-    side = lambda s, df: df.select("value", *[F.col(c).alias(c + s) for c in ("rep", "n", "w", "lead", "near", "c")])
-    one = side("1", lists.where("lead").join(heads.select("value"), "value", "left_semi"))
-    met = one.join(side("2", lists), "value")
-    rule = (F.col("near1") & ~F.col("near2")) | (~F.col("near1") & F.col("lead2"))
-    size = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
-    if level:  # |D(x)| and |D(y)| differ by at most |x ^ y|
-        size = size & ((100 + percent) * F.abs(F.col("w1") - F.col("w2")) <= (100 - percent) * (F.col("n1") + F.col("n2")))
-    met = met.where((F.col("c1") != F.col("c2")) & rule & size)
-    return met.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
-
-
-def first_tries(lists: DataFrame, heads: DataFrame) -> DataFrame:
-    """(a, b): each member apart from its hub with the best hubs of its new lists, a few a member. What they link need not be tested again."""
-    tries = lists.where("not near").join(heads.select("value", "hub"), "value").where("rep != hub.rep")
-    few = tries.groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("hub")), 1, TRIES).alias("hubs"))  # one a list of the member: bounded by its D
-    return few.select("rep", F.explode("hubs").alias("h")).select(F.least("rep", "h.rep").alias("a"), F.greatest("rep", "h.rep").alias("b")).distinct()
-
-
-def with_parts(rows: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """rows with `c`, the component of each set so far: its own before any link is known."""
-    if parts is None:
-        return rows.withColumn("c", F.col("rep"))
-    return rows.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
-
-
-def star_pairs(lists: DataFrame, heads: DataFrame, level: int) -> DataFrame:
-    """(g, a, b): every member of a long list with its hub. Lists of one hub are one group at first."""
-    met = lists.join(_hubs(lists, heads), "value").where("rep != hub")
-    return met.select((F.col("value") if level else F.col("hub")).alias("g"), F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    weighed = lists.join(often, "rep")
+    hubs = weighed.groupBy("value").agg(F.min(F.struct("w", "rep")).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    return lists.join(hubs.select("value", F.col("hub.rep").alias("g")), "value").select("g", "rep").distinct()
 
 
 def _shared(x: np.ndarray, y: np.ndarray) -> int:
@@ -115,114 +58,155 @@ def _shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _each_once(ids: list[int], bodies: pa.Array, decode: Decode) -> list[np.ndarray]:
-    """The sets of a run of pairs; a set that stands in several is decoded once."""
-    first = {x: i for i, x in reversed(list(enumerate(ids)))}
-    sets = dict(zip(first, decode(bodies.take(pa.array(list(first.values()))).to_pylist()), strict=True))
-    return [sets[x] for x in ids]
+def estimates(x: np.ndarray, y: np.ndarray, k: int) -> bool | float:
+    """Jaccard similarity by the k smallest elements of the union of two sketches."""
+    both = np.concatenate([x[:k], y[:k]])
+    both.sort()
+    twice = both[1:] == both[:-1]
+    ends = np.flatnonzero(np.concatenate([[True], ~twice]))
+    last = ends[k] if len(ends) > k else len(both)
+    return int(twice[: max(last - 1, 0)].sum()) / max(min(k, len(ends)), 1)
+
+
+def link(x: np.ndarray, y: np.ndarray, percent: int, sketch: Sketch | None) -> bool:
+    """One pair: by size, by estimate, then in full."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    if sketch is not None and estimates(x, y, sketch[0]) < sketch[1]:
+        return False
+    return (100 + percent) * _shared(x, y) >= percent * (len(x) + len(y))
+
+
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of xs shares with each of ys."""
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    if not xs or not ys:
+        return out
+    ex, ey = np.concatenate(xs), np.concatenate(ys)
+    common = np.intersect1d(ex, ey)
+    sides = []
+    for values, sets in ((ex, xs), (ey, ys)):
+        at, found = B.find(common, values)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[found]
+        at = at[found]
+        order = np.argsort(at, kind="stable")
+        sides.append((row[order], at[order]))
+    for first in range(0, len(common), COLUMNS):
+        left, right = (np.zeros((len(s), COLUMNS), np.float32) for s in (xs, ys))
+        for matrix, (row, at) in zip((left, right), sides, strict=True):
+            a, b = np.searchsorted(at, [first, first + COLUMNS])
+            matrix[row[a:b], at[a:b] - first] = 1
+        out += left @ right.T
+    return out
 
 
-def test_pairs(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int) -> Iterator[pa.RecordBatch]:
-    """Keeps the pairs that link."""
+def tile_links(xs: list[np.ndarray], ys: list[np.ndarray], apart: np.ndarray, percent: int, sketch: Sketch | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the pairs that link, among those that are apart so far."""
+    nx, ny = (np.array([len(s) for s in sets], np.int64) for sets in (xs, ys))
+    low, high = np.minimum(nx[:, None], ny[None, :]), np.maximum(nx[:, None], ny[None, :])
+    left = apart & (100 * low >= percent * high)
+    if left.sum() <= FEW:
+        pairs = np.array([(i, j) for i, j in zip(*np.nonzero(left), strict=True) if link(xs[i], ys[j], percent, sketch)], np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+    if sketch is not None:  # no estimate is above the share of the sketches' common elements
+        k, lowest = sketch
+        left &= overlaps([x[:k] for x in xs], [y[:k] for y in ys]) >= lowest * np.minimum(k, low)
+        for i, j in zip(*np.nonzero(left), strict=True):
+            left[i, j] = estimates(xs[i], ys[j], k) >= lowest
+    if left.any():
+        rows, cols = np.flatnonzero(left.any(axis=1)), np.flatnonzero(left.any(axis=0))
+        count = overlaps([xs[i] for i in rows], [ys[j] for j in cols]).astype(np.int64)
+        left[np.ix_(rows, cols)] &= (100 + percent) * count >= percent * (nx[rows][:, None] + ny[cols][None, :])
+    return np.nonzero(left)
+
+
+def test_stars(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int, sketch: Sketch | None) -> Iterator[pa.RecordBatch]:
+    """The (a, b) rows that link."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 1024):
-            part = batch.slice(i, 1024)
-            left, right = (_each_once(part.column(k).to_pylist(), part.column(f"x{k}"), decode) for k in "ab")
-            keep = [(100 + percent) * _shared(x, y) >= percent * (len(x) + len(y)) for x, y in zip(left, right, strict=True)]
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        hubs = batch.column("a").to_pylist()
+        first = {h: i for i, h in reversed(list(enumerate(hubs)))}
+        sets = dict(zip(first, decode(batch.column("xa").take(pa.array(list(first.values()), pa.int64())).to_pylist()), strict=True))
+        keep = [link(sets[h], x, percent, sketch) for h, x in zip(hubs, decode(batch.column("xb").to_pylist()), strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _forest(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """As few of the edges as join the same nodes."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    out = []
+    for x, y in zip(a, b, strict=True):
+        rx, ry = root(x), root(y)
+        if rx != ry:
+            parent[rx] = ry
+            out.append((x, y))
+    return out
 
 
-def _differences(h: np.ndarray, x: np.ndarray, percent: int) -> tuple[bool, np.ndarray, int, bool]:
-    """Whether x links with hub h; D(x); how many of its elements lead; whether all must be listed."""
-    both = np.concatenate([h, x])
-    both.sort()
-    twin = np.zeros(len(both) + 1, bool)
-    twin[1:-1] = both[1:] == both[:-1]
-    d = both[~(twin[:-1] | twin[1:])]
-    size, p, q = len(d), 100 + percent, 100 - percent
-    linked = p * size <= q * (len(h) + len(x))
-    # More than (|D| + b (|h| - |x|)) / 2 shared elements against members that do not link with h.
-    share = max(1, (p * size + q * (len(h) - len(x))) // (2 * p) + 1)
-    # Partners have up to |x| * 100 / percent elements.
-    share = max(share, size - (q * (len(x) + len(x) * 100 // percent)) // p)
-    # A member linked to h has |D(y)| <= b (|y| + |h|), and differs from x by at most b (|x| + |y|).
-    most_y = len(h) * 100 // percent
-    whole = not linked and p * size <= q * (2 * most_y + len(h) + len(x))
-    return linked, d, max(size - share + 1, 0), whole
-
-
-STARS = "g long, a long, rep long, n long, w long, near boolean, leads int, whole boolean, values array<long>"
-
-
-def test_stars(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int) -> Iterator[pa.RecordBatch]:
-    """A row for each member of a star: near if it links with the hub, its D, and how much of it to list."""
+def test_tiles(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int, sketch: Sketch | None) -> Iterator[pa.RecordBatch]:
+    """Edges between components that a tile links."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 128):
-            part = batch.slice(i, 128)
-            hubs = part.column("a").to_pylist()
-            decoded: dict[int, np.ndarray] = {}
-            for a, body in zip(hubs, part.column("xa").to_pylist(), strict=True):
-                if a not in decoded:
-                    decoded[a] = decode([body])[0]
-            sets = decode(part.column("xb").to_pylist())
-            got = [_differences(decoded[a], x, percent) for a, x in zip(hubs, sets, strict=True)]
-            # Members too far from all others list nothing.
-            lists = [d if leads > 0 else d[:0] for _, d, leads, _ in got]
-            offsets = np.concatenate([[0], np.cumsum([len(d) for d in lists])]).astype(np.int32)
-            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists).view(np.int64)))
-            column = lambda v, kind: pa.array(np.array(v, kind))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("g"), part.column("a"), part.column("b"), column([len(x) for x in sets], np.int64), column([len(r[1]) for r in got], np.int64), column([r[0] for r in got], bool), column([r[2] for r in got], np.int32), column([r[3] for r in got], bool), values],
-                names=["g", "a", "rep", "n", "w", "near", "leads", "whole", "values"],
-            )
-
-
-def next_lists(tested: DataFrame) -> DataFrame:
-    """Members under the elements of their D, the rarest of the group in front; elements of one member are left out."""
-    open_groups = tested.where("not near").select("g", "a").distinct()
-    each = tested.join(open_groups, ["g", "a"], "left_semi").select("g", "a", "rep", "n", "w", "near", "leads", "whole", F.explode("values").alias("v"))
-    each = each.withColumn("value", F.xxhash64("g", "a", "v"))
-    often = each.groupBy("value").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("g", "a", "rep").orderBy("df", "value")  # the elements of one set
-    ranked = each.join(often, "value").withColumn("lead", F.row_number().over(order) <= F.col("leads"))
-    return ranked.where("df > 1 and (lead or whole)").select("value", "rep", "n", "w", "lead", "near")
-
-
-def links(lists: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], decode: Decode, percent: int, first_filter: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """(a, b) edges whose components are those of all links among the sets listed in (value, rep, n).
+        for tile in batch.to_pylist():
+            sides = [tile["left"], tile["right"] if tile["right"] is not None else tile["left"]]
+            comps = [np.array([m["c"] for m in side], np.int64) for side in sides]
+            sets = [decode([m["body"] for m in side]) for side in sides]
+            apart = comps[0][:, None] != comps[1][None, :]
+            if tile["right"] is None:
+                apart &= np.arange(len(comps[0]))[:, None] < np.arange(len(comps[0]))[None, :]
+            i, j = tile_links(*sets, apart, percent, sketch)
+            edges = np.array(_forest(comps[0][i].tolist(), comps[1][j].tolist()), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+
+
+def tiles(members: DataFrame, parts: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(left, right): pairs of blocks that may hold links between components; right is null for a block with itself."""
+    comp = parts.select(F.col("node").alias("rep"), F.col("component").alias("c"))
+    marked = members.join(comp, "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    others = marked.where("rep != g").join(comp.toDF("g", "hc"), "g", "left").withColumn("far", F.col("c") != F.coalesce("hc", "g"))
+    sized = others.join(bodies.select("rep", F.octet_length("body").alias("size")), "rep")
+    parts_of = lambda n, size: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(size / (8 * BLOCK_ELEMENTS))).cast("int")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"), F.count_if("far").alias("nf"), F.sum(F.when(F.col("far"), F.col("size")).otherwise(0)).alias("sf"), F.min("c").alias("lo"), F.max("c").alias("hi")]
+    heads = sized.groupBy("g").agg(*sums).where("nf > 0 and lo < hi")
+    one = parts_of(F.col("n"), F.col("s")) == 1
+    heads = heads.select("g", F.when(one, 1).otherwise(parts_of(F.col("nf"), F.col("sf"))).alias("f"), F.when(one, 0).otherwise(parts_of(F.col("n") - F.col("nf"), F.col("s") - F.col("sf"))).alias("m"))
+    heads = stored(heads)
+    placed = others.join(heads, "g").withColumn("h", F.xxhash64(F.lit(3), "rep"))
+    block = F.when(F.col("far") | (F.col("m") == 0), F.pmod("h", F.greatest("f", F.lit(1)))).otherwise(F.col("f") + F.pmod("h", F.greatest("m", F.lit(1)))).cast("int")
+    filled = placed.withColumn("block", block).join(bodies, "rep").groupBy("g", "block").agg(F.collect_list(F.struct("c", "body")).alias("sets"))  # bounded by the block's size
+    filled = stored(filled)
+    pairs = heads.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("f") - 1))).withColumn("j", F.explode(F.sequence("i", F.col("f") + F.col("m") - 1))).select("g", "i", "j")
+    left, right = filled.toDF("g", "i", "left"), filled.toDF("g", "j", "right")
+    own = pairs.where("i = j").join(left, ["g", "i"]).select("g", "i", "j", "left", F.lit(None).cast(right.schema["right"].dataType).alias("right"))
+    met = pairs.where("i < j").join(left, ["g", "i"]).join(right, ["g", "j"]).select("g", "i", "j", "left", "right")
+    # Few, heavy rows: dealt so that every core gets some.
+    out = own.unionByName(met).repartition(4 * partitions(members.sparkSession), "g", "i", "j").select("left", "right")
+    out._behind = (heads, filled)
+    return out
+
+
+def linked(lists: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], decode: Decode, percent: int, sketch: Sketch | None = None) -> DataFrame:
+    """(node, component) of all sets that link, directly or through others, among those listed in (value, rep); a stored table.
 
     bodies_of takes a table of ids (`rep`) and returns (rep, body); decode turns
-    bodies into sorted arrays of distinct elements. first_filter may drop pairs
-    of short first lists that cannot link.
+    bodies into sorted arrays of distinct elements of 8 bytes. Tables are deleted
+    when the next ones stand.
     """
-    rows, out, bodies = checkpoint(start_lists(lists)), None, None
-
-    def with_bodies(df: DataFrame) -> DataFrame:
-        return df.join(bodies.toDF("b", "xb"), "b").join(bodies.toDF("a", "xa"), "a")
-
-    def tested_pairs(df: DataFrame) -> DataFrame:
-        return checkpoint(with_bodies(df).select("a", "b", "xa", "xb").mapInArrow(lambda it: test_pairs(it, decode, percent), "a long, b long"))
-
-    for level in range(LEVELS + 1):
-        if level:  # links make most pairs needless: components are what counts
-            tried = tested_pairs(checkpoint(first_tries(rows, checkpoint(_heads(with_parts(rows, None), level)))))
-            out = out.union(tried)
-        rows = checkpoint(with_parts(rows, connected(out) if level else None))
-        heads = checkpoint(_heads(rows, level))
-        few = heads.where(F.lit(True) if level == LEVELS else F.col("short"))
-        pairs = short_pairs(rows, few, percent, level)
-        if level == 0 and first_filter is not None:
-            pairs = first_filter(pairs)
-        pairs = checkpoint(pairs)
-        stars = checkpoint(star_pairs(rows, heads.where(F.lit(False) if level == LEVELS else ~F.col("short")), level))
-        if bodies is None:  # later levels only bring pairs of members of these stars
-            wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(stars.select("a")).union(stars.select("b")).distinct()
-            bodies = checkpoint(bodies_of(wanted))
-        found = tested_pairs(pairs)
-        out = found if out is None else out.union(found)
-        if stars.isEmpty():
-            break
-        tested = checkpoint(with_bodies(stars).select("g", "a", "b", "xa", "xb").mapInArrow(lambda it: test_stars(it, decode, percent), STARS))
-        out = out.union(tested.where("near").select("a", F.col("rep").alias("b")))
-        rows = checkpoint(next_lists(tested))
+    members = stored(groups(lists))
+    bodies = stored(bodies_of(members.select("rep").distinct()))
+    stars = members.where("rep != g").toDF("a", "b").join(bodies.toDF("b", "xb"), "b").join(bodies.toDF("a", "xa"), "a")
+    near = stored(stars.select("a", "b", "xa", "xb").mapInArrow(lambda it: test_stars(it, decode, percent, sketch), "a long, b long"))
+    parts = connected(near)
+    release(near)
+    met = tiles(members, parts, bodies)
+    more = stored(met.mapInArrow(lambda it: test_tiles(it, decode, percent, sketch), "a long, b long"))
+    release(members, bodies, *met._behind)
+    if more.isEmpty():
+        return parts
+    out = connected(parts.union(more))
+    release(parts, more)
     return out

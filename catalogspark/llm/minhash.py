@@ -9,10 +9,9 @@
    rarest values. Values are ordered by how many classes retain them, and a class
    is listed under its rarest ones: a value that many unrelated documents share
    lists none of them, unless they share most of their sketch.
-3. Links: pairs of short lists are first estimated by the union sketch (the K
-   smallest values of both), then decided by exact Jaccard on full sets. Long
-   lists are linked through hubs, exactly and without testing all their pairs
-   (see linking.py).
+3. Links: pairs are first estimated by the union sketch (the K smallest values of
+   both), then decided by exact Jaccard on full sets: each list's hub with all its
+   members, then in tiles those that the hubs leave apart (see linking.py).
 4. Components by distributed union-find.
 
 Defined cases: null or empty texts have an empty set and link with nothing; texts
@@ -33,9 +32,8 @@ from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
-from catalogspark.llm.common import NO_ID, checkpoint, keyed_rows, small_side
-from catalogspark.llm.components import connected
-from catalogspark.llm.linking import links
+from catalogspark.llm.common import NO_ID, keyed_rows, release, small_side, stored
+from catalogspark.llm.linking import linked
 
 SHINGLE = 5
 PERCENT = 85
@@ -59,13 +57,13 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, width: int = SHINGLE) -> tupl
     """The distinct shingle hashes of each document, in order, and where each document's begin (n + 1)."""
     low = B.ASCII_LOWER[buf]
     starts, ends, first = B.word_bounds(low, off, ~B.SPACE[low])
-    codes = B.span_hashes(B.BYTE_CODES[low], starts, ends)
+    codes = B.span_hashes(low, starts, ends)
     doc = B.owners(first)
     grams = B.rolling_hashes(codes, width)
     at = np.flatnonzero(doc[: len(grams)] == doc[width - 1 :]) if len(grams) else np.zeros(0, np.int64)
     n = np.diff(first)
     short = np.flatnonzero((n > 0) & (n < width))
-    keys = np.concatenate([grams[at], B.span_hashes(codes, first[short], first[short + 1])])
+    keys = np.concatenate([grams[at], B.span_hashes(codes.view(np.uint8), 8 * first[short], 8 * first[short + 1])])
     docs = np.concatenate([doc[at], short])
     order = np.lexsort((keys, docs))
     keys, docs = keys[order], docs[order]
@@ -143,20 +141,6 @@ def inverted_lists(classes: DataFrame, n_rows: int, most: int) -> DataFrame:
     return dealt.cogroup(counted.groupBy("chunk")).applyInArrow(lambda l, r: _list_values(l, r, most), "value long, rep long, n long")
 
 
-def _estimate(batches: Iterator[pa.RecordBatch], lowest: float, k: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-            both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-            both.sort()
-            twice = both[1:] == both[:-1]
-            union = np.concatenate([[True], ~twice])
-            ends = np.flatnonzero(union)
-            last = ends[k] if len(ends) > k else len(both)
-            keep.append(int(twice[: max(last - 1, 0)].sum()) >= lowest * min(k, len(ends)))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in B.slices(batches, "text"):
         keys, bounds = shingle_sets(*B.utf8(part.column("text")))
@@ -165,16 +149,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(), pa.array(rows, pa.binary())], names=["rep", "body"])
 
 
-def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """The pairs whose union sketch allows for the threshold."""
-    sketch = classes.select("rep", "sketch")
-    near = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-    return near.mapInArrow(lambda it: _estimate(it, lowest_estimate(percent, k), k), "a long, b long")
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, body): the whole shingle sets of the wanted documents; only those leave the scan where they are few."""
-    wanted = checkpoint(wanted)
+    wanted = stored(wanted)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     chosen = rows.join(small_side(wanted.withColumnRenamed("rep", "doc_id"), wanted.count()), "doc_id")
     return chosen.mapInArrow(_sets, "rep long, body binary").dropDuplicates(["rep"])
@@ -186,13 +163,14 @@ def _arrays(bodies: list[bytes]) -> list[np.ndarray]:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
-    rows = checkpoint(sketches(docs, k))
-    classes = checkpoint(rows.where("n > 0").groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")))
-    lists = checkpoint(inverted_lists(classes, classes.count(), listed(percent, k)))
-    found = links(lists, lambda wanted: full_sets(docs, wanted), _arrays, percent, lambda pairs: estimated(pairs, classes, percent, k))
-    parts = connected(found)
+    rows = stored(sketches(docs, k))
+    classes = stored(rows.where("n > 0").groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")))
+    lists = stored(inverted_lists(classes, classes.count(), listed(percent, k)))
+    parts = linked(lists, lambda wanted: full_sets(docs, wanted), _arrays, percent, (k, lowest_estimate(percent, k)))
     placed = classes.select("n", "sum_a", "sum_b", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sum_a", "sum_b", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("doc_id", "n", "sum_a", "sum_b").join(checkpoint(placed), ["n", "sum_a", "sum_b"], "left")
+    placed = stored(placed)
+    release(lists, classes, parts)
+    out = rows.select("doc_id", "n", "sum_a", "sum_b").join(placed, ["n", "sum_a", "sum_b"], "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))).withColumn("component_id", F.nullif("component_id", F.lit(NO_ID)))
 
@@ -201,9 +179,9 @@ def drop_near(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with the first row, by id, of each component; docs' own columns."""
     rows = keyed_rows(docs).withColumn("__key", F.xxhash64("__id", "__row"))
     near = near_duplicates(rows.select(F.col("__key").alias("doc_id"), "text"), percent).where("not kept")
-    others = checkpoint(near.select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__component")).distinct())
-    members = checkpoint(others.union(others.select("__component", "__component").distinct()))
-    places = checkpoint(rows.select("__id", "__key").join(small_side(members, members.count()), "__key").distinct())
+    others = stored(near.select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__component")).distinct())
+    members = stored(others.union(others.select("__component", "__component").distinct()))
+    places = stored(rows.select("__id", "__key").join(small_side(members, members.count()), "__key").distinct())
     first = places.groupBy("__component").agg(F.min(F.struct("__id", "__key")).alias("__first"))
-    lost = checkpoint(places.join(first, "__component").where(F.col("__key") != F.col("__first.__key")).select("__key"))
+    lost = stored(places.join(first, "__component").where(F.col("__key") != F.col("__first.__key")).select("__key"))
     return rows.join(small_side(lost, lost.count()), "__key", "left_anti").select(*docs.columns)

@@ -63,7 +63,7 @@ def measure_block(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     np.cumsum(_SYMBOL[buf], out=symbols[1:])
     out = {"n_words": np.diff(first), "word_chars": points[off[1:]] - points[off[:-1]], "n_symbols": symbols[off[1:]] - symbols[off[:-1]], "n_repeat_words": np.zeros(n, np.int64)}
     if len(starts) >= WINDOW:
-        grams = B.rolling_hashes(B.span_hashes(B.BYTE_CODES[buf], starts, ends), WINDOW)
+        grams = B.rolling_hashes(B.span_hashes(buf, starts, ends), WINDOW)
         doc = B.owners(first)
         at = np.flatnonzero(doc[: len(grams)] == doc[WINDOW - 1 :])
         key = grams[at] ^ B.mix(doc[at].astype(np.uint64) + np.uint64(1))

@@ -48,7 +48,7 @@ class Words:
         self.ids = part.column("doc_id").to_numpy()
         self.buf, self.off = B.utf8(part.column("text"))
         starts, ends, self.first = B.word_bounds(self.buf, self.off, ~B.SPACE[self.buf])
-        self.codes = B.span_hashes(B.BYTE_CODES[self.buf], starts, ends)
+        self.codes = B.span_hashes(self.buf, starts, ends)
         self.doc = B.owners(self.first)
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -59,8 +59,8 @@ def context_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lefts:
     out = [np.zeros(0, np.uint64)]
     for i in range(0, len(starts), 4096):
         a, n = starts[i : i + 4096], sizes[i : i + 4096].astype(np.int64)
-        codes = B.BYTE_CODES[data[a[0] : a[-1] + n[-1]]]
-        out.append(B.mix(B.span_hashes(codes, a - a[0], a - a[0] + n) + lefts[i : i + 4096].astype(np.uint64)))
+        part = data[a[0] : a[-1] + n[-1]]
+        out.append(B.mix(B.span_hashes(part, a - a[0], a - a[0] + n) + lefts[i : i + 4096].astype(np.uint64)))
     return np.concatenate(out)
 
 
@@ -70,13 +70,12 @@ class Runs:
     def __init__(self, part: pa.Table):
         self.ids = part.column("doc_id").to_numpy()
         self.buf, self.off = B.utf8(part.column("text"))
-        self.codes = B.BYTE_CODES[self.buf]
         n = len(self.buf) - WINDOW + 1
         if n <= 0:
             self.first = self.last = self.anchor = self.doc = np.zeros(0, np.int64)
             self.gram = np.zeros(0, np.uint64)
             return
-        grams = B.rolling_hashes(self.codes, GRAM)
+        grams = B.rolling_bytes(self.buf, GRAM)
         low = (grams & _HIGH) | np.arange(len(grams), dtype=np.uint64)
         width = 1
         while 2 * width <= SPREAD + 1:
@@ -97,7 +96,7 @@ class Runs:
 
     def contexts(self) -> np.ndarray:
         """Fingerprint of each run's context and of the anchor's place in it."""
-        return B.mix(B.span_hashes(self.codes, self.first, self.last + WINDOW) + (self.anchor - self.first).astype(np.uint64))
+        return B.mix(B.span_hashes(self.buf, self.first, self.last + WINDOW) + (self.anchor - self.first).astype(np.uint64))
 
 
 def chunk_grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:

@@ -198,7 +198,7 @@ def test_segments_encode_like_whole_texts(tokenizer, seed):
     buf = np.frombuffer(b"".join(data), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(x) for x in data])])
     starts = packing.segment_starts(buf, off)
-    ids, lengths = cache.encode(buf, starts)
+    ids, lengths = cache.encode(buf, starts, off)
     ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, off)]
     for i, x in enumerate(texts):
         assert ids[ends[i] : ends[i + 1]].tolist() == cache.tokenizer.encode(x, add_special_tokens=False).ids, repr(x)
