@@ -31,6 +31,7 @@ ASCII_LOWER[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LEFT = np.uint64(0xA0761D6478BD642F)
 _RIGHT = np.uint64(0xE7037ED1A0B428DB)
+_EIGHT = np.uint64(8 * int(_LEFT) % (1 << 64))
 #: The bytes of a little-endian eight that belong to a span with so many left.
 _HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
@@ -73,6 +74,11 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return mix(total + size.astype(np.uint64) * _LEFT)
 
 
+def eight_hashes(buf: np.ndarray) -> np.ndarray:
+    """What span_hashes gives for the eight bytes from each place on."""
+    return mix(mix(eights(buf)[: max(len(buf) - 7, 0)] ^ _salts(1, 0)[0]) + _EIGHT)
+
+
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Fingerprint of two stretches one after another."""
     return mix(left * _LEFT + (right ^ (right >> np.uint64(31))) * _RIGHT)

@@ -54,11 +54,25 @@ def by_bucket(bucket: np.ndarray, fields: dict[str, np.ndarray], widths: np.ndar
     return out
 
 
+def flat(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column in a row, and the size of each value."""
+    column = table.column(name)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    _, offsets, data = column.buffers()
+    off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return (np.frombuffer(data, np.uint8)[off[0] : off[-1]] if data is not None else np.zeros(0, np.uint8)), np.diff(off)
+
+
 def unpack(table: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
     """All values of a packed column, and the row that each comes from."""
-    parts = [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-    rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    return (np.concatenate(parts) if parts else np.zeros(0, kind)), rows
+    data, size = flat(table, name)
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data.tobytes(), kind), np.repeat(np.arange(len(size)), size // width)
 
 
 def reply(table: pa.Table, rows: np.ndarray, fields: dict[str, np.ndarray]) -> pa.Table:
@@ -90,12 +104,10 @@ def to_bytes(keys: np.ndarray, width: int) -> np.ndarray:
 
 def unpack_keys(table: pa.Table, width: int, name: str = "keys") -> tuple[np.ndarray, np.ndarray]:
     """Narrow keys of all rows, and the row of each."""
-    parts = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in table.column(name).to_pylist()]
-    rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    out = np.zeros((len(rows), 8), np.uint8)
-    if len(rows):
-        out[:, :width] = np.concatenate(parts)
-    return out.view("<u8").reshape(-1), rows
+    data, size = flat(table, name)
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = data.reshape(-1, width)
+    return out.view("<u8").reshape(-1), np.repeat(np.arange(len(size)), size // width)
 
 
 def send_repeats(keys: np.ndarray, ids: np.ndarray, chunk: int, buckets: int, width: int = 8) -> pa.Table:

@@ -78,7 +78,12 @@ def char_shingles(lines: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray,
     count = np.maximum(size - width + 1, 1)
     bounds = np.concatenate([[0], np.cumsum(count)])
     at = np.repeat(done[:-1] - bounds[:-1], count) + np.arange(bounds[-1])
-    return B.span_hashes(buf, chars[at], chars[np.minimum(at + width, np.repeat(done[1:], count))]), bounds
+    begin, end = chars[at], chars[np.minimum(at + width, np.repeat(done[1:], count))]
+    eight = B.eight_hashes(buf)
+    out = eight[np.minimum(begin, len(eight) - 1)] if len(eight) else np.zeros(len(begin), np.uint64)
+    other = np.flatnonzero(end - begin != 8)
+    out[other] = B.span_hashes(buf, begin[other], end[other])
+    return out, bounds
 
 
 def signatures(lines: list[bytes]) -> np.ndarray:
@@ -108,7 +113,10 @@ def _some(lines: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def signed_lines(docs: DataFrame, width: int) -> DataFrame:
-    """(key, twin, doc_id, line, bands): each distinct line, about once a task, with a place where it stands. twin is a second fingerprint."""
+    """(key, twin, doc_id, line, again, bands): each distinct line of a block, with its first place there and whether it has others.
+
+    twin is a second fingerprint; bands are given about once a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -119,8 +127,9 @@ def signed_lines(docs: DataFrame, width: int) -> DataFrame:
             at = np.flatnonzero(wordy)
             keys = B.span_hashes(buf, begins[at], ends[at])
             order = np.lexsort((number[at], ids[doc[at]], keys))
-            first = order[np.concatenate([[True], keys[order][1:] != keys[order][:-1]])] if len(order) else order
-            keys, at = keys[first], at[first]
+            begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(order) else order
+            again = np.diff(np.append(begin, len(order))) > 1
+            keys, at = keys[order[begin]], at[order[begin]]
             fresh = np.array([k not in seen for k in keys.tolist()], bool)
             if len(seen) > SEEN:
                 seen.clear()
@@ -133,9 +142,9 @@ def signed_lines(docs: DataFrame, width: int) -> DataFrame:
                 signed = X.to_bytes(X.narrow(signatures(lines[a:b]), width).ravel(), width).reshape(b - a, -1)
                 bands[new[a:b]] = [x.tobytes() for x in signed]
             twins = B.span_hashes(buf, begins[at], ends[at], seed=1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(twins.view(np.int64)), pa.array(ids[doc[at]]), pa.array(number[at]), pa.array(bands, pa.binary())], names=["key", "twin", "doc_id", "line", "bands"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(twins.view(np.int64)), pa.array(ids[doc[at]]), pa.array(number[at]), pa.array(again), pa.array(bands, pa.binary())], names=["key", "twin", "doc_id", "line", "again", "bands"])
 
-    return _slim(docs).mapInArrow(run, "key long, twin long, doc_id long, line long, bands binary")
+    return _slim(docs).mapInArrow(run, "key long, twin long, doc_id long, line long, again boolean, bands binary")
 
 
 def _slim(docs: DataFrame) -> DataFrame:
@@ -161,20 +170,26 @@ LISTED = "value long, key long, twin long, doc_id long, line long"
 
 
 def _list_bands(table: pa.Table, replies: pa.Table, width: int) -> pa.Table:
-    """A row (value, key) for each shared band, and one without a value for each distinct line, with its first place."""
+    """A row (value, key) for each shared band; and one without a value, with the first place, for each line that stands in several places or is listed."""
     known = np.sort(X.unpack_keys(replies, width)[0])
     one = _distinct(table)
     bands, row = X.unpack_keys(one, width, "bands")
     use = B.find(known, bands)[1]
-    places = table.select(["key", "twin", "doc_id", "line"]).sort_by([("key", "ascending"), ("doc_id", "ascending"), ("line", "ascending")])
-    keys = places.column("key").to_numpy()
-    places = places.take(pa.array(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys))
-    lists = pa.table({"value": pa.array(bands[use].view(np.int64)), "key": pa.array(one.column("key").to_numpy()[row[use]])})
+    listed = one.column("key").to_numpy()[row[use]]
+    lists = pa.table({"value": pa.array(bands[use].view(np.int64)), "key": pa.array(listed)})
+    keys, twins, ids, line, again = (table.column(c).to_numpy() for c in ("key", "twin", "doc_id", "line", "again"))
+    order = np.lexsort((line, ids, keys))
+    begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else order
+    many = np.diff(np.append(begin, len(keys))) > 1
+    many |= np.logical_or.reduceat(again[order], begin) if len(keys) else many
+    at = order[begin]
+    at = at[many | B.find(np.unique(listed), keys[at])[1]]
+    places = pa.table({"key": pa.array(keys[at]), "twin": pa.array(twins[at]), "doc_id": pa.array(ids[at]), "line": pa.array(line[at])})
     return pa.concat_tables([lists, places], promote_options="default").select(["value", "key", "twin", "doc_id", "line"])
 
 
 def listed_lines(signed: DataFrame, chunks: int, width: int) -> DataFrame:
-    """LISTED rows: band keys that at least two different lines share, with the lines' keys; and every distinct line's first place."""
+    """LISTED rows: band keys that at least two different lines share, with the lines' keys; and the first place of lines that are listed or stand in several places."""
     buckets = max(1, chunks // 4)
     dealt = signed.groupBy("chunk")
     sent = dealt.applyInArrow(lambda key, t: _send_bands(key[0].as_py(), t, buckets, width), X.SENT)
@@ -235,7 +250,10 @@ def line_keys(docs: DataFrame) -> DataFrame:
 
 
 def line_homes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(key, twin, component, kept_doc_id, kept_line) of each distinct line, stored: its component (null where it is alone) and where that one's first line stands."""
+    """(key, twin, component, kept_doc_id, kept_line), stored: a line's component (null where it is alone) and where that one's first line stands.
+
+    A line that stands in one place and is listed with no other has no row.
+    """
     # About ten lines a document; a wrong guess only changes the chunks' size.
     chunks = max(1, -(-10 * docs.count() // CHUNK_LINES))
     width = X.key_bytes(chunks)
@@ -253,8 +271,8 @@ def line_homes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _judged(keys: DataFrame, homes: DataFrame) -> DataFrame:
-    """A line goes only if its second fingerprint says too that it is the line that was judged."""
-    met = keys.join(homes.withColumnRenamed("twin", "_twin"), "key")
+    """A line goes only if its second fingerprint says too that it is the line that was judged. Lines without a home are their own."""
+    met = keys.join(small_side(homes.withColumnRenamed("twin", "_twin"), homes.count()), "key", "left")
     same = F.col("twin") == F.col("_twin")
     for c, own in (("kept_doc_id", "doc_id"), ("kept_line", "line")):
         met = met.withColumn(c, F.when(same, F.col(c)).otherwise(F.col(own)))

@@ -39,6 +39,8 @@ BLOCK_ELEMENTS = 1 << 18
 COLUMNS = 4096
 #: Pairs that are tested one by one rather than by a product.
 FEW = 64
+#: Tiles decoded together.
+TOGETHER = 32
 
 Decode = Callable[[list[bytes]], list[np.ndarray]]
 Sketch = tuple[int, float]  # elements, and the lowest estimate that may link
@@ -148,19 +150,31 @@ def _forest(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def _members(column: pa.ListArray, decode: Decode) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+    """Components and sets of the blocks of a few tiles, decoded together."""
+    size = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = column.flatten()
+    comps, sets = flat.field("c").to_numpy(), decode(flat.field("body").to_pylist())
+    ends = np.cumsum(size).tolist()
+    return [(comps[b - n : b], sets[b - n : b]) for b, n in zip(ends, size.tolist(), strict=True)]
+
+
 def test_tiles(batches: Iterator[pa.RecordBatch], decode: Decode, percent: int, sketch: Sketch | None) -> Iterator[pa.RecordBatch]:
     """Edges between components that a tile links."""
     for batch in batches:
-        for tile in batch.to_pylist():
-            sides = [tile["left"], tile["right"] if tile["right"] is not None else tile["left"]]
-            comps = [np.array([m["c"] for m in side], np.int64) for side in sides]
-            sets = [decode([m["body"] for m in side]) for side in sides]
-            apart = comps[0][:, None] != comps[1][None, :]
-            if tile["right"] is None:
-                apart &= np.arange(len(comps[0]))[:, None] < np.arange(len(comps[0]))[None, :]
-            i, j = tile_links(*sets, apart, percent, sketch)
-            edges = np.array(_forest(comps[0][i].tolist(), comps[1][j].tolist()), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+        for start in range(0, batch.num_rows, TOGETHER):
+            part = batch.slice(start, TOGETHER)
+            both = zip(_members(part.column("left"), decode), _members(part.column("right"), decode), part.column("right").is_null().to_pylist(), strict=True)
+            edges = []
+            for left, right, own in both:
+                (ca, xs), (cb, ys) = left, left if own else right
+                apart = ca[:, None] != cb[None, :]
+                if own:
+                    apart &= np.arange(len(ca))[:, None] < np.arange(len(ca))[None, :]
+                i, j = tile_links(xs, ys, apart, percent, sketch)
+                edges += _forest(ca[i].tolist(), cb[j].tolist())
+            found = np.array(edges, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
 
 def tiles(members: DataFrame, parts: DataFrame, bodies: DataFrame) -> DataFrame:

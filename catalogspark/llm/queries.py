@@ -64,11 +64,11 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffi
 MIXING_SQL = """
 WITH c AS (SELECT coalesce(source, chr(0) || 'none') AS s, count(*) AS n FROM documents GROUP BY 1), t AS (SELECT sum(n) AS total, sum(sqrt(n)) AS w FROM c),
 r AS (SELECT s, sqrt(n) / w * total / n AS rate FROM c, t),
-d AS (SELECT doc_id, source, rate, coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM documents JOIN r ON coalesce(source, chr(0) || 'none') = s),
+d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS text_md5, rate, coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM documents JOIN r ON coalesce(source, chr(0) || 'none') = s),
 u AS (SELECT *, (CAST('0x' || substr(md5('mixture:' || k), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM d),
 p AS (SELECT *, len(list_filter(range(0, 60), lambda i: list_sum(list_transform(range(0, i + 1), lambda j: exp(-rate + j * ln(rate) - lgamma(j + 1)))) < u)) AS n_copies FROM u),
 e AS (SELECT *, unnest(range(0, n_copies)) AS copy FROM p)
-SELECT doc_id, source, CAST(copy AS INT) AS copy, CAST(n_copies AS INT) AS n_copies, (CAST('0x' || substr(md5('mixture:' || k || ':' || CAST(copy AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS shuffle_key FROM e"""
+SELECT doc_id, source, text_md5, CAST(copy AS INT) AS copy, CAST(n_copies AS INT) AS n_copies, (CAST('0x' || substr(md5('mixture:' || k || ':' || CAST(copy AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS shuffle_key FROM e"""
 
 #: The measurements and rules, over one row a window and one a line.
 QUALITY_SQL = r"""
@@ -83,4 +83,44 @@ b AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_rep
   + CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END + CASE WHEN word_chars < 2 * n_words OR word_chars > 25 * n_words THEN 16 ELSE 0 END AS failed_bits FROM m)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) > 0 AS base_failed, failed_bits = 0 AS kept, n_lines, failed_bits FROM b"""
 
-ORACLE_SQL: dict[str, str] = {"op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL}
+#: Every byte of every document, as two hex digits; a removed string marks the 50 bytes from its start on.
+SUFFIX_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT doc_id, x, unnest(range(1, length(x) // 2 + 1)) AS i FROM d),
+g AS (SELECT doc_id, i, CASE WHEN i + 49 <= length(x) // 2 THEN substr(x, 2 * i - 1, 100) END AS w, substr(x, 2 * i - 1, 2) AS b FROM p),
+f AS (SELECT doc_id, i, b, w IS NOT NULL AND min(doc_id) OVER (PARTITION BY w) < doc_id AS early FROM g),
+c AS (SELECT doc_id, i, b, bool_or(early) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+s AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS lead FROM c),
+k AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (lead) AS n_spans, sha256(unhex(coalesce(string_agg(b, '' ORDER BY i) FILTER (NOT gone), ''))) AS kept_sha256 FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents),
+p AS (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM d),
+g AS (SELECT doc_id, i, CASE WHEN i + 49 <= len(x) THEN array_to_string(x[i:i + 49], ' ') END AS w, x[i] AS b FROM p),
+f AS (SELECT doc_id, i, b, w IS NOT NULL AND min(doc_id) OVER (PARTITION BY w) < doc_id AS early FROM g),
+c AS (SELECT doc_id, i, b, bool_or(early) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(b, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM c GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+#: The smallest node that each node of `links` reaches.
+COMPONENTS = """
+r AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a),
+m AS (SELECT a, least(a, min(b)) AS component FROM r GROUP BY a)"""
+
+EMBEDDING_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),{COMPONENTS}
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, vec_id = coalesce(component, vec_id) AS kept FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN m ON vec_id = m.a"""
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+MINHASH_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM p),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM o JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),{COMPONENTS}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept FROM d LEFT JOIN z USING (doc_id) LEFT JOIN m ON doc_id = m.a"""
+
+ORACLE_SQL: dict[str, str] = {"op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL}

@@ -10,7 +10,8 @@ dealt into buckets of about SLOT_ROWS rows by a hash of the key, numbered within
 (shard, bucket), and shifted by the running count of earlier buckets.
 
 Nulls: a null key hashes as the empty string, a null text counts no bytes.
-Repeated rows get the same shard and different slots. An empty table gives an
+Repeated rows get the same shard and different slots; among rows with equal key
+and text the slots are dealt in any order. An empty table gives an
 empty result. Extra columns stay out of the result.
 """
 
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalogspark.llm.common import stored
+
 SLOT_ROWS = 16_384
 SEED = "rendezvous"
 
@@ -67,5 +70,5 @@ def shard_documents(docs: DataFrame, shards: int = 24, weights: list[float] | No
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    placed = assign(slim, "doc_id", weights or [1.0] * shards).withColumn("law", F.lit("key"))
-    return number_slots(placed, "doc_id", docs.count()).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    placed = stored(assign(slim, "doc_id", weights or [1.0] * shards).withColumn("law", F.lit("key")))  # a few numbers a row: the texts are read once
+    return number_slots(placed, "doc_id", placed.count()).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
