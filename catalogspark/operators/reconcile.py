@@ -16,27 +16,17 @@ in input order.
 
 from __future__ import annotations
 
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.operators import match
 from catalogspark.operators.merge import canonical, survivors
+from catalogspark.session import checkpoint as settle
 
 COLUMNS = ("seq", "movie_title", "release_date", "studio", "tmdb_id", "media_type", "imdb_id", "bluray_url", "evidence_type", "quote")
 KEYED = (*COLUMNS, "title_key", "year", "url_key")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster shares."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or Path(tempfile.mkdtemp(prefix="spark-")).as_uri())
-    return df.checkpoint()
-
-
 def row_keys(rows: DataFrame) -> DataFrame:
     """(seq, key): every key that can bring a dated row together with another."""
     keys = F.array_compact(

@@ -6,16 +6,13 @@ the folder the cluster shares, so a lost executor repeats one stage's tasks only
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from pathlib import Path
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogspark.llm import lines, minhash, mixing, packing, quality
-from catalogspark.session import ship
+from catalogspark.session import shared_folder, ship
 
 #: Two documents with this share of their five-word shingles in common are near duplicates. op10's own 85 does not hold here.
 NEAR_PERCENT = 80
@@ -48,6 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequences and places."""
+    import public_tokenizers
+
     ship(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -60,9 +59,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each result is written and read again before the next."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or Path(tempfile.mkdtemp(prefix="spark-")).as_uri()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{folder}/corpus_pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
