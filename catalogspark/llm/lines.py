@@ -44,7 +44,7 @@ CHUNK_LINES = 8_192
 #: Lines that a task remembers so as not to sign them twice.
 SEEN = 200_000
 #: Characters hashed at a time: the hash functions run over arrays that stay in cache.
-SIGN_CHARS = 1 << 16
+SIGN_CHARS = 1 << 15
 
 _rng = np.random.default_rng(977)
 _MULTIPLY = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -69,35 +69,64 @@ def line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return begins, ends, docs, number, solid[ends] > solid[begins]
 
 
-def char_shingles(lines: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each line's character runs, repeats included, and where each line's begin (n + 1)."""
-    buf = np.frombuffer(b"".join(lines), np.uint8)
-    chars = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
-    done = np.searchsorted(chars, np.concatenate([[0], np.cumsum([len(x) for x in lines])]))
+def _runs(lines: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of characters under U+0100 are hashed as so many bytes; runs with others, and lines shorter than a run, as code points."""
+    joined = b"".join(lines)
+    done = np.cumsum(np.array([0, *map(len, lines)]))
+    if joined.isascii():
+        codes = None
+        low = np.frombuffer(joined, np.uint8)
+    else:
+        buf = np.frombuffer(joined, np.uint8)
+        done = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])[done]
+        codes = np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        low = codes.astype(np.uint8)
     size = np.diff(done)
-    count = np.maximum(size - width + 1, 1)
-    bounds = np.concatenate([[0], np.cumsum(count)])
-    at = np.repeat(done[:-1] - bounds[:-1], count) + np.arange(bounds[-1])
-    begin, end = chars[at], chars[np.minimum(at + width, np.repeat(done[1:], count))]
-    eight = B.eight_hashes(buf)
-    out = eight[np.minimum(begin, len(eight) - 1)] if len(eight) else np.zeros(len(begin), np.uint64)
-    other = np.flatnonzero(end - begin != 8)
-    out[other] = B.span_hashes(buf, begin[other], end[other])
+    # Every character begins a run but the last ones of a line; a shorter line is one run.
+    keep = np.ones(len(low), bool)
+    for k in range(1, width):
+        keep[np.maximum(done[1:] - k, done[:-1] + 1)[size > 1]] = False
+    bounds = np.concatenate([[0], np.cumsum(np.maximum(size - width + 1, 1))])
+    eight = B.eight_hashes(low)
+    out = np.zeros(len(low), np.uint64)
+    out[: len(eight)] = eight
+    out = out[keep]
+    other = np.flatnonzero(size < width)
+    spans = [(bounds[other], done[other], done[other + 1])]
+    if codes is not None and (wide := np.concatenate([[0], np.cumsum(codes > 255)]))[-1]:
+        begin = np.flatnonzero(keep)
+        some = np.flatnonzero(wide[np.minimum(begin + width, len(low))] > wide[begin])
+        some = some[~np.isin(some, bounds[other])]
+        spans.append((some, begin[some], begin[some] + width))
+    for at, first, last in spans:
+        if len(at):
+            data = (codes if codes is not None else low.astype(np.uint32)).view(np.uint8)
+            out[at] = B.span_hashes(data, 4 * first, 4 * last, seed=2)
     return out, bounds
 
 
+def char_shingles(lines: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each line's character runs, repeats included, and where each line's begin (n + 1). Some lines at a time, so that arrays stay in cache."""
+    parts = [_runs(lines[a:b], width) for a, b in _some(lines)]
+    if len(parts) == 1:
+        return parts[0]
+    shift = np.cumsum([0, *(len(x) for x, _ in parts)])
+    return np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in parts)]), np.concatenate([[0], *(b[1:] + s for (_, b), s in zip(parts, shift[:-1], strict=True))]).astype(np.int64)
+
+
 def signatures(lines: list[bytes]) -> np.ndarray:
     """One band key a line and band."""
     grams, bounds = char_shingles(lines)
     low = (grams >> np.uint64(32)).astype(np.uint32)
-    keys = np.zeros((len(lines), BANDS), np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(lines), band + 1, np.uint64)
-        for j in range(band * ROWS, (band + 1) * ROWS):
-            least = np.minimum.reduceat((low ^ _FLIP[j]) * _MULTIPLY[j], bounds[:-1])
-            key = B.mix((key << np.uint64(1)) ^ least)
-        keys[:, band] = key
-    return keys
+    least, work = np.empty((BANDS * ROWS, len(lines)), np.uint32), np.empty_like(low)
+    for j in range(BANDS * ROWS):
+        np.bitwise_xor(low, _FLIP[j], out=work)
+        np.multiply(work, _MULTIPLY[j], out=work)
+        np.minimum.reduceat(work, bounds[:-1], out=least[j])
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(lines), axis=1)
+    for row in range(ROWS):
+        keys = B.mix((keys << np.uint64(1)) ^ least[row::ROWS])
+    return np.ascontiguousarray(keys.T)
 
 
 def _some(lines: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -221,8 +250,17 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _sets(bodies: list[bytes]) -> list[np.ndarray]:
+    """The distinct run hashes of each line, in order."""
     grams, bounds = char_shingles(bodies)
-    return [np.unique(grams[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    cuts = bounds.tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        grams[a:b].sort()
+    new = np.ones(len(grams), bool)
+    new[1:] = grams[1:] != grams[:-1]
+    new[bounds[:-1]] = True
+    at = np.concatenate([[0], np.cumsum(new)])[bounds].tolist()
+    grams = grams[new]
+    return [grams[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def bodies(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
