@@ -61,17 +61,13 @@ _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def context_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lefts: np.ndarray, own: np.ndarray) -> np.ndarray:
+def context_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lefts: np.ndarray) -> np.ndarray:
     """Fingerprint of each context and of its anchor's place, as its sender took it; in pieces, so that memory stays small."""
     out = [np.zeros(0, np.uint64)]
     for i in range(0, len(starts), 4096):
         a, n = starts[i : i + 4096], sizes[i : i + 4096].astype(np.int64)
-        part, left = data[a[0] : a[-1] + n[-1]], lefts[i : i + 4096].astype(np.uint64)
-        keys = B.span_hashes(part, a - a[0], a - a[0] + n)
-        alone = np.flatnonzero(own[i : i + 4096])
-        if len(alone):
-            keys[alone] = B.rolling_bytes(part, WINDOW)[a[alone] - a[0]]
-        out.append(B.mix(keys + left))
+        part = data[a[0] : a[-1] + n[-1]]
+        out.append(B.mix(B.span_hashes(part, a - a[0], a - a[0] + n) + lefts[i : i + 4096].astype(np.uint64)))
     return np.concatenate(out)
 
 
@@ -111,13 +107,17 @@ class Runs:
         return B.mix(B.span_hashes(self.buf, self.first, self.last + WINDOW) + (self.anchor - self.first).astype(np.uint64))
 
 
+    def window_keys(self, start: np.ndarray) -> np.ndarray:
+        """Fingerprints of the windows that start there and of their anchors' places."""
+        return B.mix(B.span_hashes(self.buf, start, start + WINDOW) + (self.place[start] - start).astype(np.uint64))
+
     def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, documents and fingerprints of all windows of some runs, alike for equal windows."""
+        """Starts, documents and fingerprints of all windows of some runs."""
         if not len(runs):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         n = self.last[runs] - self.first[runs] + 1
         start = np.repeat(self.first[runs] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return start, np.repeat(self.doc[runs], n), B.mix(B.rolling_bytes(self.buf, WINDOW)[start] + (self.place[start] - start).astype(np.uint64))
+        return start, np.repeat(self.doc[runs], n), self.window_keys(start)
 
 
 def chunk_grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +226,7 @@ def find_earlier(table: pa.Table) -> pa.Table:
     own = X.unpack(table, "own", np.bool_)[0]
     data, _ = X.unpack(table, "data", np.uint8)
     begin = np.cumsum(sizes, dtype=np.int64) - sizes
-    keys = context_keys(data, begin, sizes, lefts, own)
+    keys = context_keys(data, begin, sizes, lefts)
     distinct, low, _, one = X.smallest(keys, ids)
     back, _ = B.find(distinct, keys)
     m = len(distinct)
@@ -261,8 +261,9 @@ def remove(table: pa.Table, earlier: pa.Table) -> pa.Table:
     marks = [r.contexts() if len(r.first) else np.zeros(0, np.uint64) for r in runs]
     owners = [r.ids[r.doc] for r in runs]
     keys, low, _, _ = X.smallest(np.concatenate(marks), np.concatenate(owners)) if runs else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None, None)
-    single = [r.windows(np.arange(len(r.first))) if len(alone) else None for r in runs]
-    if len(alone):  # the chunk's smallest document of each window that was dealt out by itself
+    # Windows that were dealt out by themselves are all answered, so the first one of a run tells.
+    single = [r.windows(np.flatnonzero(B.find(alone, r.window_keys(r.first))[1])) if len(alone) else None for r in runs]
+    if len(alone):  # the chunk's smallest document of each
         at = [B.find(alone, w[2]) for w in single]
         least = np.full(len(alone), NO_ID)
         for r, w, (place, found) in zip(runs, single, at, strict=True):
