@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,31 +14,45 @@ from catalogspark.operators import markup
 QUOTE_CHARS = 500
 
 
-def residue(clause: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
-    """What a clause says beside bracketed years and the two markers."""
-    out = F.regexp_replace(clause, rf"\(\s*{X.YEAR}\s*\)", " ")
-    out = F.regexp_replace(F.regexp_replace(out, rules.first, " "), rules.second, " ")
-    return F.regexp_replace(X.collapse_ws(out), r"""^[ \t:;,.!?()\[\]{}'"–—\-]+|[ \t:;,.!?()\[\]{}'"–—\-]+$""", "")
+def signs(c: Column) -> Column:
+    """The text as signs of known words; other words stay in lower case, white space goes, the word `and` is a delimiter.
 
+    Phrases of several words or with other marks are replaced one kind at a time; single words by a look into one map.
+    """
+    out = F.regexp_replace(F.coalesce(c, F.lit("")), rf"\(\s*{X.YEAR}\s*\)", " ")
+    single: dict[str, str] = {"and": "&"}
+    for kind in R.AS_WRITTEN:
+        out = F.regexp_replace(out, R.phrase_pattern(R.LEXICON[kind], any_case=False), f" {R.SIGNS[kind]} ")
+    out = F.lower(out)
+    for kind, phrases in R.LEXICON.items():
+        if kind not in R.AS_WRITTEN:
+            single |= {w: R.SIGNS[kind] for w in phrases if w.isalnum()}
+            if several := tuple(p for p in phrases if not p.isalnum()):
+                out = F.regexp_replace(out, R.phrase_pattern(several), f" {R.SIGNS[kind]} ")
+    words = F.split(F.regexp_replace(out, "([a-z0-9]+)", " $1 "), r"\s+")
+    known = F.create_map(*[F.lit(x) for kv in single.items() for x in kv])
+    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(known, w), w)), "")
 
-def allowed(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
-    """The residue is empty or one of the accepted phrases as a whole."""
-    loose = "(?i)^(?:" + "|".join(rules.allowed) + ")$"
-    strict = "^(?:" + "|".join(rules.allowed_as_written) + ")$"
-    return (c == "") | F.rlike(c, F.lit(loose)) | F.rlike(c, F.lit(strict))
 
+def _beside(clause: Column) -> Column:
+    """What a clause of signs says beside the two markers."""
+    return F.trim(F.regexp_replace(clause, f"[{R.SIGNS['first']}{R.SIGNS['second']}]", ""), F.lit(R.EDGES))
 
-def subject_clauses(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
-    """Clauses between delimiters; one that cannot stand alone takes the next one in if the two together can."""
-    parts = F.split(c, R.DELIMITER, -1)
-    marks = F.concat(F.regexp_extract_all(c, F.lit(rf"({R.DELIMITER})"), F.lit(1)), F.array(F.lit("")))
+
+def _accepted(clause: Column, rules: R.EvidenceRules) -> Column:
+    rest = _beside(clause)
+    return (rest == "") | F.rlike(rest, F.lit(rules.whole))
+
+
+def _folded(parts: Column, marks: Column, accepted, rest) -> Column:
+    """Clauses; one that cannot stand alone takes the next one in if the two together can."""
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
     indexed = F.transform(parts, lambda p, i: F.struct(i.alias("i"), p.alias("p")))
 
     def step(acc: Column, e: Column) -> Column:
         following = F.get(parts, e["i"] + 1)
         joined = F.concat(e["p"], F.get(marks, e["i"]), F.coalesce(following, F.lit("")))
-        fold = following.isNotNull() & ~allowed(residue(e["p"], rules), rules) & allowed(residue(joined, rules), rules) & (residue(joined, rules) != "")
+        fold = following.isNotNull() & ~accepted(e["p"]) & accepted(joined) & (rest(joined) != "")
         return F.when(acc["skip"], F.struct(acc["out"].alias("out"), F.lit(False).alias("skip"))).otherwise(
             F.struct(F.array_append(acc["out"], F.when(fold, joined).otherwise(e["p"])).alias("out"), fold.alias("skip"))
         )
@@ -44,30 +60,60 @@ def subject_clauses(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
     return F.aggregate(indexed, start, step, lambda acc: acc["out"])
 
 
+_CUT = f"[{R.DELIMITERS}]"
+
+
+def _sign_clauses(t: Column, rules: R.EvidenceRules) -> Column:
+    parts = F.split(t, _CUT, -1)
+    marks = F.regexp_extract_all(t, F.lit(f"({_CUT})"), F.lit(1))
+    return _folded(parts, F.concat(marks, F.array(F.lit(""))), lambda x: _accepted(x, rules), _beside)
+
+
+def subject_clauses(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
+    """Clauses of a text between delimiters, as it is written. The marks in names of sound formats are none."""
+    cut = rf"(?i)(?<!dts):|(?<!dd)\+|[{R.DELIMITERS.replace(':', '').replace('+', '')}]|\band\b"
+    marks = F.concat(F.regexp_extract_all(c, F.lit(f"({cut})"), F.lit(1)), F.array(F.lit("")))
+    return _folded(F.split(c, cut, -1), marks, lambda x: _accepted(signs(x), rules), lambda x: _beside(signs(x)))
+
+
+def _correlated(t: Column, rules: R.EvidenceRules) -> Column:
+    has = lambda x, kind: F.contains(x, F.lit(R.SIGNS[kind]))
+    told = X.once(_sign_clauses(t, rules), lambda cs: F.forall(cs, lambda x: _accepted(x, rules)) & F.exists(cs, lambda x: has(x, "first") & has(x, "second")))
+    return has(t, "first") & has(t, "second") & told
+
+
+def _unnegated_rival(t: Column, rules: R.EvidenceRules) -> Column:
+    return F.contains(F.regexp_replace(t, rules.rival_denied, ""), F.lit(R.SIGNS["rival"]))
+
+
 def correlated(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
     """Every clause is about the subject, and one holds both markers."""
-    clauses = subject_clauses(c, rules)
-    both = F.exists(clauses, lambda x: F.rlike(x, F.lit(rules.first)) & F.rlike(x, F.lit(rules.second)))
-    return F.rlike(c, F.lit(rules.first)) & F.rlike(c, F.lit(rules.second)) & F.forall(clauses, lambda x: allowed(residue(x, rules), rules)) & both
+    return X.once(signs(c), lambda t: _correlated(t, rules))
 
 
 def denied(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
-    out = F.lit(False)
-    for pattern in rules.denials:
-        out = out | F.rlike(c, F.lit(pattern))
-    return out
+    return F.rlike(signs(c), F.lit(rules.denied))
 
 
 def unnegated_rival(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
     """The rival marker stands somewhere without being denied there."""
-    left = F.regexp_replace(F.regexp_replace(c, rules.rival_denied_before, " "), rules.rival_denied_after, " ")
-    return F.rlike(left, F.lit(rules.rival))
+    return _unnegated_rival(signs(c), rules)
+
+
+def marked(c: Column) -> Column:
+    """Both markers stand in the text: the cheap test in front of all others."""
+    return F.rlike(c, F.lit(R.phrase_pattern(R.LEXICON["first"]))) & F.rlike(c, F.lit(R.phrase_pattern(R.LEXICON["second"])))
+
+
+def excluded(c: Column) -> Column:
+    return F.rlike(c, F.lit(R.phrase_pattern(R.LEXICON["excluded"])))
 
 
 def direct(c: Column, title: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
     """The text, its title masked, is correlated evidence that nothing excludes or denies."""
     masked = without_title(c, title)
-    return correlated(masked, rules) & ~F.rlike(masked, F.lit(rules.excluded)) & ~unnegated_rival(masked, rules) & ~denied(masked, rules)
+    told = X.once(signs(masked), lambda t: _correlated(t, rules) & ~F.contains(t, F.lit(R.SIGNS["excluded"])) & ~_unnegated_rival(t, rules) & ~F.rlike(t, F.lit(rules.denied)))
+    return marked(c) & F.when(marked(c), told).otherwise(False)
 
 
 def without_title(c: Column, title: Column) -> Column:
@@ -77,44 +123,101 @@ def without_title(c: Column, title: Column) -> Column:
 
 
 def is_device(c: Column) -> Column:
-    out = F.rlike(c, F.lit(R.DEVICES))
+    """Names playback hardware: a brand, a model or a word for it."""
+    brands = "|".join(re.escape(d).replace("\\ ", r"[\s-]*") for d in sorted(R.DEVICES, key=len, reverse=True))
+    models = "|".join(re.escape(b).replace("\\ ", r"[\s-]*") + rf"[\s-]*[0-9]{{{low},{high}}}" for b, low, high in R.MODELS)
+    out = F.rlike(c, F.lit(rf"(?i)(?<![A-Za-z0-9])(?:{brands}|{models})(?![A-Za-z0-9])"))
     for word in R.DEVICE_WORDS:
         out = out | F.contains(F.lower(c), F.lit(word))
     return out
 
 
+def is_time_stamp(c: Column) -> Column:
+    """Day, month, day of the month, year, and a time with am or pm, one after another."""
+
+    def stamped(w: Column) -> Column:
+        def here(i: Column) -> Column:
+            at = lambda k: F.coalesce(F.get(w, i + k), F.lit(""))
+            return at(0).isin(*R.DAYS) & at(1).isin(*R.MONTHS) & F.rlike(at(2), F.lit("^[0-9]{1,2}$")) & F.rlike(at(3), F.lit("^[0-9]{4}$")) & F.rlike(at(4), F.lit("^[0-9]{1,2}:[0-9]{2}$")) & at(5).isin("am", "pm")
+
+        return F.exists(F.sequence(F.lit(0), F.size(w) - 1), here)
+
+    return X.once(F.split(F.trim(F.lower(F.regexp_replace(c, ",", " "))), r"\s+"), stamped)
+
+
 def looks_like_title(c: Column) -> Column:
     """A film's name rather than hardware, prose or a time stamp."""
     low = F.lower(c)
-    out = F.rlike(c, F.lit("[A-Za-z0-9]")) & (F.length(c) <= 100) & ~is_device(c) & ~F.rlike(low, F.lit(r"^(?:this|that|these|those|it|they|he|she|we|i|you)\b"))
+    first = F.regexp_extract(low, "^([a-z]+)", 1)
+    out = F.rlike(c, F.lit("[A-Za-z0-9]")) & (F.length(c) <= 100) & ~is_device(c) & ~is_time_stamp(c) & ~first.isin(*R.DEICTIC)
     for word in R.BANNED_WORDS:
         out = out & ~F.contains(low, F.lit(word))
     return out & ~F.contains(low, F.lit("and/or"))
 
 
+#: How far the markers may stand from the verb, and from each other.
+FROM_VERB, APART = 120, 40
+TITLE_CHARS = 81
+#: The longest of the words in between that count themselves.
+LONGEST = 15
+
+
+def sentence_title(c: Column) -> Column:
+    """(title, year) of a sentence `Title (YYYY) is .. marker .. marker`; an empty title if it is none.
+
+    The title is what stands before the first binding word that leaves one.
+    """
+    verb = r"(?i)\s(?:" + "|".join(r"\s+".join(w.split()) for w in sorted(R.BINDING, key=len, reverse=True)) + r")(?![A-Za-z])"
+    dated = r"^(.*?)\s+\(([0-9]{4})\)$"
+
+    def read(at: Column) -> Column:
+        head, rest = F.trim(F.substr(c, F.lit(1), at - 1)), F.substr(c, at + 1)
+        return X.once(F.struct(at.alias("at"), head.alias("head"), F.regexp_instr(rest, F.lit(R.phrase_pattern(R.LEXICON["first"]))).alias("p"), F.regexp_instr(rest, F.lit(R.phrase_pattern(R.LEXICON["second"]))).alias("f")), judge)
+
+    def judge(x: Column) -> Column:
+        name = F.when(F.rlike(x["head"], F.lit(dated)), F.regexp_extract(x["head"], dated, 1)).otherwise(x["head"])
+        near = (x["p"] > 0) & (x["f"] > 0) & (F.least(x["p"], x["f"]) <= FROM_VERB + LONGEST) & (F.abs(x["p"] - x["f"]) <= APART + LONGEST)
+        plain = F.rlike(name, F.lit(rf"^[A-Za-z][A-Za-z0-9:'&.,!?\- ]{{1,{TITLE_CHARS - 1}}}$"))
+        good = (x["at"] > 0) & near & plain
+        return F.struct(F.when(good, name).otherwise("").alias("title"), F.when(good, F.regexp_extract(x["head"], dated, 2)).otherwise("").alias("year"))
+
+    return X.once(F.regexp_instr(c, F.lit(verb)), read)
+
+
 def sentence_evidence(records: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataFrame:
     """Candidates from (.., text): sentences `Title is .. marker .. marker`. The cheap marker test comes first."""
-    s = markup.sentences(records).where(F.rlike("sentence", F.lit(rules.second)) & F.rlike("sentence", F.lit(rules.first)))
-    s = s.withColumns({"title": F.trim(F.regexp_extract("sentence", R.TITLE_SENTENCE, 1)), "year": F.regexp_extract("sentence", R.TITLE_SENTENCE, 2)})
+    s = markup.sentences(records).where(marked(F.col("sentence"))).withColumn("_t", sentence_title(F.col("sentence")))
+    s = s.withColumns({"title": F.col("_t.title"), "year": F.col("_t.year")}).drop("_t")
     good = s.where((F.col("title") != "") & looks_like_title(F.col("title")) & direct(F.col("sentence"), F.col("title"), rules))
     return good.withColumns({"year": F.when(F.col("year") == "", X.UNKNOWN).otherwise(F.col("year")), "quote": F.substring("sentence", 1, QUOTE_CHARS), "evidence_type": F.lit("sentence")}).drop("sentence")
 
 
+#: A list item: title, year in brackets, and somewhere behind it the marker with a rate.
+LIST_ITEM = r"^\s*(.+?)\s+\(([0-9]{4})\)(.*)$"
+LIST_ITEM_BITRATE = R.phrase_pattern(R.LEXICON["second"]) + r"\s*-\s*([0-9]+(?:\.[0-9]+)?)\s*Mb/s"
+
+
 def list_item_evidence(items: DataFrame) -> DataFrame:
     """Candidates from list items `Title (YYYY) .. FEL - N Mb/s`."""
-    good = items.where(F.rlike("text", F.lit(R.LIST_ITEM))).withColumn("rest", F.regexp_extract("text", R.LIST_ITEM, 3)).where(F.rlike("rest", F.lit(R.LIST_ITEM_BITRATE)))
-    out = good.withColumns({"title": F.trim(F.regexp_extract("text", R.LIST_ITEM, 1)), "year": F.regexp_extract("text", R.LIST_ITEM, 2), "bitrate": F.regexp_extract("rest", R.LIST_ITEM_BITRATE, 1).cast("double"), "quote": F.substring("text", 1, QUOTE_CHARS), "evidence_type": F.lit("list-item")})
+    good = items.where(F.rlike("text", F.lit(LIST_ITEM))).withColumn("rest", F.regexp_extract("text", LIST_ITEM, 3)).where(F.rlike("rest", F.lit(LIST_ITEM_BITRATE)))
+    out = good.withColumns({"title": F.trim(F.regexp_extract("text", LIST_ITEM, 1)), "year": F.regexp_extract("text", LIST_ITEM, 2), "bitrate": F.regexp_extract("rest", LIST_ITEM_BITRATE, 1).cast("double"), "quote": F.substring("text", 1, QUOTE_CHARS), "evidence_type": F.lit("list-item")})
     return out.where(F.rlike("title", F.lit("[A-Za-z0-9]")) & (F.length("title") <= 100) & ~is_device(F.col("title"))).drop("rest", "text")
 
 
 # Header words of evidence tables.
-TITLE_HEADER = r"(?i)\b(?:title|movie|film)\b"
-OTHER_HEADER = r"(?i)\b(?:group|release\s*group|team|encoder|uploader|audio|sound|language|region|country|studio|label|year|date|notes?|evidence|source|proof|dv|dolby|vision|profile|hdr|video|format|status|disc|layer)\b"
-STATUS_HEADER = r"(?i)\b(?:dv|dolby|vision|profile|hdr|fel|video|format|status|disc|layer)\b"
+TITLE_WORDS = ("title", "movie", "film")
+STATUS_WORDS = ("dv", "dolby", "vision", "profile", "hdr", "fel", "video", "format", "status", "disc", "layer")
+NOTE_WORDS = ("note", "notes", "evidence", "comment", "comments", "source", "proof")
+OTHER_WORDS = (
+    "group", "release group", "team", "encoder", "uploader", "audio", "sound", "language", "region", "country", "studio", "label", "year", "date",
+    "note", "notes", "evidence", "source", "proof", "dv", "dolby", "vision", "profile", "hdr", "video", "format", "status", "disc", "layer",
+)
+TITLE_HEADER, STATUS_HEADER, NOTE_HEADER, OTHER_HEADER = (R.phrase_pattern(w) for w in (TITLE_WORDS, STATUS_WORDS, NOTE_WORDS, OTHER_WORDS))
+
 
 
 def table_evidence(rows: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataFrame:
-    """Candidates from table rows (.., cells, headers): a cell under a status header, or none, affirms the row's title.
+    """Candidates from table rows (.., cells, headers): a cell under a status header, or none, affirms the row's title, or one under a notes header that names it.
 
     The title stands under a title header, else under the first header that is
     none of the known others, else in the first cell. A cell that names the title
@@ -129,8 +232,10 @@ def table_evidence(rows: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataF
     r = r.where((F.col("title") != "") & looks_like_title(F.col("title")))
     placed = F.transform("cells", lambda c, i: F.struct(c.alias("c"), i.alias("i"), F.coalesce(F.get("headers", i), F.lit("status")).alias("h")))
     others = F.filter(placed, lambda p: p["i"] != F.col("ti") - 1)
-    own_cell = F.col("cell")
-    supports = F.exists(others, lambda p: F.rlike(p["h"], F.lit(STATUS_HEADER)) & direct(p["c"], F.col("title"), rules)) | direct(own_cell, F.col("title"), rules)
+    # A note may speak of any title, so it has to name this one.
+    bound = lambda p: F.rlike(p["h"], F.lit(STATUS_HEADER)) | (F.rlike(p["h"], F.lit(NOTE_HEADER)) & F.contains(F.lower(p["c"]), F.lower("title")))
+    r = r.where(marked(F.array_join("cells", " | ")))
+    supports = F.exists(others, lambda p: bound(p) & direct(p["c"], F.col("title"), rules)) | direct(F.col("cell"), F.col("title"), rules)
     rival = F.exists(others, lambda p: F.contains(F.lower(p["c"]), F.lower("title")) & (X.year_of(p["c"]) != "") & (F.col("year") != X.UNKNOWN) & (X.year_of(p["c"]) != F.col("year")))
     good = r.where(supports & ~rival)
     return good.select(*keys, "title", "year", F.substring(F.array_join("cells", " "), 1, QUOTE_CHARS).alias("quote"), F.lit("table-row").alias("evidence_type"))
@@ -148,13 +253,13 @@ def ground(candidates: DataFrame, pages: DataFrame, rules: R.EvidenceRules = R.D
     quote = F.lower(X.collapse_ws(F.col("evidence")))
     bare = without_title(F.col("evidence"), F.col("title"))
     years = F.array_distinct(F.regexp_extract_all("evidence", F.lit(rf"({X.YEAR})"), F.lit(1)))
-    both = F.rlike("evidence", F.lit(rules.first)) & F.rlike("evidence", F.lit(rules.second))
+    both = marked(F.col("evidence"))
     reason = (
         F.when(is_device(F.col("title")), "device-title")
         .when((quote == "") | ~F.coalesce(F.contains("page", quote), F.lit(False)), "evidence-not-found")
         .when(~F.coalesce(F.exists("records", lambda r: F.contains(F.lower(r), quote)), F.lit(False)), "cross-release-evidence")
         .when(~F.contains(F.concat(F.lit(" "), X.title_key(F.col("evidence")), F.lit(" ")), F.concat(F.lit(" "), X.title_key(F.col("title")), F.lit(" "))), "title-not-bound")
-        .when(F.rlike("evidence", F.lit(rules.excluded)) | unnegated_rival(F.col("evidence"), rules), "excluded-format")
+        .when(excluded(F.col("evidence")) | unnegated_rival(F.col("evidence"), rules), "excluded-format")
         .when(denied(F.col("evidence"), rules), "negated-fel")
         .when(~both, "missing-affirmative-fel")
         .when(F.size(years) > 1, "ambiguous-year")

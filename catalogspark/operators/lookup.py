@@ -1,13 +1,17 @@
 """Scored lookup of candidates in a reference table of works.
 
-Candidates and works meet on shared title tokens: a pair that shares none scores
-at most 45 and needs 65, so the token join loses nothing. A candidate's pairs are
-reduced by one ordered aggregate, not sorted.
+A pair needs 65 points, so few ways lead there, and each is a join of its own:
+
+- with equal years, shared tokens of 0.28 of the larger title: joined on year and token;
+- otherwise 0.92 of it. Up to LARGE tokens that means equal token sets: joined on
+  the set; larger titles on their rarest tokens, as many as may be missing and one.
+
+A candidate's pairs are reduced by one ordered aggregate, not sorted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
@@ -16,6 +20,10 @@ from catalogspark.functions import text as X
 YEAR_EQUAL, YEAR_OFF, YEAR_MISSING = 45, -45, -55
 EXACT, ENGAGED_FROM, MOST_ENGAGED, ACCEPT = 20, 70, 50, 65
 RESCUES = 3
+#: Share of tokens without which 65 points are out of reach, but for rounding: with equal years, and otherwise.
+NEAR_SHARE, FAR_SHARE = 19.5 / 70, 64.5 / 70
+#: Titles of up to so many tokens reach FAR_SHARE with equal token sets alone.
+LARGE = int(1 / (1 - FAR_SHARE))
 
 
 def leading_year(c: Column) -> Column:
@@ -38,13 +46,40 @@ def engaged(works: DataFrame) -> DataFrame:
     return works.where((F.col("vote_count") > 0) | (F.col("poster_path") != ""))
 
 
-def scored_pairs(candidates: DataFrame, works: DataFrame, use_year: bool = True) -> DataFrame:
-    """(seq, tmdb_id, score, popularity) of every candidate (seq, title, year) and work that share a title token."""
+def _asked(candidates: DataFrame, use_year: bool) -> tuple[DataFrame, DataFrame]:
+    """The candidates with their keys, and each title and year once."""
     c = candidates.select("seq", X.title_key(F.col("title")).alias("qk"), (X.year_of(F.col("year")) if use_year else F.lit("")).alias("qyear")).withColumn("qt", X.tokens(F.col("qk")))
-    # Candidates with one title and year are looked up once.
-    asked = c.groupBy("qk", "qyear").agg(F.first("qt").alias("qt"))
+    return c, c.groupBy("qk", "qyear").agg(F.first("qt").alias("qt"))
+
+
+def _rarest(sets: DataFrame, often: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, t): of each large token set the rarest tokens, one more than may be missing."""
+    spread = sets.where(F.size("ts") > LARGE).select(*keys, "ts", F.explode("ts").alias("t")).join(often, "t", "left")
+    order = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "t")))  # a title's tokens
+    ranked = spread.groupBy(*keys).agg(order.alias("o"))
+    return ranked.select(*keys, F.explode(F.slice("o", 1, F.size("o") - F.ceil(FAR_SHARE * F.size("o")).cast("int") + 1)).alias("x")).select(*keys, "x.t")
+
+
+def _hits(asked: DataFrame, w: DataFrame) -> DataFrame:
+    """(qk, qyear, tmdb_id) of all pairs that may reach the bar."""
+    both = w.select("tmdb_id", "wyear", F.col("wt").alias("ts")).union(w.select("tmdb_id", "wyear", "ot")).where(F.size("ts") > 0)
+    q = asked.select("qk", "qyear", F.col("qt").alias("ts")).where(F.size("ts") > 0)
+    name = F.array_join(F.array_sort("ts"), " ")
+    same = q.withColumn("s", name).join(both.select("tmdb_id", name.alias("s")), "s").select("qk", "qyear", "tmdb_id")
+    dated = q.where("qyear != ''").select("qk", "qyear", "ts", F.explode("ts").alias("t"))
+    works = both.where("wyear != ''").select("tmdb_id", F.col("wyear").alias("qyear"), F.col("ts").alias("us"), F.explode("ts").alias("t"))
+    enough = F.size(F.array_intersect("ts", "us")) >= NEAR_SHARE * F.greatest(F.size("ts"), F.size("us"))
+    near = dated.join(works, ["qyear", "t"]).where(enough).select("qk", "qyear", "tmdb_id")
+    often = both.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    large = _rarest(q, often, ["qk", "qyear"]).join(_rarest(both.drop("wyear"), often, ["tmdb_id", "ts"]).drop("ts"), "t").select("qk", "qyear", "tmdb_id")
+    return same.union(near).union(large).distinct()
+
+
+def scored_pairs(candidates: DataFrame, works: DataFrame, use_year: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(qk, qyear, tmdb_id, score, popularity) of all pairs that may reach the bar, and the candidates (seq, qk, qyear)."""
+    c, asked = _asked(candidates, use_year)
     w = _keyed_works(engaged(works))
-    hits = asked.select("qk", "qyear", F.explode("qt").alias("t")).join(w.select("tmdb_id", F.explode(F.array_union("wt", "ot")).alias("t")), "t").select("qk", "qyear", "tmdb_id").distinct()
+    hits = _hits(asked, w)
     p = hits.join(asked, ["qk", "qyear"]).join(w, "tmdb_id")
     base = F.greatest(title_score("qt", "wt", "qk", "wk"), title_score("qt", "ot", "qk", "ok"))
     gap = F.abs(F.col("wyear").try_cast("int") - F.col("qyear").try_cast("int"))
@@ -82,27 +117,50 @@ def alt_title_rescue(candidates: DataFrame, works: DataFrame, alternatives: Data
 
     alternatives holds (tmdb_id, pos, alt_title). Plausible: shares a title token and the years are within one of each other.
     """
-    scored, c = scored_pairs(candidates, works, use_year=True)
-    w = _keyed_works(works).select("tmdb_id", "wyear", "vote_count")
-    near = scored.join(w, "tmdb_id").where((F.col("qyear") == "") | (F.col("wyear") == "") | (F.abs(F.col("qyear").try_cast("int") - F.col("wyear").try_cast("int")) <= 1))
-    order = F.struct((F.col("wyear") == "").alias("undated"), (-F.col("vote_count")).alias("votes"), F.col("tmdb_id").alias("tmdb_id"))
-    # A candidate has at most three rescues, so the list that is sorted stays small once the smallest are taken.
-    top = near.groupBy("qk", "qyear").agg(F.slice(F.array_sort(F.collect_set(order)), 1, RESCUES).alias("top"))
-    tried = top.select("qk", "qyear", F.posexplode("top").alias("rank", "o")).select("qk", "qyear", "rank", "o.tmdb_id")
+    c, asked = _asked(candidates, True)
+    w = _keyed_works(engaged(works)).select("tmdb_id", "wyear", F.coalesce("vote_count", F.lit(0)).alias("votes"), F.explode(F.array_union("wt", "ot")).alias("t"))
+    # The best three under a token and year are among the best three there, whatever else a candidate's title holds.
+    order = [(F.col("wyear") == "").asc(), F.col("votes").desc(), F.col("tmdb_id").asc()]
+    first = lambda df, *keys: df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= RESCUES).drop("_n")
+    by_year, by_token = first(w, "t", "wyear"), first(w, "t")
+    q = asked.select("qk", "qyear", F.explode("qt").alias("t"))
+    year = F.col("qyear").try_cast("int")
+    years = F.transform(F.array(year - 1, year, year + 1), lambda y: y.cast("string"))
+    dated = q.where("qyear != ''").withColumn("wyear", F.explode(F.array_append(years, F.lit("")))).join(by_year, ["t", "wyear"])
+    met = dated.unionByName(q.where("qyear = ''").join(by_token, "t")).select("qk", "qyear", "wyear", "votes", "tmdb_id").distinct()
+    rank = F.row_number().over(Window.partitionBy("qk", "qyear").orderBy(*order))
+    tried = met.withColumn("rank", rank).where(F.col("rank") <= RESCUES).select("qk", "qyear", "rank", "tmdb_id")
     alt = alternatives.withColumn("ak", X.title_key(F.col("alt_title")))
     hit = tried.join(alt, "tmdb_id").where((F.col("ak") == F.col("qk")) & (F.col("qk") != ""))
     best = hit.groupBy("qk", "qyear").agg(F.min_by(F.struct("tmdb_id", "alt_title"), F.struct("rank", "pos")).alias("b"))
     return c.join(best, ["qk", "qyear"]).select("seq", "b.tmdb_id", F.col("b.alt_title").alias("matched_title"))
 
 
+def series_lookup(candidates: DataFrame, series: DataFrame) -> DataFrame:
+    """(seq, tmdb_id, score, media_type) of candidates whose title ends in a season label, looked up among series alone.
+
+    The label goes; only a first season's year is near the series' own, so other
+    seasons are scored without one.
+    """
+    name = X.series_title(F.col("title"))
+    first = F.coalesce(X.season_number(F.col("title")) == 1, F.lit(False))
+    asked = candidates.withColumn("_name", name).where("_name != ''").select("seq", F.col("_name").alias("title"), F.when(first, F.col("year")).otherwise("").alias("year"))
+    return scored_lookup(asked, series).withColumn("media_type", F.lit("tv"))
+
+
 def apply_aliases(candidates: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(seq, attempt_no, title, year): the pinned name first, then the candidate's own, without repeats."""
+    """(seq, attempt_no, title, year): the pinned name first, then the candidate's own, without repeats.
+
+    Where aliases name a canonical title, `canonical_title` says it for pinned attempts.
+    """
+    named = "canonical_title" in aliases.columns
     keyed = candidates.withColumn("title_key", X.match_key(F.col("title")))
     joined = keyed.join(aliases, ["title_key", "year"], "left")
-    own = F.struct(F.col("title").alias("title"), F.col("year").alias("year"))
-    pinned = F.struct(F.col("lookup_title").alias("title"), F.col("lookup_year").alias("year"))
+    none = F.lit(None).cast("string")
+    own = F.struct(F.col("title").alias("title"), F.col("year").alias("year"), none.alias("canonical_title"))
+    pinned = F.struct(F.col("lookup_title").alias("title"), F.col("lookup_year").alias("year"), (F.col("canonical_title") if named else none).alias("canonical_title"))
     tries = F.array_distinct(F.when(F.col("lookup_title").isNotNull(), F.array(pinned, own)).otherwise(F.array(own)))
-    return joined.select("seq", F.posexplode(tries).alias("attempt_no", "t")).select("seq", "attempt_no", "t.title", "t.year")
+    return joined.select("seq", F.posexplode(tries).alias("attempt_no", "t")).select("seq", "attempt_no", "t.title", "t.year", *(["t.canonical_title"] if named else []))
 
 
 def product_match(wanted: DataFrame, discs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from catalogspark.functions import urls as U
 FULL_DATE = r"^\d{4}-\d{2}-\d{2}$"
 LISTS = ("audio_formats", "hdr_formats", "audio_languages", "source_urls")
 FIRST_KNOWN = ("studio", "english_audio", "source_label", "collected_at")
-FIRST_FILLED = ("imdb_id", "poster_path", "release_url", "bluray_url")
+FIRST_FILLED = ("imdb_id", "poster_path", "release_url", "bluray_url", "tmdb_title", "tmdb_original_title")
 DATES = ("release_date", "bluray_release_date")
 BOX_SET_ROW = r"(?i)\b(?:collection|trilogy|duology|quadrilogy|tetralogy|saga|box\s*set|boxset)$|\.(?:19|20)\d{2}\.?$"
 
@@ -51,7 +51,7 @@ def survivors(columns: list[str], seq: str = "seq", keep_base_title: bool = Fals
             out.append(_least(F.col(c), _missing(c), seq=seq).alias(c))
     for c in FIRST_FILLED:
         if c in columns:
-            out.append(_least(F.col(c), F.col(c) == "", seq=seq).alias(c))
+            out.append(_least(F.col(c), F.coalesce(c, F.lit("")) == "", seq=seq).alias(c))
     if "tmdb_id" in columns:
         # The namespace travels with the id that survives.
         out += [_least(F.col(c), F.col("tmdb_id") == "", seq=seq).alias(c) for c in ("tmdb_id", "media_type") if c in columns]

@@ -58,3 +58,21 @@ def review_report(decisions: DataFrame, candidates: DataFrame) -> DataFrame:
 def enforce_labels(rows: DataFrame) -> DataFrame:
     """Rows with model-made evidence always carry its label."""
     return rows.withColumn("source_label", F.when(F.col("evidence_type") == "ai-extracted", F.lit("codex-ai")).otherwise(F.coalesce(X.known(F.col("source_label")), F.lit(X.UNKNOWN))))
+
+
+def review_with_counts(decisions: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, header) of a review: the header counts items and reasons, also where there are none."""
+    items = review_report(decisions, candidates)
+    header = items.agg(F.count(F.lit(1)).alias("n_items"), F.count_distinct("reason").alias("n_reasons"))
+    return items, header
+
+
+def publish(catalog: DataFrame, review: DataFrame, folder: str, version: str) -> None:
+    """Write a new version of a catalog and its review beside the earlier ones; a title, year and id that several rows share stops it before anything is written."""
+    from catalogspark.operators.merge import duplicate_identity
+
+    twice = duplicate_identity(catalog).limit(3).collect()
+    if twice:
+        raise ValueError(f"several rows are one release: {[r.first_title for r in twice]}")
+    catalog.write.parquet(f"{folder}/{version}/catalog")
+    review.write.json(f"{folder}/{version}/review")

@@ -11,7 +11,7 @@ block, not the number of candidates.
 Keys of dated rows: disc page, namespaced work id, outside id, and title with
 year. Candidates without a year never append, so each phase of them is one pass
 over the catalog that the dated ones left; those that meet one row fold into it
-in input order.
+in input order. At the end rows that are proven to name one work become one.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.operators import match
 from catalogspark.operators.merge import canonical, survivors
+from catalogspark.operators.works import dedupe_by_work
 from catalogspark.session import checkpoint as settle
 
 COLUMNS = ("seq", "movie_title", "release_date", "studio", "tmdb_id", "media_type", "imdb_id", "bluray_url", "evidence_type", "quote")
@@ -108,7 +109,13 @@ def reconcile(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, Data
     out = decisions[0]
     for d in decisions[1:]:
         out = out.unionByName(d)
-    return catalog, out
+    return finalized(catalog), out
+
+
+def finalized(catalog: DataFrame) -> DataFrame:
+    """The catalog with the rows of each proven work folded; a row is an addition if all rows in it are."""
+    once = dedupe_by_work(catalog.select(*COLUMNS, "is_addition"), safe=True)
+    return settle(canonical(once.drop("sources")).select(*KEYED, "is_addition"))
 
 
 def counts(catalog: DataFrame, decisions: DataFrame) -> DataFrame:

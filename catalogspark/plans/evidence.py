@@ -43,9 +43,9 @@ def _claims(spark, sf_dir):
     return spark.sql(_ROWS.replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
 
 
-@query("SELECT p_partkey AS seq, p_partkey % 12 IN (0, 1, 7, 11) AS direct FROM part WHERE p_partkey % 12 <> 3")
+@query("SELECT p_partkey AS seq, p_partkey % 12 IN (0, 1, 7, 11) AS direct FROM part")
 def direct_evidence(spark, sf_dir):
-    rows = _claims(spark, sf_dir).where("seq % 12 <> 3")
+    rows = _claims(spark, sf_dir)
     return rows.select("seq", E.direct(F.col("claim"), F.col("title")).alias("direct"))
 
 
@@ -69,9 +69,9 @@ def correlated_evidence(spark, sf_dir):
     return rows.select("seq", E.correlated(F.col("c")).alias("correlated"))
 
 
-@query(f"SELECT p_partkey AS page_id, {TITLE} AS title, CASE p_partkey % 12 WHEN 1 THEN '1999' ELSE 'Unknown' END AS year FROM part WHERE p_partkey % 12 IN (0, 1, 7, 11)")
+@query(f"SELECT p_partkey AS page_id, {TITLE} || CASE p_partkey % 12 WHEN 8 THEN ' REMUX' ELSE '' END AS title, CASE p_partkey % 12 WHEN 1 THEN '1999' ELSE 'Unknown' END AS year FROM part WHERE p_partkey % 12 IN (0, 1, 7, 8, 11)")
 def sentence_evidence(spark, sf_dir):
-    rows = _claims(spark, sf_dir).where("seq % 12 not in (3, 8)").select(F.col("seq").alias("page_id"), F.concat(F.lit("What a day. "), "claim", F.lit(". Next one.")).alias("text"))
+    rows = _claims(spark, sf_dir).select(F.col("seq").alias("page_id"), F.concat(F.lit("What a day. "), "claim", F.lit(". Next one.")).alias("text"))
     return E.sentence_evidence(rows).select("page_id", "title", "year")
 
 

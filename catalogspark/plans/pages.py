@@ -81,10 +81,10 @@ def page_count(spark, sf_dir):
 
 _COMMENTS = """
 SELECT p_partkey AS page_id, '<p>' || p_name || ' (1999)</p><div class="md usertext-body x"><p>You forgot ' || p_name || ' (' || CAST(1970 + p_size AS STRING) || '), ' || p_brand || ' (2001)</p><p>I like ' || p_name || ' (1999) a lot</p>'
-  || p_name || ' MEL (1998)<br>Is ' || p_name || ' (1997) there? (1996)<br/>' || p_brand || ' (2001)</div>' AS html FROM part"""
+  || p_name || ' MEL (1998)<br>Is ' || p_name || ' (1997) there? (1996)<br/>' || p_brand || ' (2001)<br>Are you sure about ' || p_name || ' [2004]<br>Odd, Name [2003]</div>' AS html FROM part"""
 
 
-@query("SELECT p_partkey AS page_id, 0 AS line_no, 0 AS pos, p_name AS title, CAST(1970 + p_size AS STRING) AS year FROM part UNION ALL SELECT p_partkey, 0, 1, p_brand, '2001' FROM part")
+@query("SELECT p_partkey AS page_id, 0 AS line_no, 0 AS pos, p_name AS title, CAST(1970 + p_size AS STRING) AS year FROM part UNION ALL SELECT p_partkey, 0, 1, p_brand, '2001' FROM part UNION ALL SELECT p_partkey, 3, 0, 'Is ' || p_name || ' (1997) there?', '1996' FROM part UNION ALL SELECT p_partkey, 6, 0, 'Odd, Name', '2003' FROM part")
 def ingest_comment_lists(spark, sf_dir):
     return lists.comment_lists(_part(spark, sf_dir, _COMMENTS))
 
