@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
 from catalogspark.operators.merge import canonical
+from catalogspark.session import checkpoint as settle
 
 URL, WORK, OTHER = 1, 2, 4
 
@@ -74,8 +75,7 @@ def match_decision(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     """(cand, action, target, reason, implicated): what becomes of each candidate against this catalog.
 
     action is merge, append or review. All pairs of one candidate are folded by
-    one aggregation into counts and extreme rows, so no list of them is built but
-    the titles of a review.
+    one aggregation into counts and extreme rows; titles are listed for reviews alone.
     """
     facts = lambda df, name: canonical(df).select(F.struct(*FACTS).alias(name))
     a, b = facts(candidates, "c"), facts(catalog, "r")
@@ -96,6 +96,7 @@ def match_decision(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
         ((F.col("c.title_key") == F.col("r.title_key")) & (F.col("c.year") == F.col("r.year"))).alias("same_key"),
         (distinct_pages("c", "r") & ~same_release_despite_pages("c", "r")).alias("apart"),
     )
+    p = settle(p)  # read four times below
     signal = F.col("mask").bitwiseAND(F.lit(7))
     count = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
     sets = {"u": has(URL), "w": has(WORK), "i": has(OTHER)}
@@ -117,7 +118,6 @@ def match_decision(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     one = lambda cond, what: F.min(F.when(cond, F.col(what)))
     flag = lambda cond: F.bool_or(F.when(cond, F.col("apart")).otherwise(F.lit(False)))
     good = lambda cond: F.bool_and(F.when(cond, F.col("ok")).otherwise(F.lit(True)))
-    listed = lambda cond: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("row", "title")))), lambda x: x["title"]), "; ")
     kinds = {"url": has(URL), "live": live, "narrow": live & F.col("same_key"), "title": has(8), "bare": has(16)}
     folded = p.groupBy("cand").agg(
         F.first("dated").alias("dated"),
@@ -125,12 +125,9 @@ def match_decision(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
         F.first("links").alias("links"),
         count(F.col("target") & F.col("ok")).alias("n_ok"),
         *[x for k, c in kinds.items() for x in (count(c).alias(f"n_{k}"), one(c, "row").alias(f"r_{k}"), flag(c).alias(f"apart_{k}"), good(c).alias(f"ok_{k}"))],
-        listed(signal != 0).alias("l_signal"),
-        listed(F.col("target")).alias("l_target"),
-        *[listed(c).alias(f"l_{k}") for k, c in kinds.items()],
     )
     verdict = lambda action, target=None, reason=None, titles=None: F.struct(
-        F.lit(action).alias("action"), (F.lit(None).cast("long") if target is None else F.col(target).cast("long")).alias("target"), F.lit(reason).cast("string").alias("reason"), (F.lit("") if titles is None else F.col(titles)).alias("implicated")
+        F.lit(action).alias("action"), (F.lit(None).cast("long") if target is None else F.col(target).cast("long")).alias("target"), F.lit(reason).cast("string").alias("reason"), F.lit(titles or "").alias("implicated")
     )
 
     def to(kind: str) -> Column:
@@ -160,5 +157,14 @@ def match_decision(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     )
     by_bare = F.when(F.col("n_bare") == 1, to("bare")).when(F.col("n_bare") > 1, verdict("review", None, "ambiguous-yearless-title", "l_bare")).otherwise(verdict("review", None, "missing-year-no-match"))
     decided = folded.select("cand", F.when(F.col("sets") > 0, by_signal).when(F.col("dated"), by_title).otherwise(by_bare).alias("d"))
+    # Titles are listed for reviews alone: those of the rows that the review's rule speaks of.
+    decided = settle(decided)
+    asked = decided.where("d.implicated != ''").select("cand", F.col("d.implicated").alias("_rule"))
+    rules = {"l_signal": signal != 0, "l_target": F.col("target"), **{f"l_{k}": c for k, c in kinds.items()}}
+    meant = F.lit(False)
+    for name, cond in rules.items():
+        meant = F.when(F.col("_rule") == name, cond).otherwise(meant)
+    titles = p.join(asked, "cand").where(meant).groupBy("cand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "title"))), lambda x: x["title"]), "; ").alias("_titles"))
+    decided = decided.join(titles, "cand", "left").select("cand", F.col("d").withField("implicated", F.coalesce("_titles", F.lit(""))).alias("d"))
     alone = canonical(candidates).select(F.col("seq").alias("cand"), F.when(F.col("year") != "", verdict("append")).otherwise(verdict("review", None, "missing-year-no-match")).alias("alone"))
     return alone.join(decided, "cand", "left").select("cand", F.coalesce("d", "alone").alias("d")).select("cand", "d.action", "d.target", "d.reason", "d.implicated")

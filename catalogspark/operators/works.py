@@ -66,6 +66,9 @@ def alias_groups(rows: DataFrame) -> DataFrame:
     )
     fit = heads.where("n_rows > 1 and y0 = y1 and y0 != '' and i0 = i1 and i0 != '' and not edition")
     open_ids = settle(fit.where("n_titles > 1").select("_id"))
+    result = lambda judged: heads.join(judged, "_id", "left").select(F.col("_id").alias("identity"), "n_rows", "n_titles", (F.coalesce("fit", F.lit(False)) & ~F.coalesce("apart", F.lit(False))).alias("one_work"))
+    if open_ids.isEmpty():
+        return result(fit.select("_id", F.lit(True).alias("fit"), F.lit(False).alias("apart")))
     some = keyed.join(open_ids, "_id", "left_semi")
     titles = settle(some.groupBy("_id", "_key").agg(F.min("movie_title").alias("title")))
     left, right = titles.select("_id", F.col("_key").alias("a"), F.col("title").alias("ta")), titles.select("_id", F.col("_key").alias("b"), F.col("title").alias("tb"))
@@ -82,8 +85,7 @@ def alias_groups(rows: DataFrame) -> DataFrame:
         if new.where("moved").isEmpty():
             break
     split = labels.groupBy("_id").agg((F.count_distinct("label") > 1).alias("apart"))
-    judged = fit.select("_id", F.lit(True).alias("fit")).join(split, "_id", "left")
-    return heads.join(judged, "_id", "left").select(F.col("_id").alias("identity"), "n_rows", "n_titles", (F.coalesce("fit", F.lit(False)) & ~F.coalesce("apart", F.lit(False))).alias("one_work"))
+    return result(fit.select("_id", F.lit(True).alias("fit")).join(split, "_id", "left"))
 
 
 def _targets(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
@@ -127,6 +129,8 @@ def dedupe_by_work(rows: DataFrame, safe: bool = False) -> DataFrame:
     keyed = _keyed(rows).withColumn("_sources", F.array("seq"))
     alone = keyed.where("_id is null")
     named = keyed.where("_id is not null")
+    if named.groupBy("_id").count().where("count > 1").isEmpty():  # every work has one row
+        return rows.withColumn("sources", F.array("seq"))
     if safe:
         proven = alias_groups(rows).where("one_work").select(F.col("identity").alias("_id"))
         alone = alone.unionByName(named.join(proven, "_id", "left_anti").select(*alone.columns))
