@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_d
 SUFFIX_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 p AS (SELECT doc_id, x, unnest(range(1, length(x) // 2 + 1)) AS i FROM d),
-g AS (SELECT doc_id, i, CASE WHEN i + 49 <= length(x) // 2 THEN substr(x, 2 * i - 1, 100) END AS w, substr(x, 2 * i - 1, 2) AS b FROM p),
+g AS (SELECT doc_id, i, CASE WHEN i + 49 <= length(x) // 2 THEN hash(substr(x, 2 * i - 1, 100)) END AS w, substr(x, 2 * i - 1, 2) AS b FROM p),
 f AS (SELECT doc_id, i, b, w IS NOT NULL AND min(doc_id) OVER (PARTITION BY w) < doc_id AS early FROM g),
 c AS (SELECT doc_id, i, b, bool_or(early) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
 s AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS lead FROM c),
@@ -123,4 +124,26 @@ o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING
 links AS (SELECT a, b FROM o JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),{COMPONENTS}
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept FROM d LEFT JOIN z USING (doc_id) LEFT JOIN m ON doc_id = m.a"""
 
-ORACLE_SQL: dict[str, str] = {"op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL}
+def license_sql() -> str:
+    """Every block of every document against every template, without filters; base phrases at every place."""
+    rows = []
+    for label, text in licenses.TEMPLATES.items():
+        tokens = sorted(set(text.split()))
+        rows.append(f"('{label}', {tokens}, {len(tokens)}, {ceil(licenses.THRESHOLD * len(tokens))}, {licenses.stride_of(text)})")
+    starts = ", ".join("list_filter(range(0, len(w)), lambda i: " + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(phrase, 1)) + f") AS s{n}" for n, phrase in enumerate(licenses.BASE.values()))
+    base = ", ".join(f"CASE WHEN len(s{n}) > 0 THEN '{label}' END" for n, label in enumerate(licenses.BASE))
+    every = "list_concat(list_concat(s0, s1), s2)"
+    return rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t(label, tokens, n, need, stride) AS (VALUES {", ".join(rows)}),
+b AS (SELECT rid, w, stride, unnest(range(0, greatest(len(w), 1), stride)) AS b FROM d, (SELECT DISTINCT stride FROM t)),
+x AS (SELECT rid, stride, list_distinct(w[b + 1:b + 2 * stride]) AS block FROM b),
+m AS (SELECT rid, label, max(len(list_intersect(block, tokens))) / n AS c FROM x JOIN t USING (stride) GROUP BY rid, label, n, need HAVING max(len(list_intersect(block, tokens))) >= need),
+f AS (SELECT rid, list(label) AS found, max(c) AS best FROM m GROUP BY rid),
+s AS (SELECT rid, doc_id, len(w) AS n_words, {starts} FROM d),
+p AS (SELECT rid, doc_id, n_words, {every} AS e, list_filter([{base}], lambda v: v IS NOT NULL) AS base FROM s)
+SELECT doc_id, n_words, len(e) AS n_base, list_min(e) AS first_word, list_max(e) AS last_word, array_to_string(list_sort(base), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels, CASE WHEN len(base) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score FROM p LEFT JOIN f USING (rid)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL}
