@@ -1,8 +1,10 @@
 """Plain Python versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 SPACE = " \t\n\v\f\r"
 
@@ -93,9 +95,9 @@ def shingles(t):
     return frozenset([tuple(w)]) if 0 < len(w) < 5 else frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))
 
 
-def op10(rows):
+def op10(rows, percent=85):
     sets = [(d, shingles(t)) for d, t in rows]
-    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if x and y and 100 * len(x & y) >= 85 * len(x | y)]
+    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if x and y and 100 * len(x & y) >= percent * len(x | y)]
     part = components({d for d, _ in rows}, links)
     return sorted((d, len(s), part[d], d == part[d]) for d, s in sets)
 
@@ -120,3 +122,30 @@ def op3(rows, percent=80):
 
 def crc(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def keeps(t):
+    """The current policy of the quality rules."""
+    (_, n, chars, symbols, dup, rep, failed) = op7([(0, t)])[0]
+    lines = [x for x in (t or "").split("\n") if x.strip(SPACE)]
+    return not (failed or 5 * symbols > n or (len(lines) >= 4 and 2 * dup > len(lines)) or chars < 2 * n or chars > 25 * n)
+
+
+def unit(*parts):
+    return (int(hashlib.md5(":".join(parts).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+
+
+def copies(rows):
+    """Copies of each (doc_id, source) row: inverse Poisson draws with the mean total * sqrt(n) / sum(sqrt) / n, for means that one draw serves."""
+    n = Counter(s for _, s in rows)
+    weights = sum(math.sqrt(x) for x in n.values())
+    out = []
+    for d, s in rows:
+        rate = math.sqrt(n[s]) / weights * len(rows) / n[s]
+        u, k, term, total = unit("mixture", "" if d is None else str(d)), 0, math.exp(-rate), math.exp(-rate)
+        while total < u:
+            k += 1
+            term *= rate / k
+            total += term
+        out.append(k)
+    return out

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from catalogspark.llm import lines, mixing, quality
+from catalogspark.llm import lines
 from tests.llm import brute
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -17,19 +17,17 @@ def test_stages_against_brute_force(spark, docs, rows):
             assert out.columns == docs.columns
         found = sorted(((r.doc_id, r.text or "") for r in out.select("doc_id", "text").collect()), key=str) if name != "pack_sequences" else None
         if name == "quality_rules":
-            base = {x[0]: x for x in brute.op7(want)}
-            ok = {r.doc_id for r in quality.ledger(docs).where(quality.verdict()).collect()}
-            assert not any(base[d][-1] for d in ok)
-            want = [(d, t) for d, t in want if d in ok]
+            want = [(d, t) for d, t in want if brute.keeps(t)]
         elif name == "line_dedup":
             lost = {(d, i) for d, i, *_, kept in brute.op3(sorted(set(want), key=str)) if not kept}
             want = [(d, "\n".join(x for i, x in enumerate((t or "").split("\n")) if (d, i) not in lost)) for d, t in want]
         elif name == "near_dedup":
-            kept = {d for d, _, _, k in brute.op10(want) if k}
+            kept = {d for d, _, _, k in brute.op10(want, corpus_pipeline.NEAR_PERCENT) if k}
             want = [(d, t) for d, t in want if d in kept]
         elif name == "mix_sources":
-            copies = {r.doc_id: r.n_copies for r in mixing.mix_report(state).collect()}
-            want = [(d, t) for d, t in want for _ in range(copies.get(d, 0))]
+            sources = {(r.doc_id, r.text or ""): r.source for r in state.collect()}
+            n = brute.copies([(d, sources[(d, t or "")]) for d, t in want])
+            want = [row for row, k in zip(want, n, strict=True) for _ in range(k)]
         if found is not None:
             assert found == sorted(((d, t or "") for d, t in want), key=str), name
         else:
