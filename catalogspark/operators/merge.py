@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
 from catalogspark.functions import urls as U
+from catalogspark.session import checkpoint as settle
 
 FULL_DATE = r"^\d{4}-\d{2}-\d{2}$"
 LISTS = ("audio_formats", "hdr_formats", "audio_languages", "source_urls")
@@ -111,12 +112,15 @@ def sort_newest(rows: DataFrame) -> DataFrame:
 
 
 def with_rank(rows: DataFrame, order: list[Column], by: Column, name: str = "rank") -> DataFrame:
-    """Rank under a total order whose first part is `by`: ranks within each value of `by`, shifted by the counts before it.
+    """Rank under a total order whose first part is `by`.
 
-    One task orders the rows of one value, and the running count sees one row a value.
+    Rows are dealt by ranges of the whole order, so a frequent value of `by` is
+    split as well; a rank is the place in its range plus the counts of the ranges
+    before, one number a range.
     """
-    keyed = rows.withColumn("_by", by)
-    counts = keyed.groupBy("_by").agg(F.count(F.lit(1)).alias("_n"))
-    shifts = counts.select("_by", F.coalesce(F.sum("_n").over(Window.orderBy("_by").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_shift"))
-    local = F.row_number().over(Window.partitionBy("_by").orderBy(*order))
-    return keyed.withColumn("_local", local).join(shifts, "_by").withColumn(name, F.col("_local") + F.col("_shift")).drop("_by", "_local", "_shift")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(rows.repartitionByRange(n, by.asc(), *order).sortWithinPartitions(by.asc(), *order))
+    placed = ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row a range
+    shifts = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_shift"))
+    return placed.join(F.broadcast(shifts), "_part").withColumn(name, F.col("_at") + F.col("_shift") + 1).drop("_part", "_at", "_shift")
