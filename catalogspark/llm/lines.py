@@ -17,7 +17,8 @@ stay and match nothing; lines of any length are read whole; in the report, rows
 that share an id share their line places; rows without an id come last; an empty
 table gives an empty result. `drop_repeats` decides for each row by its own text,
 also where rows share an id or have none (equal rows of one id are one document);
-other columns of the input pass through it untouched.
+other columns of the input pass through it untouched, whatever their names, but
+that names with two leading underscores are the operator's own.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Defined cases: null or empty texts have an empty set and link with nothing; text
 are read whole; repeated rows are one class; in the report, rows that share an id
 (or have none) are one node; an empty table gives an empty result. `drop_near`
 decides for each row by its own text, also where rows share an id or have none
-(equal rows of one id are one document).
+(equal rows of one id are one document); other columns pass through, but that names
+with two leading underscores are the operator's own.
 """
 
 from __future__ import annotations

@@ -417,3 +417,15 @@ def test_one_very_long_text(spark, tokenizer):
     assert {x.doc_id: x.n_removed for x in suffix.dedup_bytes(df).collect()} == {1: 0, 2: len(passage)}
     assert packing.pack(df, tokenizer).agg(F.countDistinct("doc_id")).first()[0] == 2
     assert lines.line_report(df).where("kept").count() == 2 and minhash.near_duplicates(df).where("kept").count() == 2
+
+
+def test_null_ids_in_packing_mixing_and_licenses(spark, tokenizer):
+    rows = [(None, "Released under the MIT License.", None), (None, None, "a"), (None, "", "a"), (4, "Released under the MIT License.", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(df, tokenizer).collect()
+    assert sorted(str(p.doc_id) for p in pieces if p.start == 0) == ["4", "None", "None", "None"] and sum(p.doc_tokens == 1 for p in pieces) == 2
+    found = sorted((str(r.doc_id), r.labels) for r in licenses.scan(df).collect())
+    assert found == [("4", "mit"), ("None", ""), ("None", ""), ("None", "mit")]
+    report = mixing.mix_report(df).collect()
+    assert all(0 <= r.copy < r.n_copies and len(r.text_md5) == 32 for r in report)
+    assert shard.shard_documents(df).where("shard is null").count() == 0
