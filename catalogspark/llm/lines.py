@@ -247,7 +247,9 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             keys = B.span_hashes(buf, begins[use], ends[use]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([data[a:b] for a, b in zip(begins[use].tolist(), ends[use].tolist(), strict=True)], pa.binary())], names=["key", "line_text"])
 
-    return rows.mapInArrow(run, "key long, line_text binary")
+    out = rows.mapInArrow(run, "key long, line_text binary")
+    out._behind = (by_doc,)
+    return out
 
 
 def _sets(bodies: list[bytes]) -> list[np.ndarray]:
@@ -267,8 +269,10 @@ def _sets(bodies: list[bytes]) -> list[np.ndarray]:
 def bodies(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, body): the text of each wanted line."""
     asked = stored(places.join(wanted.withColumnRenamed("rep", "key"), "key").select("key", "doc_id", "line"))
-    found = line_texts(docs, asked).join(asked.select("key"), "key", "left_semi").dropDuplicates(["key"])
-    return found.toDF("rep", "body")
+    texts = line_texts(docs, asked)
+    out = texts.join(asked.select("key"), "key", "left_semi").dropDuplicates(["key"]).toDF("rep", "body")
+    out._behind = (asked, *texts._behind)
+    return out
 
 
 def line_keys(docs: DataFrame) -> DataFrame:

@@ -206,12 +206,15 @@ def tiles(members: DataFrame, parts: DataFrame, bodies: DataFrame) -> DataFrame:
 def linked(lists: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], decode: Decode, percent: int, sketch: Sketch | None = None) -> DataFrame:
     """(node, component) of all sets that link, directly or through others, among those listed in (value, rep); a stored table.
 
-    bodies_of takes a table of ids (`rep`) and returns (rep, body); decode turns
-    bodies into sorted arrays of distinct elements of 8 bytes. Tables are deleted
+    bodies_of takes a table of ids (`rep`) and returns (rep, body), with the stored
+    tables it reads in `_behind`; decode turns bodies into sorted arrays of distinct
+    elements of 8 bytes. Tables are deleted
     when the next ones stand.
     """
     members = stored(groups(lists))
-    bodies = stored(bodies_of(members.select("rep").distinct()))
+    wanted = bodies_of(members.select("rep").distinct())
+    bodies = stored(wanted)
+    release(*getattr(wanted, "_behind", ()))
     stars = members.where("rep != g").toDF("a", "b").join(bodies.toDF("b", "xb"), "b").join(bodies.toDF("a", "xa"), "a")
     near = stored(stars.select("a", "b", "xa", "xb").mapInArrow(lambda it: test_stars(it, decode, percent, sketch), "a long, b long"))
     parts = connected(near)

@@ -155,7 +155,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     wanted = stored(wanted)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     chosen = rows.join(small_side(wanted.withColumnRenamed("rep", "doc_id"), wanted.count()), "doc_id")
-    return chosen.mapInArrow(_sets, "rep long, body binary").dropDuplicates(["rep"])
+    out = chosen.mapInArrow(_sets, "rep long, body binary").dropDuplicates(["rep"])
+    out._behind = (wanted,)
+    return out
 
 
 def _arrays(bodies: list[bytes]) -> list[np.ndarray]:
