@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogspark.llm import lines, minhash, mixing, packing, quality
-from catalogspark.session import shared_folder, ship
+from catalogspark.session import release, shared_folder, ship
 
 #: Two documents with this share of their five-word shingles in common are near duplicates. op10's own 85 does not hold here.
 NEAR_PERCENT = 80
@@ -58,10 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each result is written and read again before the next."""
+    """All stages over `documents`; each result is written and read again before the next, and goes once that one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        release(docs)
         docs = spark.read.parquet(f"{base}/{name}")
+        docs._stored_at = f"{base}/{name}"
     return docs
