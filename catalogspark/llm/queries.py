@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.llm import embeddings, licenses, lines, minhash, mixing, packing, quality, shard, substring, suffix
+from catalogspark.llm import embeddings, licenses, lines, minhash, mixing, packing, quality, runs, shard, substring, suffix
 from catalogspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +59,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(table(spark, sf_dir, "documents"), runs.planted)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup, op11_periodic_runs)}
 
 #: The copies of each document, by the closed form of the Poisson terms.
 MIXING_SQL = """
@@ -145,5 +149,26 @@ p AS (SELECT rid, doc_id, n_words, {every} AS e, list_filter([{base}], lambda v:
 SELECT doc_id, n_words, len(e) AS n_base, list_min(e) AS first_word, list_max(e) AS last_word, array_to_string(list_sort(base), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels, CASE WHEN len(base) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score FROM p LEFT JOIN f USING (rid)"""
 
-
-ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL}
+#: CRC-32 of the decimal doc_id (none: no checksum), a step a bit.
+ID_CRC = """
+xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, 8 * length(CAST(doc_id AS VARCHAR))), lambda i: CASE WHEN i % 8 = 0 THEN ascii(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INT), 1))::BIGINT ELSE 0::BIGINT END)),
+  lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))))"""
+
+#: A run's words from its start on equal those one period later for 16 words or more, so pairs of equal 16-word strings show every run.
+RUNS_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x, {ID_CRC} AS h FROM documents),
+a AS (SELECT rid, doc_id, x, len(x) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(x) > 0 THEN (h // 10) % len(x) END AS a FROM d),
+w AS (SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN x ELSE list_transform(range(0, n), lambda i: x[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM a),
+g AS (SELECT rid, i, array_to_string(w[i + 1:i + 16], ' ') AS k FROM (SELECT rid, w, unnest(range(0, n - 15)) AS i FROM w WHERE n >= 24)),
+s AS (SELECT l.rid, l.i, r.i - l.i AS q FROM g l JOIN g r ON l.rid = r.rid AND l.k = r.k AND r.i > l.i),
+t AS (SELECT rid, q, min(i) AS s, max(i) - min(i) + q + 16 AS m FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS z FROM s) GROUP BY rid, q, z),
+u AS (SELECT rid, s, m, min(q) AS q FROM t WHERE m >= greatest(24, 3 * q) GROUP BY rid, s, m),
+b AS (SELECT rid, count(*) AS n_runs, sha256(string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q)) AS listed FROM u GROUP BY rid),
+o AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY m / q DESC, s, q) AS place FROM u),
+c AS (SELECT DISTINCT rid, unnest(range(s + q, s + m)) AS i FROM u),
+k AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS kept FROM (SELECT rid, unnest(w) AS x, unnest(range(0, n)) AS i FROM w WHERE rid IN (SELECT rid FROM u)) ANTI JOIN c USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, m AS length, q AS period, 1000 * m // q AS exponent_milli, coalesce(listed, sha256('')) AS runs_sha256, sha256(coalesce(kept, array_to_string(w, ' '))) AS collapsed_sha256
+FROM w LEFT JOIN b USING (rid) LEFT JOIN (SELECT rid, s, m, q FROM o WHERE place = 1) USING (rid) LEFT JOIN k USING (rid)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL, "op11_periodic_runs": RUNS_SQL}
