@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.llm import embeddings, licenses, lines, minhash, mixing, packing, quality, runs, shard, substring, suffix
+from catalogspark.llm import alignment, embeddings, licenses, lines, minhash, mixing, packing, quality, runs, shard, substring, suffix
 from catalogspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_report(table(spark, sf_dir, "documents"), runs.planted)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup, op11_periodic_runs)}
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup, op11_periodic_runs, op13_tokenizer_alignment)}
 
 #: The copies of each document, by the closed form of the Poisson terms.
 MIXING_SQL = """

@@ -77,23 +77,23 @@ def test_chance_matches_are_found_out():
 
 
 @pytest.fixture(scope="module")
-def rows():
+def samples():
     return [(i if i % 7 else None, t, 1, "x") for i, t in enumerate(texts())] + [(20, texts()[20], 1, "x")] * 2
 
 
-def test_report(spark, rows):
-    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+def test_report(spark, samples):
+    docs = spark.createDataFrame(samples, SCHEMA).repartition(3)
     for rewrite in (None, R.planted):
         found = sorted(map(tuple, R.run_report(docs, rewrite).collect()), key=str)
-        assert found == sorted((report(i, t, rewrite) for i, t, *_ in rows), key=str)
+        assert found == sorted((report(i, t, rewrite) for i, t, *_ in samples), key=str)
 
 
-def test_runs_and_collapsed_texts(spark, rows):
-    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+def test_runs_and_collapsed_texts(spark, samples):
+    docs = spark.createDataFrame(samples, SCHEMA).repartition(3)
     found = sorted(map(tuple, R.find_runs(docs).collect()), key=str)
-    assert found == sorted(((i, *run) for i, t, *_ in rows for run in brute((t or "").encode().split())), key=str)
+    assert found == sorted(((i, *run) for i, t, *_ in samples for run in brute((t or "").encode().split())), key=str)
     digests = sorted(hashlib.sha256(r.text.encode()).hexdigest() for r in R.collapse(docs).collect())
-    assert digests == sorted(report(i, t)[-1] for i, t, *_ in rows)
+    assert digests == sorted(report(i, t)[-1] for i, t, *_ in samples)
 
 
 def test_empty_table(spark, empty):
