@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.llm import alignment, embeddings, licenses, lines, minhash, mixing, packing, quality, runs, shard, substring, suffix
+from catalogspark.llm import alignment, embeddings, katz, licenses, lines, minhash, mixing, packing, quality, runs, shard, substring, suffix
 from catalogspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,13 +63,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_report(table(spark, sf_dir, "documents"), runs.planted)
 
 
+def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_report(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return alignment.alignment_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup, op11_periodic_runs, op13_tokenizer_alignment)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_line_dedup, op4_embedding_near_dedup, op5_source_mixing, op6_substring_dedup, op7_quality_rules, op8_packing, op9_sharding, op10_minhash_near_dedup, op11_periodic_runs, op12_katz_scores, op13_tokenizer_alignment)}
 
 #: The copies of each document, by the closed form of the Poisson terms.
 MIXING_SQL = """
@@ -176,5 +180,24 @@ k AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS kept FROM (SELECT rid, unnest
 SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, m AS length, q AS period, 1000 * m // q AS exponent_milli, coalesce(listed, sha256('')) AS runs_sha256, sha256(coalesce(kept, array_to_string(w, ' '))) AS collapsed_sha256
 FROM w LEFT JOIN b USING (rid) LEFT JOIN (SELECT rid, s, m, q FROM o WHERE place = 1) USING (rid) LEFT JOIN k USING (rid)"""
 
-
-ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL, "op11_periodic_runs": RUNS_SQL}
+#: Bigram counts, Good-Turing discounts by the longest valid range, and the weights of all histories.
+KATZ_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({ID_CRC} % 7 = 2, false) AS held, list_append(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), ' end') AS w FROM documents),
+t AS (SELECT rid, held, x, coalesce(lag(x) OVER (PARTITION BY rid ORDER BY i), ' begin') AS h FROM (SELECT rid, held, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM d)),
+one AS (SELECT x, count(*) AS c FROM t WHERE NOT held GROUP BY x), two AS (SELECT h, x, count(*) AS c FROM t WHERE NOT held GROUP BY h, x),
+n AS (SELECT 1 AS o, [{", ".join(f"count(*) FILTER (c = {r})" for r in range(1, 7))}] AS n FROM one UNION ALL SELECT 2, [{", ".join(f"count(*) FILTER (c = {r})" for r in range(1, 7))}] FROM two),
+k AS (SELECT o, k, list_transform(range(1, k + 1), lambda r: ((r + 1) * n[r + 1] / (r * n[r]) - (k + 1) * n[k + 1] / n[1]) / (1 - (k + 1) * n[k + 1] / n[1])) AS d
+  FROM n, range(1, 6) q(k) WHERE list_min(n[1:k + 1]) > 0 AND (k + 1) * n[k + 1] < n[1]),
+v AS (SELECT o, arg_max(d, k) AS d FROM k WHERE list_min(d) > 0 AND list_max(d) < 1 GROUP BY o),
+r AS (SELECT n.o, c, CASE WHEN d IS NOT NULL THEN coalesce(d[c], 1.0) WHEN c = 1 THEN 0.5 ELSE 1.0 END AS d FROM n LEFT JOIN v USING (o), range(1, 6) q(c)),
+a AS (SELECT x, one.c, coalesce(d, 1.0) * one.c AS kept FROM one LEFT JOIN r ON r.o = 1 AND r.c = one.c),
+s AS (SELECT sum(c) AS n, count(*) AS v, CASE WHEN sum(c - kept) > 1e-9 THEN sum(c - kept) ELSE 1 END AS free, CASE WHEN sum(c - kept) > 1e-9 THEN sum(c) ELSE sum(c) + 1 END AS total FROM a),
+b AS (SELECT h, x, coalesce(d, 1.0) * two.c AS kept, two.c - coalesce(d, 1.0) * two.c AS freed, two.c FROM two LEFT JOIN r ON r.o = 2 AND r.c = two.c),
+g AS (SELECT h, sum(freed) AS freed, sum(b.c) AS total, sum(a.kept) AS lower FROM b JOIN a USING (x) GROUP BY h),
+w AS (SELECT h, CASE WHEN freed > 1e-9 THEN g.total ELSE g.total + 1 END AS total, CASE WHEN freed > 1e-9 THEN freed / g.total ELSE 1 / (g.total + 1) END / (1 - lower / s.total) AS weight FROM g, s),
+p AS (SELECT rid, a.c, CASE WHEN b.kept IS NOT NULL THEN b.kept / w.total ELSE coalesce(w.weight, 1.0) * coalesce(a.kept, s.free) / s.total END AS p FROM t LEFT JOIN a USING (x) LEFT JOIN w ON w.h = t.h LEFT JOIN b ON b.h = t.h AND b.x = t.x, s),
+z AS (SELECT rid, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 1) / (n + v + 1))) AS base_score, sum(log10(p)) AS score FROM p, s GROUP BY rid)
+SELECT doc_id, held AS held_out, n_tokens, n_known, CAST((SELECT n FROM s) AS BIGINT) AS train_tokens, base_score, score FROM d JOIN z USING (rid)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op2_suffix_dedup": SUFFIX_SQL, "op4_embedding_near_dedup": EMBEDDING_SQL, "op6_substring_dedup": SUBSTRING_SQL, "op10_minhash_near_dedup": MINHASH_SQL, "op7_quality_rules": QUALITY_SQL, "op5_source_mixing": MIXING_SQL, "op11_periodic_runs": RUNS_SQL, "op12_katz_scores": KATZ_SQL}
