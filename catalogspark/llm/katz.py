@@ -60,7 +60,7 @@ from catalogspark.session import shared_folder
 ORDER = 2
 #: Counts up to this are discounted.
 DISCOUNTED = 5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 BLOCK_DOCS = 1 << 20
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 8 << 20
