@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
@@ -39,9 +39,24 @@ def set_compare(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.agg(n(F.col("a") == 1).alias("n_a"), n(F.col("b") == 1).alias("n_b"), n((F.col("a") == 1) & (F.col("b") == 1)).alias("n_both"), n(F.col("b").isNull()).alias("only_a"), n(F.col("a").isNull()).alias("only_b"))
 
 
-def sync_diff(catalog: DataFrame, current: DataFrame) -> DataFrame:
-    """(imdb_id, action, batch): ids to add, remove or leave, adds and removes numbered into batches."""
-    wanted = catalog.where(F.rlike("imdb_id", F.lit(r"^tt\d+$")) & (F.col("media_type") != "tv")).select("imdb_id").distinct().withColumn("d", F.lit(1))
+def syncable() -> Column:
+    """Films with a proper outside id; series and rows without one can't be in the list."""
+    return F.coalesce(F.rlike("imdb_id", F.lit(r"^tt\d+$")) & (F.coalesce("media_type", F.lit("movie")) != "tv"), F.lit(False))
+
+
+def sync_skipped(catalog: DataFrame) -> DataFrame:
+    """(seq, movie_title) of the catalog rows that `sync_diff` leaves out."""
+    return catalog.where(~syncable()).select("seq", F.coalesce("movie_title", F.lit("<unknown>")).alias("movie_title"))
+
+
+def sync_diff(catalog: DataFrame, current: DataFrame, allow_empty: bool = False) -> DataFrame:
+    """(imdb_id, action, batch): ids to add, remove or leave, adds and removes numbered into batches.
+
+    A catalog without any id would remove everything: it is refused unless allowed.
+    """
+    if not allow_empty and catalog.where(syncable()).isEmpty():
+        raise ValueError("refusing to empty the list; pass allow_empty to do so")
+    wanted = catalog.where(syncable()).select("imdb_id").distinct().withColumn("d", F.lit(1))
     both = wanted.join(current.select("imdb_id").distinct().withColumn("c", F.lit(1)), "imdb_id", "full")
     acts = both.select("imdb_id", F.when(F.col("c").isNull(), "add").when(F.col("d").isNull(), "remove").otherwise("unchanged").alias("action"))
     # Numbered within blocks of ids that share a prefix, so that no task orders a whole action.

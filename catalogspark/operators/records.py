@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
@@ -58,6 +58,30 @@ def write_comparison(a: DataFrame, b: DataFrame, folder: str) -> None:
     summary.write.json(f"{folder}/summary")
 
 
+CANDIDATES = "seq long, title string, year string, source_url string, evidence string, extraction_method string"
+
+
+def write_candidates(candidates: DataFrame, path: str) -> None:
+    """Candidates as CSV with a header; quotes are doubled, so commas, quotes and line ends inside fields survive."""
+    columns = [c.split()[0] for c in CANDIDATES.split(", ")]
+    candidates.select(*columns).write.option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def read_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """Candidates of a CSV with a header, as `write_candidates` and other tools write it; columns are found by the header's names, missing ones are empty."""
+    raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("emptyValue", "").csv(path)
+    have = {c.strip().lower(): c for c in raw.columns}
+    return raw.select(*[(F.col(f"`{have[n]}`") if n in have else F.lit(None)).cast(kind).alias(n) for n, kind in (c.split() for c in CANDIDATES.split(", "))]).na.fill("", ["title", "source_url", "evidence", "extraction_method"])
+
+
+def compare_runs(left_path: str, right_path: str, spark: SparkSession, folder: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Two candidate CSVs compared in one call: rows with best matches, listings, summary; written to `folder` if one is given."""
+    a, b = read_candidates(spark, left_path), read_candidates(spark, right_path)
+    if folder is not None:
+        write_comparison(a, b, folder)
+    return comparison_outputs(a, b)
+
+
 def label_index(pages: DataFrame) -> DataFrame:
     """(mk, year, source_url, evidence): the first page, by page_id and place, that names a title with its year."""
     found = pages.select("page_id", F.col("url").alias("source_url"), F.posexplode(F.regexp_extract_all("text", F.lit(LABEL), F.lit(1))).alias("pos", "label"))

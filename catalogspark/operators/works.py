@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
 from catalogspark.functions import urls as U
+from catalogspark.operators.components import connected
 from catalogspark.operators.merge import survivors
 from catalogspark.session import checkpoint as settle
 
@@ -75,15 +76,11 @@ def alias_groups(rows: DataFrame) -> DataFrame:
     spelled = left.join(right, "_id").where("a < b").where(X.spelling_variants(F.col("ta"), F.col("tb"))).select("_id", "a", "b")
     said = _aka_edges(some).unionByName(_recorded_edges(some))
     said = said.join(left.drop("ta"), ["_id", "a"], "left_semi").join(right.drop("tb"), ["_id", "b"], "left_semi").select("_id", "a", "b")
-    edges = spelled.unionByName(said)
-    edges = settle(edges.unionByName(edges.select("_id", F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = titles.select("_id", "_key", F.col("_key").alias("label"))
-    while True:  # as often as the longest chain of titles has links
-        near = edges.join(labels.withColumnRenamed("_key", "b"), ["_id", "b"]).groupBy("_id", F.col("a").alias("_key")).agg(F.min("label").alias("near"))
-        new = settle(labels.join(near, ["_id", "_key"], "left").select("_id", "_key", F.least("label", F.coalesce("near", "label")).alias("label"), (F.coalesce("near", "label") < F.col("label")).alias("moved")))
-        labels = new.drop("moved")
-        if new.where("moved").isEmpty():
-            break
+    # A title is known by its work and key; each edge is a key that both its ends share.
+    edges = spelled.unionByName(said).withColumn("key", F.struct("_id", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")))
+    ends = edges.select(F.struct("_id", F.col("a").alias("k")).alias("id"), "key").unionByName(edges.select(F.struct("_id", F.col("b").alias("k")).alias("id"), "key"))
+    alone = titles.select(F.struct("_id", F.col("_key").alias("k")).alias("id"), F.struct("_id", F.col("_key").alias("x"), F.col("_key").alias("y")).alias("key"))
+    labels = connected(ends.unionByName(alone)).select(F.col("id._id").alias("_id"), "label")
     split = labels.groupBy("_id").agg((F.count_distinct("label") > 1).alias("apart"))
     return result(fit.select("_id", F.lit(True).alias("fit")).join(split, "_id", "left"))
 

@@ -42,7 +42,7 @@ def bootstrap_catalog(title_lines: DataFrame, bitrate_lines: DataFrame, works: D
     return catalog, counts
 
 
-def publish_build(catalog: DataFrame, decisions: DataFrame, candidates: DataFrame, folder: str, version: str) -> None:
-    """Exact repeats of title and disc page collapsed, labels enforced, gate, and a new version on disk."""
-    once = merge.dedupe_title_url(catalog)
-    publish.publish(once, publish.review_report(decisions, candidates), folder, version)
+def publish_build(catalog: DataFrame, decisions: DataFrame, candidates: DataFrame, folder: str) -> int:
+    """Exact repeats of title and disc page collapsed, then labels, audit and switch to the new version."""
+    once = merge.dedupe_title_url(catalog.drop("sources", "url_key", "year", "title_key"))
+    return publish.publish(once, publish.review_report(decisions, candidates), folder)

@@ -23,11 +23,11 @@ def cache_state(log: DataFrame, requests: DataFrame, now: str, version: str) ->
     return latest.select("key", state.alias("state")).unionByName(asked)
 
 
-def stream_reconcile(spark: SparkSession, source: str, schema, folder: str, fold: Callable[[DataFrame | None, DataFrame], DataFrame]) -> str:
+def stream_reconcile(spark: SparkSession, source: str, schema, folder: str, fold: Callable[[DataFrame | None, DataFrame], DataFrame], files: int = 1000, checkpoint: str = "checkpoint") -> str:
     """Fold all waiting files of a candidate stream into catalog versions under `folder`; returns the newest version's path.
 
-    A batch writes version-N once: a replayed batch finds its version and skips,
-    so a restart adds nothing.
+    A batch has `files` files at most and writes version-N once: a replayed batch finds
+    its version and skips, so a restart adds nothing, even where the checkpoint was lost.
     """
 
     def versions() -> list[int]:
@@ -46,8 +46,8 @@ def stream_reconcile(spark: SparkSession, source: str, schema, folder: str, fold
         known = spark.read.parquet(f"{folder}/catalog/version-{have[-1]}") if have else None
         fold(known, rows).write.mode("overwrite").parquet(f"{folder}/catalog/version-{batch_id}")
 
-    stream = spark.readStream.schema(schema).parquet(source)
-    run = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
+    run = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{folder}/{checkpoint}").trigger(availableNow=True).start()
     run.awaitTermination()
     have = versions()
     return f"{folder}/catalog/version-{have[-1]}" if have else ""

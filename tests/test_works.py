@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
-from catalogspark.operators import evidence, publish, reconcile, works
+from catalogspark.operators import evidence, reconcile, works
 from catalogspark.sources import lists
 from catalogspark.streaming import refresh
 from tests.test_reconcile import frame
@@ -90,15 +90,6 @@ def test_sheets_may_have_many_columns(spark):
     assert [(r.title, r.year) for r in lists.sheet_rows(rows).collect()] == [("A, B", "2001")]
 
 
-def test_publish_stops_at_a_duplicate(spark, tmp_path):
-    rows = frame(spark, [dict(row("One"), seq=0), dict(row("one!"), seq=1)])
-    review = spark.createDataFrame([], "reason string")
-    with pytest.raises(ValueError):
-        publish.publish(rows, review, str(tmp_path), "v1")
-    publish.publish(rows.where("seq = 0"), review, str(tmp_path), "v1")
-    assert spark.read.parquet(str(tmp_path / "v1" / "catalog")).count() == 1
-
-
 def test_stream_reconciles_once(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = frame(spark, [dict(seq=i, movie_title=f"Film {i % 2}", release_date="2000") for i in range(4)])
