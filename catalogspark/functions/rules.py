@@ -1,8 +1,14 @@
 """Evidence rules: which words affirm, exclude or deny, as one configuration of word lists.
 
 A text is read by a lexicon: every known word or phrase becomes one sign, and what
-is left is not known. The rules are short patterns over signs, so they say in which
-order kinds of words may stand, and the word lists say which words those are.
+is left is not known. The rules are sets of kinds, not sequences:
+
+- a negator denies the next marker if only fillers stand between them, and a status
+  word denies the marker before it;
+- a clause is about its subject if, once markers and settled denials are taken out,
+  every word left is of a permitted kind, in any order; or if it is a note on the
+  release, which may name anything.
+
 Another corpus passes its own lists.
 """
 
@@ -96,58 +102,48 @@ def one_of(*kinds: str) -> str:
     return "[" + "".join(f"<{k}>" for k in kinds) + "]"
 
 
-_MATTER = one_of("picture", "video", "thing", "layer", "sound")
-_ABOUT = one_of("picture", "first", "video", "layer")
-_DENIED = f"(?:{one_of('no', 'absent')})"
-_SAYS = one_of("be", "owns", "own", "also", "confirmed")
-_BESIDE = one_of("be", "owns", "own", "also", "confirmed", "as", "to_be", "link", "article", "not_only", "release", "note", "picture", "video", "thing", "layer", "sound")
-_PROOF = f"(?:{one_of('confirmed', 'shown')}?<by><scan>(?:<owns><english>?<sound>)?|<scan>(?:<confirms>)?)"
 _POINTS = "[:=?–—-]?"
+_YEAR = "(?:19|20)[0-9]{2}"
 
 
 @dataclass(frozen=True)
 class EvidenceRules:
-    """Two markers that must stand in one clause, and in which order words may stand beside or against them."""
-
-    #: Each says that the second marker is denied.
-    denials: tuple[str, ...] = (
-        f"<second>{_POINTS}<be>?{_DENIED}",
-        f"(?:{one_of('no', 'without', 'not')}|<do><not>{one_of('own', 'hold')}){one_of('article', 'any')}?{_ABOUT}*<second>",
-        f"{one_of('not', 'never')}{one_of('confirmed', 'shown')}{one_of('as', 'to_be')}?<article>?{_ABOUT}*<second>",
-    )
-    #: Each says that a mention of the rival is denied.
-    rival_denials: tuple[str, ...] = (
-        f"{one_of('not', 'no', 'without')}{one_of('article', 'any')}?{one_of('picture', 'first')}*<rival>",
-        f"<rival>{_POINTS}<be>?{_DENIED}",
-    )
-    #: What a clause may say beside the markers, as a whole.
-    accepted: tuple[str, ...] = field(
-        default=(
-            f"{_MATTER}+<track>?",
-            f"{_SAYS}{_BESIDE}*",
-            "<english><sound><track>?",
-            f"<definitely>?{one_of('not', 'no', 'without')}<picture>?<rival>",
-            f"<rival>{_POINTS}<be>?{_DENIED}",
-            "<owns>?<no><doubt>(?:<it>?<be>)?",
-            f"{_MATTER}*{_PROOF}",
-            "<yes>",
-            "<released>(?:theatrically|in(?:19|20)[0-9]{2}|<by>.+)?",
-            "<note>(?:(?:date|year)(?:19|20)[0-9]{2}|(?:label|<thing>).+)",
-            "<aside>",
-        )
-    )
+    """Two markers that must stand in one clause, and the kinds of words that may stand beside them or deny them."""
+
+    #: Deny the next marker.
+    negators: tuple[str, ...] = ("no", "not", "never", "without")
+    #: May stand between a negator and the marker it denies.
+    fillers: tuple[str, ...] = ("article", "any", "own", "hold", "confirmed", "shown", "as", "to_be", "picture", "first", "video", "layer")
+    #: Deny the marker before them, and may follow a verb.
+    statuses: tuple[str, ...] = ("no", "absent")
+    verbs: tuple[str, ...] = ("be",)
+    #: May stand beside the markers.
+    permitted: tuple[str, ...] = (
+        "picture", "video", "thing", "layer", "sound", "english", "track", "release", "note", "article", "as", "to_be", "link", "not_only",
+        "be", "owns", "own", "also", "confirmed", "confirms", "shown", "by", "scan", "definitely", "it", "yes", "aside",
+    )
+    #: Notes on the release: what may follow the word for it.
+    notes: tuple[str, ...] = field(default=("<released>", "<released>theatrically", f"<released>in{_YEAR}", "<released><by>.+", f"<note>(?:date|year){_YEAR}", "<note>(?:label|<thing>).+"))
+
+    def _denies(self, marker: str) -> str:
+        return f"{one_of(*self.negators)}{one_of(*self.fillers)}*<{marker}>|<{marker}>{_POINTS}{one_of(*self.verbs)}*{one_of(*self.statuses)}"
 
     @cached_property
     def denied(self) -> str:
-        return spelled("|".join(self.denials))
+        return spelled(self._denies("second"))
 
     @cached_property
     def rival_denied(self) -> str:
-        return spelled("|".join(self.rival_denials))
+        return spelled(self._denies("rival"))
+
+    @cached_property
+    def settled(self) -> str:
+        """Denials that speak for the subject: of the rival, and of doubt."""
+        return spelled(f"{self._denies('rival')}|<no><doubt>")
 
     @cached_property
     def whole(self) -> str:
-        return spelled("^(?:" + "|".join(self.accepted) + ")$")
+        return spelled(f"^(?:[{re.escape(EDGES)}]|{one_of(*self.permitted)})*$|^(?:{'|'.join(self.notes)})$")
 
 
 DEFAULT = EvidenceRules()

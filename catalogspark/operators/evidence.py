@@ -40,8 +40,8 @@ def _beside(clause: Column) -> Column:
 
 
 def _accepted(clause: Column, rules: R.EvidenceRules) -> Column:
-    rest = _beside(clause)
-    return (rest == "") | F.rlike(rest, F.lit(rules.whole))
+    rest = F.regexp_replace(_beside(clause), rules.settled, "")
+    return F.rlike(rest, F.lit(rules.whole))
 
 
 def _folded(parts: Column, marks: Column, accepted, rest) -> Column:
@@ -162,6 +162,50 @@ TITLE_CHARS = 81
 LONGEST = 15
 
 
+# What a sentence may say before the title.
+PLACES = ("spreadsheet", "list", "post", "thread", "forum", "page", "source", "site", "table", "note", "comment", "review")
+SAYING = ("says", "lists", "shows", "mentions", "reports")
+ENTRIES = ("list", "table", "source", "spreadsheet")
+CARRIERS = ("disc", "release", "blu-ray", "bluray", "uhd", "4k", "movie", "film")
+#: A place's words before it says something.
+BEFORE_PLACE = 5
+
+
+def subject_of(name: Column) -> Column:
+    """The title in what stands before a sentence's verb: without `the disc for`; empty where it reports what some place says, which leaves the title open."""
+
+    def judge(w: Column) -> Column:
+        at = lambda i: F.coalesce(F.get(w, i if isinstance(i, Column) else F.lit(i)), F.lit(""))
+        bare = lambda i: F.rtrim(at(i), F.lit(",:"))
+        place = lambda i: bare(i).isin(*PLACES)
+        comma = lambda i: F.endswith(at(i), F.lit(","))
+        behind = lambda n: F.lit(n) + (at(n) == "the").cast("int")  # noqa: E731  past an article
+        says = F.exists(F.sequence(F.lit(0), F.lit(BEFORE_PLACE)), lambda i: place(i) & bare(i + 1).isin(*SAYING) & (at(i + 2) != ""))
+        by_place = F.when((at(0) == "according") & (at(1) == "to"), place(behind(2)) & comma(behind(2))).when(at(0) == "in", place(behind(1)) & comma(behind(1))).otherwise(F.lit(False))
+        aside = (at(0) == "for") & F.exists(F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0))), lambda x: F.endswith(x, F.lit(",")))
+        entry = at(0).isin(*ENTRIES) & (at(1) == "entry:")
+        first = (at(0) == "the").cast("int")
+        carried = at(first).isin(*CARRIERS) & at(first + 1).isin("for", "of") & (at(first + 2) != "")
+        plain = F.array_join(F.slice(F.split(name, r"\s+"), F.when(carried, first + 3).otherwise(1), F.size(w)), " ")
+        return F.when(says | by_place | aside | entry, "").otherwise(F.trim(plain, F.lit(" :,-")))
+
+    return X.once(F.split(F.lower(name), r"\s+"), judge)
+
+
+def dated_title(c: Column) -> Column:
+    """(title, year) of a text `Title (YYYY) marker .. marker`, with or without a comma or colon after the year."""
+    form = r"(?s)^(.*?)\s+\(([0-9]{4})\)[\s,:]+(.*)$"
+
+    def judge(x: Column) -> Column:
+        at = lambda kind: F.regexp_instr(x["rest"], F.lit(R.phrase_pattern(R.LEXICON[kind])))
+        p, f = at("first"), at("second")
+        plain = F.rlike(x["head"], F.lit(rf"^[A-Za-z0-9][A-Za-z0-9:'&.,!?\- ]{{0,{TITLE_CHARS - 1}}}$"))
+        good = plain & (p > 0) & (f > 0) & (F.least(p, f) == 1) & (F.abs(p - f) <= APART + LONGEST)
+        return F.struct(F.when(good, x["head"]).otherwise("").alias("title"), F.when(good, x["year"]).otherwise("").alias("year"))
+
+    return X.once(F.struct(F.trim(F.regexp_extract(c, form, 1)).alias("head"), F.regexp_extract(c, form, 2).alias("year"), F.regexp_extract(c, form, 3).alias("rest")), judge)
+
+
 def sentence_title(c: Column) -> Column:
     """(title, year) of a sentence `Title (YYYY) is .. marker .. marker`; an empty title if it is none.
 
@@ -185,10 +229,12 @@ def sentence_title(c: Column) -> Column:
 
 
 def sentence_evidence(records: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataFrame:
-    """Candidates from (.., text): sentences `Title is .. marker .. marker`. The cheap marker test comes first."""
-    s = markup.sentences(records).where(marked(F.col("sentence"))).withColumn("_t", sentence_title(F.col("sentence")))
-    s = s.withColumns({"title": F.col("_t.title"), "year": F.col("_t.year")}).drop("_t")
-    good = s.where((F.col("title") != "") & looks_like_title(F.col("title")) & direct(F.col("sentence"), F.col("title"), rules))
+    """Candidates from (.., text): sentences `Title is .. marker .. marker` or `Title (YYYY): marker .. marker`. The cheap marker test comes first."""
+    s = markup.sentences(records).where(marked(F.col("sentence"))).withColumn("_v", sentence_title(F.col("sentence")))
+    s = s.withColumn("_t", F.when(F.col("_v.title") != "", F.col("_v")).otherwise(dated_title(F.col("sentence")))).drop("_v")
+    # The whole span before the verb is the subject, and is masked as such; the title is what is left of it.
+    s = s.withColumns({"_span": F.col("_t.title"), "title": subject_of(F.col("_t.title")), "year": F.col("_t.year")}).drop("_t")
+    good = s.where((F.col("title") != "") & looks_like_title(F.col("title")) & direct(F.col("sentence"), F.col("_span"), rules)).drop("_span")
     return good.withColumns({"year": F.when(F.col("year") == "", X.UNKNOWN).otherwise(F.col("year")), "quote": F.substring("sentence", 1, QUOTE_CHARS), "evidence_type": F.lit("sentence")}).drop("sentence")
 
 

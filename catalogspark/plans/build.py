@@ -11,14 +11,12 @@ from catalogspark.operators import merge, publish, reconcile
 from catalogspark.session import checkpoint as settle
 from catalogspark.sources import lists, routes
 
-#: Candidates of one page are numbered below this.
-PER_PAGE = 1 << 24
-
 
 def rows_of(candidates: DataFrame) -> DataFrame:
-    """Candidates (page_id, title, year, quote, evidence_type) as catalog rows, numbered by page and place, one a title and year."""
-    order = F.pmod(F.xxhash64("title", "year", "quote", "evidence_type"), F.lit(PER_PAGE))
-    named = candidates.select((F.col("page_id") * PER_PAGE + order).alias("seq"), F.col("title").alias("movie_title"), F.col("year").alias("release_date"), F.lit(X.UNKNOWN).alias("studio"), "quote", "evidence_type", F.lit("").alias("tmdb_id"), F.lit("movie").alias("media_type"), F.lit("").alias("imdb_id"), F.lit("").alias("bluray_url"), F.lit(True).alias("fel_confirmed"))
+    """Candidates (page_id, place, title, year, quote, evidence_type) as catalog rows, numbered by page and place over all of them; of each title and year the first leads."""
+    order = [F.col("place"), *[F.col(c) for c in ("title", "year", "quote", "evidence_type")]]
+    numbered = merge.with_rank(candidates.select("page_id", "place", "title", "year", "quote", "evidence_type"), order, F.col("page_id"), "seq")
+    named = numbered.select(F.col("seq").cast("long").alias("seq"), F.col("title").alias("movie_title"), F.col("year").alias("release_date"), F.lit(X.UNKNOWN).alias("studio"), "quote", "evidence_type", F.lit("").alias("tmdb_id"), F.lit("movie").alias("media_type"), F.lit("").alias("imdb_id"), F.lit("").alias("bluray_url"), F.lit(True).alias("fel_confirmed"))
     keyed = merge.drop_stale(named).withColumns({"title_key": X.title_key(F.col("movie_title")), "_year": X.year_of(F.col("release_date"))})
     return merge.dedupe_merge(keyed, ["title_key", "_year"]).drop("title_key", "_year")
 
@@ -36,7 +34,7 @@ def bootstrap_catalog(title_lines: DataFrame, bitrate_lines: DataFrame, works: D
     """(catalog, counts) of a first load: title and bitrate lists, merged and enriched; counts of rows read, kept and resolved."""
     read = lists.title_csv(title_lines).select("seq", "title", "year", "quote", "evidence_type")
     rated = lists.bitrate_lines(bitrate_lines).select("seq", "title", "year", F.concat("title", F.lit(" ("), "year", F.lit(")")).alias("quote"), "evidence_type")
-    both = settle(read.withColumn("page_id", F.col("seq")).unionByName(rated.withColumn("page_id", F.col("seq"))).drop("seq"))
+    both = settle(read.withColumn("page_id", F.col("seq")).unionByName(rated.withColumn("page_id", F.col("seq"))).drop("seq").withColumn("place", F.array(F.lit(0).cast("long"))))
     catalog = settle(N.enrich(settle(rows_of(both)), works, alternatives, series, discs, aliases))
     counts = both.agg(F.count(F.lit(1)).alias("ingested")).crossJoin(catalog.agg(F.count(F.lit(1)).alias("kept"), F.count_if(F.col("tmdb_id") != "").alias("resolved")))  # one row each
     return catalog, counts

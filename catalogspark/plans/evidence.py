@@ -126,3 +126,21 @@ def ground_candidates(spark, sf_dir):
 @query(f"SELECT reason, count(*) AS n FROM ({_GROUND_SQL}) WHERE reason IS NOT NULL GROUP BY reason")
 def rejection_counts(spark, sf_dir):
     return E.rejection_counts(_grounded(spark, sf_dir))
+
+
+#: A sentence of free parts: what leads in, how title and year stand, the order of markers, and what follows them.
+_GRID = """
+SELECT p_partkey AS page_id, p_name AS t, CAST(1970 + p_size AS STRING) AS y, p_partkey % 3 AS lead, (p_partkey // 3) % 3 AS form, (p_partkey // 9) % 2 AS turned, (p_partkey // 18) % 7 AS tail FROM part"""
+
+
+@query(f"SELECT page_id, t AS title, CASE WHEN form = 0 THEN 'Unknown' ELSE y END AS year FROM ({_GRID}) WHERE lead <> 2 AND tail < 4")
+def sentence_grid(spark, sf_dir):
+    """All combinations of lead, form, marker order and tail; a report of what some list says names no title, and a denial or a rival ends it."""
+    rows = spark.sql(_GRID.replace("//", "DIV").replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    lead = F.when(F.col("lead") == 1, "The disc for ").when(F.col("lead") == 2, "According to the list, ").otherwise("")
+    year = F.concat(F.lit(" ("), "y", F.lit(")"))
+    form = F.when(F.col("form") == 0, F.lit(" is ")).when(F.col("form") == 1, F.concat(year, F.lit(" is "))).otherwise(F.concat(year, F.lit(": ")))
+    marks = F.when(F.col("turned") == 1, "FEL Profile 7").otherwise("P7 FEL")
+    tails = F.array(*[F.lit(x) for x in ("", " confirmed by MediaInfo", ", not MEL", ", no doubt", ", never verified as FEL", " and MEL", ", other films are too")])
+    text = F.concat(lead, "t", form, marks, F.get(tails, F.col("tail").cast("int")), F.lit("."))
+    return E.sentence_evidence(rows.select("page_id", F.concat(F.lit("So it goes. "), text, F.lit(" The end.")).alias("text"))).select("page_id", "title", "year")

@@ -6,15 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from catalogspark.functions import text as X
 from catalogspark.functions import urls as U
 from catalogspark.operators import evidence, markup
 from catalogspark.sources import lists
 
-#: Lines of one page are numbered below this.
-LINES = 1 << 20
-FIELDS = ("page_id", "title", "year", "quote", "evidence_type")
+FIELDS = ("page_id", "place", "title", "year", "quote", "evidence_type")
 Extractor = Callable[[DataFrame], DataFrame]
 
 
@@ -34,10 +33,12 @@ def with_route(pages: DataFrame, registry: DataFrame) -> DataFrame:
     return pages.withColumn("k", U.source_key(F.col("url"))).join(r, "k").withColumn("route", route).drop("k", "trusted")
 
 
-def _fields(df: DataFrame, quote=None, kind: str | None = None) -> DataFrame:
+def _fields(df: DataFrame, *place: str, quote=None, kind: str | None = None, part: int = 0) -> DataFrame:
+    """The candidate columns; `place` orders a page's candidates: first by part, then by the numbers that the extractor gives."""
     year = F.coalesce(F.col("year"), F.lit(X.UNKNOWN))
     text = F.col("quote") if quote is None else quote
-    return df.select("page_id", "title", year.alias("year"), text.alias("quote"), (F.col("evidence_type") if kind is None else F.lit(kind)).alias("evidence_type"))
+    at = F.array(F.lit(part).cast("long"), *[F.col(c).cast("long") for c in place]).alias("place")
+    return df.select("page_id", at, "title", year.alias("year"), text.alias("quote"), (F.col("evidence_type") if kind is None else F.lit(kind)).alias("evidence_type"))
 
 
 def _lines(pages: DataFrame, text) -> DataFrame:
@@ -47,7 +48,7 @@ def _lines(pages: DataFrame, text) -> DataFrame:
 def _sheet(trusted: bool) -> Extractor:
     def read(pages: DataFrame) -> DataFrame:
         rows = _lines(pages, F.col("html")).select(F.col("page_id").alias("sheet"), F.col("line_no").alias("row_no"), "line")
-        return _fields(lists.sheet_rows(rows, trusted=trusted).withColumnRenamed("sheet", "page_id"))
+        return _fields(lists.sheet_rows(rows, trusted=trusted).withColumnRenamed("sheet", "page_id"), "row_no")
 
     return read
 
@@ -55,8 +56,8 @@ def _sheet(trusted: bool) -> Extractor:
 def _list(label: str) -> Extractor:
     def read(pages: DataFrame) -> DataFrame:
         plain = F.regexp_replace(F.regexp_replace(F.col("html"), r"(?i)</?(?:li|p|br|div|h[1-6])\b[^>]*>", "\n"), "(?s)<[^>]*>", "")
-        rows = _lines(pages, X.unescape(plain)).select((F.col("page_id") * LINES + F.col("line_no")).alias("seq"), "line")
-        return _fields(lists.list_lines(rows, label).withColumn("page_id", F.floor(F.col("seq") / LINES)))
+        rows = _lines(pages, X.unescape(plain)).select(F.struct("page_id", "line_no").alias("seq"), "line")
+        return _fields(lists.list_lines(rows, label).select("*", "seq.page_id", "seq.line_no"), "line_no")
 
     return read
 
@@ -69,17 +70,17 @@ def _evidence(pages: DataFrame) -> DataFrame:
     table = evidence.table_evidence(markup.table_rows(pages))
     said = evidence.sentence_evidence(markup.text_records(pages))
     items = evidence.list_item_evidence(markup.list_items(pages))
-    return _fields(table).unionByName(_fields(said)).unionByName(_fields(items))
+    return _fields(table, "table_no", "row_no").unionByName(_fields(said, "pos", "sentence_no", part=1)).unionByName(_fields(items, "pos", part=2))
 
 
 #: The extractor of each route: a function of pages (page_id, url, html). Callers may pass others.
 EXTRACTORS: dict[str, Extractor] = {
     "sheet": _sheet(False),
     "trusted-sheet": _sheet(True),
-    "comments": lambda pages: _fields(lists.comment_lists(pages), _dated(), "reddit-list"),
+    "comments": lambda pages: _fields(lists.comment_lists(pages), "line_no", "pos", quote=_dated(), kind="reddit-list"),
     "markdown": _list("github"),
     "archive": _list("discourse"),
-    "items": lambda pages: _fields(lists.item_attributes(pages), _dated(), "letterboxd-list"),
+    "items": lambda pages: _fields(lists.item_attributes(pages), "pos", quote=_dated(), kind="letterboxd-list"),
     "evidence": _evidence,
 }
 
@@ -91,6 +92,9 @@ def route_sources(pages: DataFrame, registry: DataFrame, extractors: dict[str, E
     good = routed.where("html is not null")
     out = None
     for name, extract in (EXTRACTORS | (extractors or {})).items():
-        part = extract(good.where(F.col("route") == name).drop("route")).select(*FIELDS).withColumn("route", F.lit(name))
+        part = extract(good.where(F.col("route") == name).drop("route"))
+        if not isinstance(part.schema["place"].dataType, ArrayType):  # an extractor of one's own may number by a single number
+            part = part.withColumn("place", F.array(F.col("place").cast("long")))
+        part = part.select(*FIELDS).withColumn("route", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out, errors
