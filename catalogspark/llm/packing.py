@@ -19,8 +19,9 @@ scale; a rank is the place in the group plus the counts of the groups before.
 The deal adds a number within the task, so that equal rows spread as well; the
 input should be a stored table, read alike if a task is repeated.
 
-Tokens are those of the tokenizer file, with the strings of special tokens read
-as ordinary text, then id 0. Text is cut before a space that stands between two
+Tokens are those of the tokenizer file without added ones, then id 0. The string of a
+special token inside a text is that token, as the file has it, or ordinary text
+where `special_as_text` is set. Text is cut before a space that stands between two
 other characters: the tokenizer always begins a piece there, so such segments
 can be encoded apart, and each worker keeps the ids of those it has met, under
 two fingerprints of 64 bits, both of which must agree.
@@ -96,12 +97,12 @@ class SegmentCache:
     it has an eighth of its size: a new segment is moved a few times in all.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         # A byte-level token's name has one character for each of its bytes.
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self.clear()
@@ -187,16 +188,17 @@ class SegmentCache:
         return ids, lengths
 
 
-_caches: dict[str, SegmentCache] = {}
+_caches: dict[tuple[str, bool], SegmentCache] = {}
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, special_as_text: bool = False) -> DataFrame:
     """One row a piece: full windows, then the rest with its ids, of every document of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _caches:
-            _caches[tokenizer] = SegmentCache(tokenizer)
-        cache, number = _caches[tokenizer], 0
+        known = (tokenizer, special_as_text)
+        if known not in _caches:
+            _caches[known] = SegmentCache(*known)
+        cache, number = _caches[known], 0
         for part in B.slices(batches, "text"):
             buf, off = B.utf8(part.column("text"))
             starts = segment_starts(buf, off)
@@ -288,10 +290,10 @@ def pack_group(table: pa.Table, length: int = LENGTH, tiers: tuple[int, ...] = T
     return pa.table(out | {"sequence_id": pa.array(columns[3]), "offset": pa.array(columns[4]), "tier": pa.array(columns[5].astype(np.int32)), "place": pa.array(columns[6])})
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, tiers: tuple[int, ...] = TIERS, special_as_text: bool = False) -> DataFrame:
     """Every piece of every document with its sequence and place, its tier, and its step and group of the step."""
     groups = max(1, -(-docs.count() // GROUP_ROWS))
-    pieces = token_pieces(docs, tokenizer, length)
+    pieces = token_pieces(docs, tokenizer, length, special_as_text)
     key = F.xxhash64("doc_id", "start", "ids_crc32", "number")
     dealt = pieces.withColumn("_group", F.pmod(key, F.lit(groups)).cast("int")).drop("number")
     packed = checkpoint(dealt.groupBy("_group").applyInArrow(lambda t: pack_group(t, length, tiers), PACKED))

@@ -217,7 +217,6 @@ def test_packing(docs, rows, empty, tokenizer):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer)
-    t.encode_special_tokens = True
     ids = {(d, len(x)): x for d, x in ((d, [*t.encode(text or "", add_special_tokens=False).ids, 0]) for d, text in rows)}
     pieces = packing.pack(docs, tokenizer).collect()
     tokens = Counter()
@@ -429,3 +428,25 @@ def test_null_ids_in_packing_mixing_and_licenses(spark, tokenizer):
     report = mixing.mix_report(df).collect()
     assert all(0 <= r.copy < r.n_copies and len(r.text_md5) == 32 for r in report)
     assert shard.shard_documents(df).where("shard is null").count() == 0
+
+
+SPECIAL = ["hello <|endoftext|> x", "<|endoftext|>", "a <|endoftext|><|endoftext|>b  <|endoftext|> \n c", " <|endoftext|>", "x<|endoftext|> y " * 700]
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_packing_reads_special_tokens_as_the_file_does(spark, tokenizer, as_text):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer)
+    t.encode_special_tokens = as_text
+    found = {}
+    for p in packing.pack(spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string"), tokenizer, special_as_text=as_text).collect():
+        found.setdefault(p.doc_id, []).append((p.start, p.length, p.ids_crc32, p.doc_tokens))
+    for i, text in enumerate(SPECIAL):
+        ids = [*t.encode(text, add_special_tokens=False).ids, 0]
+        raw = b"".join(x.to_bytes(4, "little") for x in ids)
+        assert sorted(found[i]) == [(a, n, zlib.crc32(raw[4 * a : 4 * (a + n)]), len(ids)) for a, n, *_ in sorted(found[i])]
+        assert sum(n for _, n, *_ in found[i]) == len(ids)
+    assert (50256 in t.encode(SPECIAL[0], add_special_tokens=False).ids) != as_text
