@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
 from catalogspark.functions import urls as U
+from catalogspark.session import release, stored
 
 BATCH = 500
 
@@ -15,20 +16,66 @@ def label_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("mk", X.match_key(F.col("title"))).withColumn("label", F.concat("mk", F.lit(" ("), "year", F.lit(")")))
 
 
+def percent_of(shared: Column, most: Column) -> Column:
+    return F.bround(100 * shared / most).cast("int")
+
+
+def _ranked(titles: DataFrame, order: DataFrame) -> DataFrame:
+    """(mk, size, words): the words of each title that the other side has, rarest first; size counts all words."""
+    words = titles.select("mk", F.size("t").alias("size"), F.explode("t").alias("w"))
+    found = words.join(order, "w").groupBy("mk", "size").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
+    return found.select("mk", "size", F.transform("o", lambda x: x["w"]).alias("words"))
+
+
+def best_overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(mk, best): for titles (mk, t: distinct words) of the left the largest percentage of shared words with a title of the right; titles that share none are left out.
+
+    Words are in one order on both sides, rarest on the right first. A pair whose
+    first common word is the i-th of n on the left and the j-th of m on the right
+    shares at most min(n - i, m - j) + 1 words. Each word thus gives its title a
+    floor without any pair: one shared word over the shortest title that has it.
+    Pairs then meet in rounds, on the first word, the next, the next two, four
+    and so on, and only where the bound beats what the title has so far; no title
+    meets on its last word, and common words are reached only by titles that
+    nothing rarer has matched. The rounds are as many as the longest title's
+    words, by doubling.
+    """
+    words = right.select("mk", F.size("t").alias("size"), F.explode("t").alias("w"))
+    held = stored(words.groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.min("size").alias("least")))
+    order = held.select("w", "df")
+    x, y = stored(_ranked(left, order)), stored(_ranked(right, order))
+    floors = x.select("mk", "size", F.explode("words").alias("w")).join(held, "w").groupBy("mk").agg(F.max(percent_of(F.lit(1), F.greatest("size", "least"))).alias("best"))
+    best = stored(floors)
+    at_left = x.select("mk", F.col("size").alias("n"), F.posexplode("words").alias("i", "w"), F.col("words").alias("a"))
+    at_right = y.select(F.col("size").alias("m"), F.posexplode("words").alias("j", "w"), F.col("words").alias("b"))
+    longest = x.agg(F.max(F.size("words"))).first()[0] or 0
+    done, upto = 0, 1
+    while done < longest - 1:
+        open_ = at_left.where((F.col("i") >= done) & (F.col("i") < upto)).join(best, "mk")
+        # The bound by the left side alone keeps settled titles from the exchange.
+        open_ = open_.where((F.size("a") - F.col("i") > 1) & (percent_of(F.size("a") - F.col("i"), F.col("n")) > F.col("best")))
+        bound = percent_of(F.least(F.size("a") - F.col("i"), F.size("b") - F.col("j")), F.greatest("n", "m"))
+        met = open_.join(at_right, "w").where(bound > F.col("best"))
+        better = met.groupBy("mk").agg(F.max(percent_of(F.size(F.array_intersect("a", "b")), F.greatest("n", "m"))).alias("more"))
+        now = stored(best.join(better, "mk", "left").select("mk", F.greatest("best", "more").alias("best")))
+        release(best)
+        best, done, upto = now, upto, 2 * upto
+    release(held, x, y)
+    return best
+
+
 def best_match(a: DataFrame, b: DataFrame) -> DataFrame:
     """(seq, match_percent): 100 for an equal label in b, else the best rounded token overlap; 0 where no token is shared."""
     x, y = label_key(a), label_key(b)
     exact = x.join(y.select("label").distinct(), "label", "left_semi").select("seq", F.lit(100).alias("match_percent"))
-    # Equal titles are compared once; pairs meet on a shared token only, since others score 0.
-    left = x.groupBy("mk").agg(F.first(X.tokens(F.col("mk"))).alias("lt"))
-    right = y.groupBy("mk").agg(F.first(X.tokens(F.col("mk"))).alias("rt")).withColumnRenamed("mk", "rk")
-    met = left.select("mk", F.explode("lt").alias("t")).join(right.select("rk", F.explode("rt").alias("t")), "t")
-    shared = met.groupBy("mk", "rk").agg(F.count(F.lit(1)).alias("n"))
-    sizes = lambda df, k, t, n: df.select(k, F.size(t).alias(n))
-    scored = shared.join(sizes(left, "mk", "lt", "nl"), "mk").join(sizes(right, "rk", "rt", "nr"), "rk")
-    fuzzy = scored.groupBy("mk").agg(F.max(F.bround(100 * F.col("n") / F.greatest("nl", "nr")).cast("int")).alias("fuzzy"))
-    out = x.join(exact, "seq", "left").join(fuzzy, "mk", "left")
-    return out.select("seq", F.coalesce("match_percent", "fuzzy", F.lit(0)).alias("match_percent"))
+    # Equal titles are compared once, and one that stands on both sides is settled by that.
+    titles = lambda df: df.groupBy("mk").agg(F.first(X.tokens(F.col("mk"))).alias("t"))
+    left, right = titles(x), titles(y)
+    some = F.size("t") > 0
+    same = left.where(some).join(right.select("mk"), "mk", "left_semi").select("mk", F.lit(100).alias("best"))
+    other = best_overlaps(left.where(some).join(right.select("mk"), "mk", "left_anti"), right.where(some))
+    out = x.join(exact, "seq", "left").join(same.unionByName(other), "mk", "left")
+    return out.select("seq", F.coalesce("match_percent", "best", F.lit(0)).alias("match_percent"))
 
 
 def set_compare(a: DataFrame, b: DataFrame) -> DataFrame:
