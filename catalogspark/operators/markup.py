@@ -1,15 +1,17 @@
 """Text, tables, lists and links of web pages by markup expressions.
 
-There is no tree: tags are cut by regular expressions, so badly nested markup is
-read as it comes, and nested tables flatten into the outer one.
+Plain text comes from expressions alone. What depends on which element stands in
+which (items of nested lists, rows of nested tables, units without units in them)
+comes from the walk of functions/tree.py.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
+from catalogspark.functions import tree as T
 from catalogspark.functions import urls as U
 
 # Tags that end a text record, and tags without content of their own.
@@ -30,8 +32,27 @@ def plain(fragment: Column) -> Column:
     return X.collapse_ws(X.unescape(F.regexp_replace(fragment, "(?s)<[^>]*>", " ")))
 
 
+def text_of(piece: Column) -> Column:
+    """Text between tags: entities resolved, space collapsed."""
+    return X.collapse_ws(X.unescape(piece))
+
+
+def outside_tables(html: Column) -> Column:
+    """Markup without its tables, nested ones included; a table that is never ended ends with the page, an end without a table is nothing."""
+    parts = F.split(html, r"(?is)(?=<table\b)|(?<=</table\s{0,9}>)")
+    none = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(so_far: Column, part: Column) -> Column:
+        begins, ends = F.rlike(part, F.lit(r"(?i)^<table\b")), F.rlike(part, F.lit(r"(?i)</table\s{0,9}>$"))
+        depth = so_far["depth"] + begins.cast("int")
+        kept = F.when(depth == 0, F.concat(so_far["kept"], F.array(part))).otherwise(so_far["kept"])
+        return F.struct(F.greatest(depth - ends.cast("int"), F.lit(0)).alias("depth"), kept.alias("kept"))
+
+    return F.array_join(F.aggregate(parts, none, step)["kept"], _CUT)
+
+
 def _records(html: Column) -> Column:
-    body = F.regexp_replace(live(html), r"(?is)<table\b.*?</table\s*>", _CUT)
+    body = outside_tables(live(html))
     body = F.regexp_replace(body, rf"(?i)</?(?:{BLOCKS}|br|hr)\b[^>]*>", _CUT)
     body = F.regexp_replace(body, "(?s)<[^>]*>", "")
     return F.filter(F.transform(F.split(body, _CUT), lambda r: X.collapse_ws(X.unescape(r))), lambda r: r != "")
@@ -43,31 +64,29 @@ def text_records(pages: DataFrame) -> DataFrame:
 
 
 def list_items(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, text) of the list items."""
-    inner = F.regexp_extract_all(live(F.col("html")), F.lit(r"(?is)<li\b[^>]*>(.*?)(?=</li\s*>|<li\b|</ul\s*>|</ol\s*>|$)"), F.lit(1))
-    return pages.select("page_id", F.posexplode(F.transform(inner, plain)).alias("pos", "text"))
+    """(page_id, pos, text) of the list items; an item's text holds that of the items inside it, which are items too."""
+    return pages.select("page_id", F.posexplode(F.transform(T.items("html"), text_of)).alias("pos", "text"))
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
-    """(page_id, table_no, row_no, cells, headers): rows of two cells or more under the header row before them."""
-    tables = F.regexp_extract_all(live(F.col("html")), F.lit(r"(?is)<table\b[^>]*>(.*?)</table\s*>"), F.lit(1))
-    rows = pages.select("page_id", F.posexplode(tables).alias("table_no", "t"))
-    rows = rows.select("page_id", "table_no", F.posexplode(F.regexp_extract_all("t", F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|$)"), F.lit(1))).alias("row_no", "r"))
-    cells = F.transform(F.regexp_extract_all("r", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=</t[dh]\s*>|<t[dh]\b|$)"), F.lit(1)), plain)
-    rows = rows.select("page_id", "table_no", "row_no", cells.alias("cells"), (F.rlike("r", F.lit(r"(?i)<th\b")) & ~F.rlike("r", F.lit(r"(?i)<td\b"))).alias("is_header")).where(F.size("cells") >= 2)
-    # One table of one page: a bounded group.
-    above = Window.partitionBy("page_id", "table_no").orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("headers", F.last(F.when(F.col("is_header"), F.col("cells")), ignorenulls=True).over(above))
-    return rows.where("not is_header").drop("is_header")
+    """(page_id, table_no, row_no, cells, headers): rows of two cells or more under the header row before them.
+
+    Tables count in the order they open. A table's rows include those of tables
+    inside it, which are tables of their own as well.
+    """
+    rows = pages.select("page_id", F.explode(T.rows("html")).alias("r"))
+    clean = lambda cells: F.transform(cells, text_of)
+    return rows.select("page_id", "r.table_no", "r.row_no", clean(F.col("r.cells")).alias("cells"), clean(F.col("r.headers")).alias("headers"))
 
 
 def source_records(texts: DataFrame) -> DataFrame:
-    """(doc_id, pos, record): the units a quote must lie in: table rows, then leaf records; lines of plain text."""
-    markup = F.rlike("text", F.lit(r"(?i)<(?:html|body|div|p|table|ul|li|br)\b"))
-    rows = F.transform(F.regexp_extract_all(live(F.col("text")), F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|$)"), F.lit(1)), plain)
-    lines = F.filter(F.transform(F.split("text", r"\R"), X.collapse_ws), lambda r: r != "")
-    records = F.array_distinct(F.filter(F.when(markup, F.concat(rows, _records(F.col("text")))).otherwise(lines), lambda r: r != ""))
-    return texts.select("doc_id", F.posexplode(F.when(F.size(records) > 0, records).otherwise(lines)).alias("pos", "record"))
+    """(doc_id, pos, record): the units a quote must lie in, each once, in the order of the page; lines of plain text."""
+    lines = F.split("text", r"\R")
+    markup = F.rlike("text", F.lit("<[A-Za-z][^>]*>"))
+    # Plain texts need no walk: they go to it as nulls.
+    found = F.when(markup, T.records(F.when(markup, F.col("text")))).otherwise(lines)
+    records = F.array_distinct(F.filter(F.transform(found, text_of), lambda r: r != ""))
+    return texts.select("doc_id", F.posexplode(records).alias("pos", "record"))
 
 
 def sentences(records: DataFrame, text: str = "text") -> DataFrame:

@@ -105,6 +105,30 @@ def table_rows(spark, sf_dir):
     return markup.table_rows(_part(spark, sf_dir, _TABLES)).select("page_id", "table_no", "row_no", F.array_join("cells", "|").alias("cells"), F.array_join("headers", "|").alias("headers"))
 
 
+#: A table in a cell of another, a list in an item of another, and text of a block beside a block in it.
+_NESTED = """
+SELECT p_partkey AS page_id, '<table><tr><th>Title</th><th>Layer</th></tr><tr><td>' || p_name || '</td><td>x<table><tr><td>' || p_type || '</td><td>in</td></tr></table>y</td></tr><tr><td>' || p_brand || '</td><td>z</td></tr></table>'
+  || '<div>own ' || p_name || '<p>inner</p></div><ul><li>a ' || p_brand || '<ol><li>b<li>c</ol></li><li>d</li></ul>' AS html FROM part"""
+
+
+@query(
+    """
+SELECT p_partkey AS page_id, unnest([0, 0, 0, 1]) AS table_no, unnest([1, 2, 3, 0]) AS row_no, unnest([p_name || '|x ' || p_type || ' in y|' || p_type || '|in', p_type || '|in', p_brand || '|z', p_type || '|in']) AS cells,
+       unnest(['Title|Layer', 'Title|Layer', 'Title|Layer', NULL]) AS headers FROM part"""
+)
+def nested_tables(spark, sf_dir):
+    return markup.table_rows(_part(spark, sf_dir, _NESTED)).select("page_id", "table_no", "row_no", F.array_join("cells", "|").alias("cells"), F.array_join("headers", "|").alias("headers"))
+
+
+@query("SELECT p_partkey AS page_id, 'item' AS kind, unnest([0, 1, 2, 3]) AS pos, unnest(['a ' || p_brand || ' b c', 'b', 'c', 'd']) AS text FROM part UNION ALL SELECT p_partkey, 'text', unnest(range(6)), unnest(['own ' || p_name, 'inner', 'a ' || p_brand, 'b', 'c', 'd']) FROM part UNION ALL SELECT p_partkey, 'record', unnest(range(14)), unnest(['Title Layer', 'Title', 'Layer', p_name || ' x ' || p_type || ' in y', p_name, p_type || ' in', p_type, 'in', p_brand || ' z', p_brand, 'z', 'inner', 'b', 'c']) FROM part UNION ALL SELECT p_partkey, 'record', 14, 'd' FROM part")
+def nested_records(spark, sf_dir):
+    """Items, text records and units of pages with nested elements: only units without units in them count, but for rows."""
+    pages = _part(spark, sf_dir, _NESTED)
+    kinds = {"item": markup.list_items(pages), "text": markup.text_records(pages), "record": markup.source_records(pages.select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"))).toDF("page_id", "pos", "text")}
+    parts = [df.select("page_id", F.lit(kind).alias("kind"), "pos", "text") for kind, df in kinds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     """
 SELECT p_partkey AS page_id, unnest([0, 1, 2, 3, 4]) AS pos, unnest([p_brand, 'See ' || p_name || '.', 'Next', 'one', 'two ' || p_brand]) AS text FROM part"""
@@ -115,7 +139,7 @@ def page_text_records(spark, sf_dir):
 
 @query(
     """
-SELECT p_partkey AS doc_id, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8]) AS pos, unnest(['Title Layer', p_name || ' P7 FEL', 'alone', 'a & b ' || p_type, p_brand, 'See ' || p_name || '.', 'Next', 'one', 'two ' || p_brand]) AS record FROM part WHERE p_partkey % 2 = 0
+SELECT p_partkey AS doc_id, unnest(range(15)) AS pos, unnest([p_brand, 'Title Layer', 'Title', 'Layer', p_name || ' P7 FEL', p_name, 'P7 FEL', 'alone', 'a & b ' || p_type, 'a & b', p_type, 'See ' || p_name || ' .', 'Next', 'one', 'two ' || p_brand]) AS record FROM part WHERE p_partkey % 2 = 0
 UNION ALL SELECT p_partkey, unnest([0, 1]), unnest([p_name || ' x', p_brand]) FROM part WHERE p_partkey % 2 = 1"""
 )
 def grounding_records(spark, sf_dir):
