@@ -2,7 +2,8 @@
 
 1. Sketch: a document's set holds its distinct 5-word shingles; its sketch is the
    K smallest shingle hashes. Documents with equal sets are one class, known by
-   the set's size and two independent sums over it; only classes go on.
+   the set's size and two independent sums over it; only classes go on. A class is
+   a node whose number is a hash of these, so rows of one id may lie in several.
 2. Inverted lists: a pair at the threshold T shares at least NEED of its K
    retained values (five standard deviations below the mean, a chance of under
    one in a million to miss a pair), so it shares one of each side's K - NEED + 1
@@ -15,8 +16,11 @@
 4. Components by distributed union-find.
 
 Defined cases: null or empty texts have an empty set and link with nothing; texts
-are read whole; repeated rows are one class; in the report, rows that share an id
-(or have none) are one node; an empty table gives an empty result. `drop_near`
+are read whole; repeated rows are one class; rows that share an id are linked by
+that, each set with its own links (one without shingles is linked with nothing);
+a row without an id has the smallest id that its links reach, or none, and is kept
+if it reaches none; an empty table gives an empty result; other columns stay out
+of the report. `drop_near`
 decides for each row by its own text, also where rows share an id or have none
 (equal rows of one id are one document); other columns pass through, but that names
 with two leading underscores are the operator's own.
@@ -34,6 +38,7 @@ from pyspark.sql import functions as F
 from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
 from catalogspark.llm.common import NO_ID, keyed_rows, release, small_side, stored
+from catalogspark.llm.components import connected
 from catalogspark.llm.linking import linked
 
 SHINGLE = 5
@@ -80,7 +85,7 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int = K) -> DataFrame:
-    """(doc_id, n, sum_a, sum_b, sketch) of every row."""
+    """(doc_id, th, n, sum_a, sum_b, sketch) of every row; th tells the texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in B.slices(batches, "text"):
@@ -88,12 +93,12 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
             data = keys.tobytes()
             rows = [data[8 * a : 8 * min(b, a + k)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").combine_chunks(), pa.array(np.diff(bounds).astype(np.int64)), pa.array(_sums(B.mix(keys), bounds)), pa.array(_sums(B.mix(keys ^ np.uint64(0x5851F42D4C957F2D)), bounds)), pa.array(rows, pa.binary())],
-                names=["doc_id", "n", "sum_a", "sum_b", "sketch"],
+                [part.column("doc_id").combine_chunks(), part.column("th").combine_chunks(), pa.array(np.diff(bounds).astype(np.int64)), pa.array(_sums(B.mix(keys), bounds)), pa.array(_sums(B.mix(keys ^ np.uint64(0x5851F42D4C957F2D)), bounds)), pa.array(rows, pa.binary())],
+                names=["doc_id", "th", "n", "sum_a", "sum_b", "sketch"],
             )
 
-    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    return slim.mapInArrow(run, "doc_id long, n long, sum_a long, sum_b long, sketch binary")
+    slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    return slim.mapInArrow(run, "doc_id long, th long, n long, sum_a long, sum_b long, sketch binary")
 
 
 def _values(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -147,14 +152,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, bounds = shingle_sets(*B.utf8(part.column("text")))
         data = keys.tobytes()
         rows = [data[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(), pa.array(rows, pa.binary())], names=["rep", "body"])
+        yield pa.RecordBatch.from_arrays([part.column("rep").combine_chunks(), pa.array(rows, pa.binary())], names=["rep", "body"])
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, body): the whole shingle sets of the wanted documents; only those leave the scan where they are few."""
+    """(rep, body): the whole shingle sets of the wanted (rep, doc_id, th); only those leave the scan where they are few."""
     wanted = stored(wanted)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    chosen = rows.join(small_side(wanted.withColumnRenamed("rep", "doc_id"), wanted.count()), "doc_id")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    chosen = rows.join(small_side(wanted, wanted.count()), ["doc_id", "th"]).select("rep", "text")
     out = chosen.mapInArrow(_sets, "rep long, body binary").dropDuplicates(["rep"])
     out._behind = (wanted,)
     return out
@@ -164,16 +169,32 @@ def _arrays(bodies: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in bodies]
 
 
+def same_ids(rows: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of rows that share an id."""
+    named = rows.where(F.col("doc_id") != NO_ID).select("doc_id", "rep")
+    several = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    return named.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
-    rows = stored(sketches(docs, k))
-    classes = stored(rows.where("n > 0").groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")))
+    rows = stored(sketches(docs, k).withColumn("rep", F.when(F.col("n") > 0, F.xxhash64("n", "sum_a", "sum_b"))).drop("sum_a", "sum_b"))
+    some = rows.where("n > 0")
+    classes = stored(some.groupBy("rep").agg(F.min(F.struct("doc_id", "th")).alias("home"), F.min_by("sketch", F.struct("doc_id", "th")).alias("sketch"), F.min("n").alias("n")).select("rep", "home.*", "sketch", "n"))
     lists = stored(inverted_lists(classes, classes.count(), listed(percent, k)))
-    parts = linked(lists, lambda wanted: full_sets(docs, wanted), _arrays, percent, (k, lowest_estimate(percent, k)))
-    placed = classes.select("n", "sum_a", "sum_b", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("n", "sum_a", "sum_b", F.coalesce("component", "rep").alias("component_id"))
-    placed = stored(placed)
-    release(lists, classes, parts)
-    out = rows.select("doc_id", "n", "sum_a", "sum_b").join(placed, ["n", "sum_a", "sum_b"], "left")
+    parts = linked(lists, lambda wanted: full_sets(docs, classes.select("rep", "doc_id", "th").join(wanted, "rep")), _arrays, percent, (k, lowest_estimate(percent, k)))
+    shared = stored(same_ids(some))
+    if not shared.isEmpty():
+        merged = connected(parts.toDF("a", "b").unionByName(shared))
+        release(parts)
+        parts = merged
+    # A component is named by its smallest id.
+    named = classes.select("rep", "doc_id").join(parts.withColumnRenamed("node", "rep"), "rep")
+    first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = stored(named.select("rep", "component").join(first, "component").select("rep", "component_id"))
+    own = stored(classes.select("rep", "doc_id").join(placed, "rep", "left").select("rep", F.coalesce("component_id", "doc_id").alias("component_id")))
+    release(lists, classes, parts, shared, placed)
+    out = rows.select("doc_id", "n", "rep").join(own, "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID))).withColumn("component_id", F.nullif("component_id", F.lit(NO_ID)))
 

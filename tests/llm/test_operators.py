@@ -345,6 +345,20 @@ def test_minhash_chains(spark):
     assert sorted(got(minhash.near_duplicates(df), "doc_id", "n_shingles", "component_id", "kept")) == brute.op10(rows)
 
 
+def test_minhash_shared_ids(spark):
+    """Rows of one id with different texts: each text's links count, and the id joins them; rows without an id are judged by their own texts."""
+    prose = lambda k: [f"{k}{i}" for i in range(80)]
+    text = lambda k, *more: " ".join([*prose(k), *more])
+    for first, rest in ((1, (3, 4)), (5, (1, 4)), (5, (4, 1)), (9, (7, 8))):
+        rows = [(first, text("a")), (first, text("b")), (rest[0], text("a", "x")), (rest[1], text("b", "x")), (20, text("c"))]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        found = sorted(got(minhash.near_duplicates(df), "doc_id", "n_shingles", "component_id", "kept"))
+        assert found == brute.op10(rows) and len({c for _, _, c, _ in found}) == 2
+    rows = [(None, text("a")), (None, text("b")), (3, text("a", "x")), (None, text("b", "x")), (None, None), (6, "")]
+    found = got(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
+    assert sorted(found, key=str) == sorted([(None, 76, 3, False), (None, 76, None, True), (3, 77, 3, True), (None, 77, None, True), (None, 0, None, True), (6, 0, 6, True)], key=str)
+
+
 def thue_morse(n):
     t = "a"
     while len(t) < n:
