@@ -3,7 +3,10 @@
 A template of n words is looked for in blocks of 2 * s words that begin every s
 words, with s the smallest of STRIDES that is n or more, so that any passage as
 long as the template lies in one. A block matches a template when it holds at
-least THRESHOLD of the template's distinct words. The join is exact:
+least THRESHOLD of the template's distinct words. A notice of SHORT words or fewer
+has too few words to be told by a share of them: its threshold is all of them, and
+of the blocks found so only those count in which they stand one after another. The
+join is exact:
 
 - words are ordered by how many documents hold them, over the whole corpus;
 - prefix: a match must share one of the template's |T| - need + 1 rarest words,
@@ -17,8 +20,7 @@ Each text is split into words once: that pass finds the base phrases at every
 place, and stores of the words only those that some template has, with their
 places. Templates are a fixed list, so their index is a small, bounded side.
 
-Words are compared in lower case; `lower` also lowers letters outside A-Z, which
-no phrase or template has. Null and empty texts have no words; texts are read
+Only A-Z are lowered. Null and empty texts have no words; texts are read
 whole; repeated rows are judged alike, and rows without an id like others; an
 empty table gives an empty result. Other columns of the input, whatever their
 names, stay out of the result.
@@ -27,6 +29,7 @@ names, stay out of the result.
 from __future__ import annotations
 
 from math import ceil
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,11 +56,14 @@ TEMPLATES = {
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
 THRESHOLD = 0.8
+#: Templates of so few words must stand word for word.
+SHORT = 12
 STRIDES = (16, 32, 64, 128, 256)
 
 
 def words(text: str = "text") -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0))
+    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), ascii_uppercase, ascii_lowercase)
+    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
 def stride_of(template: str) -> int:
@@ -65,6 +71,15 @@ def stride_of(template: str) -> int:
     return next(s for s in STRIDES if s >= n)
 
 
+def is_short(template: str) -> bool:
+    return len(template.split()) <= SHORT
+
+
+def need_of(template: str, threshold: float = THRESHOLD) -> int:
+    """How many of the template's distinct words a block must hold."""
+    return ceil((1.0 if is_short(template) else threshold) * len(set(template.split())))
+
+
 def phrase_starts(w: Column, phrase: tuple[str, ...]) -> Column:
     """0-based places where the phrase's words stand one after another."""
     last = F.size(w) - len(phrase)
@@ -95,20 +110,27 @@ def word_order(read: DataFrame, templates: dict[str, str] = TEMPLATES) -> dict[s
 
 
 def template_index(order: dict[str, int], threshold: float, templates: dict[str, str] = TEMPLATES) -> list[tuple]:
-    """(prefix word, label, its place, size, needed overlap, all words, stride) rows, rarest words first."""
+    """(prefix word, label, its place, size, needed overlap, all words, stride, the words of a short notice in their order) rows, rarest words first."""
     rows = []
     for label, text in templates.items():
         tokens = sorted(set(text.split()), key=lambda x: (order[x], x))
-        need = ceil(threshold * len(tokens))
-        rows += [(t, label, i, len(tokens), need, tokens, stride_of(text)) for i, t in enumerate(tokens[: len(tokens) - need + 1])]
+        need = need_of(text, threshold)
+        rows += [(t, label, i, len(tokens), need, tokens, stride_of(text), text.split() if is_short(text) else None) for i, t in enumerate(tokens[: len(tokens) - need + 1])]
     return rows
 
 
+def stands_in(placed: str, phrase: str) -> Column:
+    """Whether the phrase's words stand one after another among placed words (p, x)."""
+    n, last = F.size(phrase), F.size(placed) - F.size(phrase)
+    whole = lambda i: (F.get(f"{placed}.p", i + n - 1) - F.get(f"{placed}.p", i) == n - 1) & (F.slice(f"{placed}.x", i + 1, n) == F.col(phrase))
+    return F.when(last >= 0, F.exists(F.sequence(F.lit(0), last), whole)).otherwise(False)
+
+
 def matches(read: DataFrame, threshold: float = THRESHOLD, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """(id, th, found, best): templates that a block of the document contains, and the largest containment."""
     order = word_order(read, templates)
     index = template_index(order, threshold, templates)
-    side = read.sparkSession.createDataFrame(index, "word string, label string, place int, size int, need int, tokens array<string>, stride int")
+    side = read.sparkSession.createDataFrame(index, "word string, label string, place int, size int, need int, tokens array<string>, stride int, phrase array<string>")
     keys, least = sorted({r[0] for r in index}), min(r[4] for r in index)
     rank = F.create_map(*[F.lit(x) for kv in zip(sorted(order, key=lambda x: (order[x], x)), range(len(order)), strict=True) for x in kv])
     # Documents with too few template words, or no rare one, hold no match.
@@ -117,14 +139,14 @@ def matches(read: DataFrame, threshold: float = THRESHOLD, templates: dict[str,
     block = F.floor(F.col("h.p") / F.col("stride")).cast("int")
     each = met.withColumn("b", F.explode(F.array(block, block - 1))).where("b >= 0")
     inside = F.filter("hits", lambda h: (h["p"] >= F.col("b") * F.col("stride")) & (h["p"] < (F.col("b") + 2) * F.col("stride")))
-    held = each.withColumn("inside", F.array_distinct(F.transform(inside, lambda h: h["x"])))
+    held = each.withColumn("placed", inside).withColumn("inside", F.array_distinct("placed.x"))
     # A block's template words in the global order; other words cannot overlap and only add to its length.
     known = F.transform(F.array_sort(F.transform("inside", lambda x: F.struct(F.element_at(rank, x).alias("r"), x.alias("x")))), lambda s: s["x"])
     held = held.where(F.size("inside") >= F.col("need")).withColumn("known", known).withColumn("at", F.array_position("known", F.col("h.x")) - 1)
     left_over = F.least(F.col("size") - F.col("place"), F.size("known") - F.col("at"))
     near = held.where(left_over + F.least("place", "at") >= F.col("need"))
     overlap = F.size(F.array_intersect("known", "tokens"))
-    good = near.where(overlap >= F.col("need")).select("id", "th", "label", (overlap / F.col("size")).alias("c"))
+    good = near.where((overlap >= F.col("need")) & (F.col("phrase").isNull() | stands_in("placed", "phrase"))).select("id", "th", "label", (overlap / F.col("size")).alias("c"))
     return good.groupBy("id", "th").agg(F.collect_set("label").alias("found"), F.max("c").alias("best"))  # labels: a fixed list
 
 

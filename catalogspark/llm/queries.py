@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,16 +142,16 @@ def license_sql() -> str:
     rows = []
     for label, text in licenses.TEMPLATES.items():
         tokens = sorted(set(text.split()))
-        rows.append(f"('{label}', {tokens}, {len(tokens)}, {ceil(licenses.THRESHOLD * len(tokens))}, {licenses.stride_of(text)})")
+        rows.append(f"('{label}', {tokens}, {len(tokens)}, {licenses.need_of(text)}, {licenses.stride_of(text)}, '{text if licenses.is_short(text) else ""}')")
     starts = ", ".join("list_filter(range(0, len(w)), lambda i: " + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(phrase, 1)) + f") AS s{n}" for n, phrase in enumerate(licenses.BASE.values()))
     base = ", ".join(f"CASE WHEN len(s{n}) > 0 THEN '{label}' END" for n, label in enumerate(licenses.BASE))
     every = "list_concat(list_concat(s0, s1), s2)"
     return rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-t(label, tokens, n, need, stride) AS (VALUES {", ".join(rows)}),
+t(label, tokens, n, need, stride, phrase) AS (VALUES {", ".join(rows)}),
 b AS (SELECT rid, w, stride, unnest(range(0, greatest(len(w), 1), stride)) AS b FROM d, (SELECT DISTINCT stride FROM t)),
-x AS (SELECT rid, stride, list_distinct(w[b + 1:b + 2 * stride]) AS block FROM b),
-m AS (SELECT rid, label, max(len(list_intersect(block, tokens))) / n AS c FROM x JOIN t USING (stride) GROUP BY rid, label, n, need HAVING max(len(list_intersect(block, tokens))) >= need),
+x AS (SELECT rid, stride, list_distinct(w[b + 1:b + 2 * stride]) AS block, ' ' || array_to_string(w[b + 1:b + 2 * stride], ' ') || ' ' AS line FROM b),
+m AS (SELECT rid, label, max(len(list_intersect(block, tokens))) / n AS c FROM x JOIN t USING (stride) WHERE phrase = '' OR contains(line, ' ' || phrase || ' ') GROUP BY rid, label, n, need HAVING max(len(list_intersect(block, tokens))) >= need),
 f AS (SELECT rid, list(label) AS found, max(c) AS best FROM m GROUP BY rid),
 s AS (SELECT rid, doc_id, len(w) AS n_words, {starts} FROM d),
 p AS (SELECT rid, doc_id, n_words, {every} AS e, list_filter([{base}], lambda v: v IS NOT NULL) AS base FROM s)

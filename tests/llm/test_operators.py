@@ -27,7 +27,8 @@ def license_matches(t, threshold=0.8):
     for label, template in licenses.TEMPLATES.items():
         tokens, stride = set(template.split()), licenses.stride_of(template)
         best = max(len(tokens & set(w[i : i + 2 * stride])) for i in range(0, max(len(w), 1), stride))
-        if best >= threshold * len(tokens):
+        short = len(template.split()) <= 12
+        if f" {template} " in f" {' '.join(w)} " if short else best >= threshold * len(tokens):
             out[label] = best / len(tokens)
     return out
 
@@ -42,6 +43,28 @@ LICENSED = [
 ]
 
 
+#: Prose that holds most words of a short notice, or all of them in another order.
+UNLICENSED = [
+    "The album was released in May; under the new license the band may tour.",
+    "released under the terms of the gpl license",
+    "licensed under the mozilla license version 2",
+    "The MIT band released the single under license, under the label.",
+    "Apache version 2 was licensed under the license of the maker",
+    "this creative commons work is licensed under an attribution license by a court",
+    "version 3 of this work is licensed under the public gnu general license",
+    "this unencumbered software is free and was released into the public domain is said",
+    "released under the M\u0130T license, wor\u212a of Apache",
+]
+
+
+def test_prose_has_no_license(spark):
+    rows = list(enumerate(UNLICENSED))
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.labels, r.score) for r in found} == {("", 0.0)} and len(found) == len(rows)
+    short = [(i, f"See: {t.upper()}.") for i, t in enumerate(licenses.TEMPLATES.values()) if len(t.split()) <= 12]
+    assert all(r.labels and r.score == 1.0 for r in licenses.scan(spark.createDataFrame(short, "doc_id long, text string")).collect())
+
+
 def test_license_scan(spark, docs, rows, empty):
     out = licenses.scan(docs)
     found = got(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
