@@ -61,6 +61,8 @@ def _folded(parts: Column, marks: Column, accepted, rest) -> Column:
 
 
 _CUT = f"[{R.DELIMITERS}]"
+#: The same in a text as it is written.
+CLAUSE_END = rf"(?i)(?<!dts):|(?<!dd)\+|[{R.DELIMITERS.replace(':', '').replace('+', '')}]|\band\b"
 
 
 def _sign_clauses(t: Column, rules: R.EvidenceRules) -> Column:
@@ -71,9 +73,8 @@ def _sign_clauses(t: Column, rules: R.EvidenceRules) -> Column:
 
 def subject_clauses(c: Column, rules: R.EvidenceRules = R.DEFAULT) -> Column:
     """Clauses of a text between delimiters, as it is written. The marks in names of sound formats are none."""
-    cut = rf"(?i)(?<!dts):|(?<!dd)\+|[{R.DELIMITERS.replace(':', '').replace('+', '')}]|\band\b"
-    marks = F.concat(F.regexp_extract_all(c, F.lit(f"({cut})"), F.lit(1)), F.array(F.lit("")))
-    return _folded(F.split(c, cut, -1), marks, lambda x: _accepted(signs(x), rules), lambda x: _beside(signs(x)))
+    marks = F.concat(F.regexp_extract_all(c, F.lit(f"({CLAUSE_END})"), F.lit(1)), F.array(F.lit("")))
+    return _folded(F.split(c, CLAUSE_END, -1), marks, lambda x: _accepted(signs(x), rules), lambda x: _beside(signs(x)))
 
 
 def _correlated(t: Column, rules: R.EvidenceRules) -> Column:
@@ -287,32 +288,113 @@ def table_evidence(rows: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataF
     return good.select(*keys, "title", "year", F.substring(F.array_join("cells", " "), 1, QUOTE_CHARS).alias("quote"), F.lit("table-row").alias("evidence_type"))
 
 
+#: A year directly behind a title, in brackets or bare.
+BEHIND = rf"^\s*(?:\(\s*({X.YEAR})\s*\)|({X.YEAR})(?![0-9]))"
+#: A title that is itself a year, with its year in brackets behind it.
+YEAR_TITLE = rf"(?<![\p{{L}}\p{{N}}_]){X.YEAR}(?=\s*\(\s*{X.YEAR}\s*\))"
+
+
+def _whole(title: Column) -> Column:
+    """A pattern of the title as whole words, in any case."""
+    return F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])\Q"), F.replace(title, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![\p{L}\p{N}_])"))
+
+
+def _is_year(c: Column) -> Column:
+    return F.rlike(c, F.lit(f"^{X.YEAR}$"))
+
+
+def _blanked(c: Column, spans: Column) -> Column:
+    """The text with spans (begin, size; from 0) made blank."""
+    return F.aggregate(spans, c, lambda acc, x: F.overlay(acc, F.rpad(F.lit(""), x["size"], F.lit(" ")), x["begin"] + 1, x["size"]))
+
+
+def mentions(c: Column, title: Column, year: Column) -> Column:
+    """Where a text names a title: (begin, size, year, fits, told, led), in order.
+
+    `size` takes in a year directly behind the name that does not contradict the
+    candidate's; `year` is that year and `fits` says that there is one. `told`:
+    the rest of the name's clause holds both markers. `led`: the name begins a
+    clause that goes on.
+    """
+    names = F.regexp_extract_all(c, _whole(title), F.lit(0))
+    gaps = F.zip_with(F.slice(F.split(c, _whole(title), -1), F.lit(1), F.size(names)), names, lambda g, n: F.struct(F.length(g).alias("gap"), F.length(n).alias("size")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,size:int>>").alias("out"))
+    step = lambda acc, x: F.struct((acc["at"] + x["gap"] + x["size"]).alias("at"), F.array_append(acc["out"], F.struct((acc["at"] + x["gap"]).alias("begin"), x["size"].alias("size"))).alias("out"))
+    placed = F.aggregate(gaps, start, step, lambda acc: acc["out"])
+
+    def read(m: Column) -> Column:
+        head, tail = F.substr(c, F.lit(1), m["begin"]), F.substr(c, m["begin"] + m["size"] + 1)
+        found = F.coalesce(F.nullif(F.regexp_extract(tail, BEHIND, 1), F.lit("")), F.regexp_extract(tail, BEHIND, 2))
+        fits = (found != "") & (~_is_year(year) | (found == year))
+        rest = F.get(F.split(tail, CLAUSE_END, 2), F.lit(0))
+        goes_on = F.rlike(F.regexp_replace(rest, rf"^\s*\(\s*{X.YEAR}\s*\)", ""), F.lit(r"[\p{L}\p{N}]"))
+        led = F.rlike(head, F.lit(rf"(?:{CLAUSE_END})\s*$|^\s*$")) & goes_on
+        return F.struct(m["begin"].alias("begin"), (m["size"] + F.when(fits, F.length(F.regexp_extract(tail, BEHIND, 0))).otherwise(0)).alias("size"), F.when(fits, found).otherwise("").alias("year"), fits.alias("fits"), marked(rest).alias("told"), led.alias("led"))
+
+    return F.when(title == "", F.array()).otherwise(F.transform(placed, read))
+
+
+def bound(c: Column, title: Column, year: Column) -> Column:
+    """(text, subject, year, named): the text without the mention that the claim is about, and that mention's year.
+
+    The claim is about the first mention with a year that fits the candidate's,
+    else the first whose clause holds both markers, else the first of all.
+    `subject` also lacks the name where it opens another clause that goes on.
+    """
+
+    def judge(ms: Column) -> Column:
+        first = lambda field: F.get(F.filter(ms, lambda m: m[field]), F.lit(0))
+        return X.once(F.coalesce(first("fits"), first("told"), F.get(ms, F.lit(0))), lambda m: out(ms, m))
+
+    def out(ms: Column, m: Column) -> Column:
+        text = F.when(m.isNull(), c).otherwise(_blanked(c, F.array(m)))
+        others = F.filter(ms, lambda x: x["led"] & (x["begin"] != m["begin"]))
+        return F.struct(text.alias("text"), _blanked(text, others).alias("subject"), F.coalesce(m["year"], F.lit("")).alias("year"), m.isNotNull().alias("named"))
+
+    return X.once(mentions(c, title, year), judge)
+
+
+def years_told(c: Column, title: Column) -> Column:
+    """The years a text speaks of: neither names that are years, nor the title where it is one."""
+    plain = F.regexp_replace(c, YEAR_TITLE, " ")
+    plain = F.when(_is_year(title), F.regexp_replace(plain, _whole(title), F.lit(" "))).otherwise(plain)
+    return F.array_distinct(F.regexp_extract_all(plain, F.lit(rf"\b({X.YEAR})\b"), F.lit(1)))
+
+
 def ground(candidates: DataFrame, pages: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataFrame:
     """Candidates (seq, title, year, source_url, evidence) with `reason`: null if the page bears them out, else the first failed check.
 
-    pages holds (url, text). The record units of a page stay one array of that page.
+    The year must be the one year that the evidence speaks of. A candidate without
+    one takes the year directly behind its title, and is turned away if the
+    evidence has another year only. Every clause beside the title must be about
+    it. pages holds (url, text). The record units of a page stay one array of that
+    page. Null titles, years and evidence count as empty.
     """
     p = pages.select(F.col("url").alias("source_url"), "text")
     units = markup.source_records(p.select(F.col("source_url").alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("source_url")).agg(F.collect_list("record").alias("records"))
     plain = p.select("source_url", F.lower(markup.plain(F.col("text"))).alias("page"))
     c = candidates.join(plain, "source_url", "left").join(units, "source_url", "left")
-    quote = F.lower(X.collapse_ws(F.col("evidence")))
-    bare = without_title(F.col("evidence"), F.col("title"))
-    years = F.array_distinct(F.regexp_extract_all("evidence", F.lit(rf"({X.YEAR})"), F.lit(1)))
-    both = marked(F.col("evidence"))
+    blank = lambda name: F.coalesce(F.col(name), F.lit(""))
+    c = c.withColumns({"_quote": X.collapse_ws(blank("evidence")), "_title": X.collapse_ws(blank("title"))})
+    c = c.withColumn("_b", bound(F.col("_quote"), F.col("_title"), blank("year")))
+    c = c.withColumn("_years", F.array_distinct(F.concat(F.when(F.col("_b.year") != "", F.array("_b.year")).otherwise(F.array().cast("array<string>")), years_told(F.col("_b.text"), F.col("_title")))))
+    quote, text, years = F.lower("_quote"), F.col("_b.text"), F.col("_years")
+    dated = _is_year(blank("year"))
     reason = (
-        F.when(is_device(F.col("title")), "device-title")
-        .when((quote == "") | ~F.coalesce(F.contains("page", quote), F.lit(False)), "evidence-not-found")
+        F.when(is_device(F.col("_title")), "device-title")
+        .when((quote == "") | (F.col("_title") == "") | ~F.coalesce(F.contains("page", quote), F.lit(False)), "evidence-not-found")
         .when(~F.coalesce(F.exists("records", lambda r: F.contains(F.lower(r), quote)), F.lit(False)), "cross-release-evidence")
-        .when(~F.contains(F.concat(F.lit(" "), X.title_key(F.col("evidence")), F.lit(" ")), F.concat(F.lit(" "), X.title_key(F.col("title")), F.lit(" "))), "title-not-bound")
-        .when(excluded(F.col("evidence")) | unnegated_rival(F.col("evidence"), rules), "excluded-format")
-        .when(denied(F.col("evidence"), rules), "negated-fel")
-        .when(~both, "missing-affirmative-fel")
+        .when(~F.col("_b.named"), "title-not-bound")
+        .when(excluded(text) | unnegated_rival(text, rules), "excluded-format")
+        .when(denied(text, rules), "negated-fel")
+        .when(~marked(text), "missing-affirmative-fel")
         .when(F.size(years) > 1, "ambiguous-year")
-        .when(~correlated(bare, rules), "cross-release-evidence")
-        .when((F.col("year") != X.UNKNOWN) & ~F.array_contains(years, F.col("year")), "year-not-in-evidence")
+        .when(~correlated(F.col("_b.subject"), rules), "cross-release-evidence")
+        .when(F.when(dated, ~F.array_contains(years, F.col("year"))).otherwise((F.col("_b.year") == "") & (F.size(years) > 0)), "year-not-in-evidence")
     )
-    return c.select(*candidates.columns, reason.alias("reason"))
+    year = F.when(dated, F.col("year")).otherwise(F.coalesce(F.nullif(F.col("_b.year"), F.lit("")), F.lit(X.UNKNOWN)))
+    c = c.withColumn("reason", reason).withColumn("year", F.when(F.col("reason").isNull(), year).otherwise(F.col("year")))
+    return c.select(*candidates.columns, "reason")
 
 
 def rejection_counts(grounded: DataFrame) -> DataFrame:

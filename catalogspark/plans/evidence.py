@@ -144,3 +144,34 @@ def sentence_grid(spark, sf_dir):
     tails = F.array(*[F.lit(x) for x in ("", " confirmed by MediaInfo", ", not MEL", ", no doubt", ", never verified as FEL", " and MEL", ", other films are too")])
     text = F.concat(lead, "t", form, marks, F.get(tails, F.col("tail").cast("int")), F.lit("."))
     return E.sentence_evidence(rows.select("page_id", F.concat(F.lit("So it goes. "), text, F.lit(" The end.")).alias("text"))).select("page_id", "title", "year")
+
+
+#: A claim of free parts: how the title's year stands, what follows the markers, which year the candidate has, and whether the page breaks the claim in two.
+_BOUND = """
+SELECT p_partkey AS seq, p_name AS t, CAST(1970 + p_size AS STRING) AS y, CAST(1971 + p_size AS STRING) AS z, p_partkey % 3 AS form, (p_partkey // 3) % 5 AS tail, (p_partkey // 15) % 3 AS asked, (p_partkey // 45) % 7 = 0 AS broken FROM part"""
+
+
+@query(
+    f"""
+SELECT seq, reason, CASE WHEN reason IS NULL AND asked = 1 AND form > 0 THEN y WHEN asked = 0 THEN y WHEN asked = 1 THEN 'Unknown' ELSE z END AS year FROM (
+  SELECT *, CASE
+    WHEN broken THEN 'cross-release-evidence'
+    WHEN form > 0 AND tail = 3 THEN 'ambiguous-year'
+    WHEN tail IN (1, 4) OR (form = 2 AND asked = 2) THEN 'cross-release-evidence'
+    WHEN asked = 0 AND form > 0 THEN NULL
+    WHEN asked = 1 AND (form > 0 OR tail <> 3) THEN NULL
+    WHEN asked = 2 AND form = 0 AND tail = 3 THEN NULL
+    ELSE 'year-not-in-evidence' END AS reason FROM ({_BOUND}))"""
+)
+def ground_years(spark, sf_dir):
+    """All combinations of year form, tail, asked year and broken page; the SQL decides from the parts, not from the text."""
+    rows = spark.sql(_BOUND.replace("//", "DIV").replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    form = F.when(F.col("form") == 1, F.concat(F.lit(" ("), "y", F.lit(")"))).when(F.col("form") == 2, F.concat(F.lit(" "), "y")).otherwise("")
+    tail = F.get(F.array(F.lit(""), F.lit("; Ronin"), F.concat(F.lit("; "), F.upper("t"), F.lit(" has TrueHD")), F.concat(F.lit(" ("), "z", F.lit(")")), F.lit(" and Heat is great")), F.col("tail").cast("int"))
+    name = F.concat("t", form)
+    claim = F.concat(name, F.lit(" is P7 FEL"), tail)
+    page = F.when(F.col("broken"), F.concat(F.lit("<p>"), name, F.lit("</p><p>is P7 FEL"), tail, F.lit("</p>"))).otherwise(F.concat(F.lit("<p>Before.</p><ul><li>"), claim, F.lit("</li></ul>")))
+    url = F.concat(F.lit("http://x.example/"), "seq")
+    asked = F.when(F.col("asked") == 0, F.col("y")).when(F.col("asked") == 1, F.lit("Unknown")).otherwise(F.col("z"))
+    candidates = rows.select("seq", F.col("t").alias("title"), asked.alias("year"), url.alias("source_url"), claim.alias("evidence"))
+    return E.ground(candidates, rows.select(url.alias("url"), page.alias("text"))).select("seq", "reason", "year")

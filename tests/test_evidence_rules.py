@@ -33,6 +33,48 @@ DENIED = {"no P7 FEL": True, "not a full enhancement layer FEL": True, "does not
 REPLIES = {"You forgot one: Heat (1995)": "Heat (1995)", "and you missed Heat (1995)": "Heat (1995)", "Don't forget Heat (1995)": "Heat (1995)", "Missing You (2001)": "You (2001)", "Heat (1995)": "Heat (1995)", "Added: Heat (1995)": "Heat (1995)"}
 ASKED = {"Is this Heat (1995)": True, "Are you sure, Heat (1995)": True, "Could someone check (1995)": True, "What about Heat (1995)": True, "Why is Heat (1995)": True, "Anyone know Heat (1995)": True, "What Women Want (2000)": False, "How It Ends (2018)": False, "You Got Served (2004)": False, "Why Him (2016)": False, "Is Paris Burning (1966)": False}
 
+#: (title, year asked, evidence): (year told, reason)
+GROUNDED = {
+    ("Dune", "2021", "Dune (1984), Dune (2021) Profile 7 FEL"): ("2021", "ambiguous-year"),
+    ("Dune", "2021", "Dune (2021) Profile 7 FEL"): ("2021", None),
+    ("Dune", "2021", "Dune 2021 Profile 7 FEL"): ("2021", None),
+    ("Dune", "2021", "Dune 20215 Profile 7 FEL"): ("2021", "cross-release-evidence"),
+    ("Dune", "1984", "Dune (2021) Profile 7 FEL"): ("1984", "year-not-in-evidence"),
+    ("Dune", "1984", "Dune 2021 Profile 7 FEL"): ("1984", "cross-release-evidence"),
+    ("Dune", "", "Dune ( 2021 ) Profile 7 FEL"): ("2021", None),
+    ("Dune", "next year", "dune is P7 FEL"): ("Unknown", None),
+    ("Dune", None, "Dune is P7 FEL"): ("Unknown", None),
+    ("Dune", "Unknown", "Dune is P7 FEL (2021)"): ("Unknown", "year-not-in-evidence"),
+    ("Dune", "2021", "Dune is P7 FEL (2021)"): ("2021", None),
+    ("Alpha", "2024", "Alpha (2024) Profile 7 FEL; Beta (2024) Profile 7 FEL"): ("2024", "cross-release-evidence"),
+    ("Alpha", "2024", "Alpha (2024); Beta Profile 7 FEL"): ("2024", "cross-release-evidence"),
+    ("Alpha", "2024", "Alpha; Profile 7 FEL; Beta (2024)"): ("2024", "cross-release-evidence"),
+    ("Alpha", "Unknown", "Alpha Profile 7 FEL; Beta"): ("Unknown", "cross-release-evidence"),
+    ("Alpha", "2024", "Alpha (2024) is Profile 7 FEL; Alpha has TrueHD"): ("2024", None),
+    ("Alpha", "2024", "Alphabet (2024) is Profile 7 FEL"): ("2024", "title-not-bound"),
+    ("Blade Runner 2049", "2017", "Blade Runner 2049 (2017) is P7 FEL"): ("2017", None),
+    ("2012", "2009", "2012 (2009) is P7 FEL"): ("2009", None),
+    ("2012", "Unknown", "2012 is P7 FEL"): ("Unknown", None),
+    ("Heat", "1995", "2012 (2009) and Heat (1995) is P7 FEL"): ("1995", "ambiguous-year"),
+    ("No MEL", "2001", "No MEL (2001) is P7 FEL"): ("2001", None),
+    (r"A\E.b", "2001", r"A\E.b (2001) is P7 FEL"): ("2001", None),
+    ("A.b", "2001", "Acb (2001) is P7 FEL"): ("2001", "title-not-bound"),
+    ("Été", "2001", "ÉTÉ (2001) is P7 FEL"): ("2001", None),
+    ("", "2001", "Heat is P7 FEL"): ("2001", "evidence-not-found"),
+    (None, "2001", None): ("2001", "evidence-not-found"),
+}
+
+
+def test_grounding(spark):
+    """Each candidate on a page that says just its evidence, and none on a page that is not there."""
+    cases = list(GROUNDED.items())
+    rows = spark.createDataFrame([(i, t, y, f"u{i}", e) for i, ((t, y, e), _) in enumerate(cases)], "seq long, title string, year string, source_url string, evidence string")
+    found = {r.seq: (r.year, r.reason) for r in E.ground(rows, rows.select(F.col("source_url").alias("url"), F.col("evidence").alias("text"))).collect()}
+    assert {k: found[i] for i, (k, _) in enumerate(cases)} == dict(cases)
+    lost = E.ground(rows, rows.where("false").select(F.col("source_url").alias("url"), F.col("evidence").alias("text")))
+    assert {r.reason for r in lost.collect()} == {"evidence-not-found"}
+    assert E.ground(rows.where("false"), rows.select(F.col("source_url").alias("url"), F.col("evidence").alias("text"))).count() == 0
+
 
 def test_sentences(spark):
     rows = spark.createDataFrame(list(enumerate(SENTENCES)), "page_id long, text string")
