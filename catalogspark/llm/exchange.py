@@ -1,6 +1,7 @@
 """Fingerprint exchanges between chunks of documents.
 
-Documents are dealt into chunks of bounded size by a hash of their id. A chunk
+Documents are dealt into chunks of bounded size by a hash of their id, or of their
+text where they have none. A chunk
 merges its own repeats, sends each distinct fingerprint once, packed with the
 others of its bucket, and gets back what the bucket's task found out about them.
 A passage that a third of all documents share is thus one entry a chunk, however
@@ -23,11 +24,15 @@ PARTITION_BYTES = 64 << 20
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) partitioned by chunk, and the number of chunks: sized from the bytes of all texts."""
+    """(chunk, doc_id, text) partitioned by chunk, and the number of chunks: sized from the bytes of all texts.
+
+    Rows without an id are dealt by their texts, so that they fill all chunks; only equal ones meet.
+    """
     total, parts = text_bytes(docs), partitions(docs.sparkSession)
     chunks = max(2 * parts, -(-total // chunk_bytes))
     slim = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    dealt = slim.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    place = F.when(F.col("doc_id") == NO_ID, F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    dealt = slim.withColumn("chunk", F.pmod(place, F.lit(chunks)).cast("int"))
     return dealt.repartition(max(parts, -(-total // PARTITION_BYTES)), "chunk"), chunks
 
 

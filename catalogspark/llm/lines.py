@@ -33,16 +33,16 @@ from pyspark.sql import functions as F
 
 from catalogspark.llm import blocks as B
 from catalogspark.llm import exchange as X
-from catalogspark.llm.common import NO_ID, keyed_rows, release, small_side, stored
+from catalogspark.llm.common import NO_ID, keyed_rows, release, small_side, stored, text_bytes
 from catalogspark.llm.linking import linked
 
 SHINGLE = 8
 PERCENT = 80
 ROWS = 3
 BANDS = 14
-#: Distinct lines to a chunk of the band exchange.
-CHUNK_LINES = 8_192
-#: Lines that a task remembers so as not to sign them twice.
+#: Bytes of text whose lines make a chunk of the band exchange.
+CHUNK_BYTES = 2_800_000
+#: Lines that a task remembers so as not to sign them twice, and rows that it merges before it sends them.
 SEEN = 200_000
 #: Characters hashed at a time: the hash functions run over arrays that stay in cache.
 SIGN_CHARS = 1 << 15
@@ -142,14 +142,67 @@ def _some(lines: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(lines)
 
 
+class Merger:
+    """Rows (key, twin, id, line, again, bands) of a task, one a key, as long as they are held.
+
+    A full table is sent, but for the quarter of it with the keys that came most
+    often: a line that stands everywhere is so one row a task, and not one a block.
+    """
+
+    def __init__(self, bands: int, rows: int = SEEN):
+        self.rows, self.width = rows, bands
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.signed: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, keys: np.ndarray, twins: np.ndarray, ids: np.ndarray, line: np.ndarray, again: np.ndarray, fresh: np.ndarray, bands: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Take a block's rows in; bands belong to the fresh ones, in order."""
+        before = sum(map(len, self.signed))
+        at = np.where(fresh, before + np.cumsum(fresh) - 1, -1)
+        self.parts.append((keys, twins, ids, line, again, at, np.ones(len(keys), np.int64)))
+        self.signed.append(bands)
+        self.held += len(keys)
+        if self.held >= self.rows:
+            yield self.send(self.rows // 4)
+
+    def send(self, hold: int = 0) -> pa.RecordBatch:
+        """One row a key, but for `hold` keys that came in several blocks, the most frequent ones."""
+        kinds = (np.uint64, np.uint64, np.int64, np.int64, bool, np.int64, np.int64)
+        keys, twins, ids, line, again, at, times = (np.concatenate([np.zeros(0, k), *(p[i] for p in self.parts)]) for i, k in enumerate(kinds))
+        signed = np.concatenate([np.zeros((0, self.width), np.uint8), *self.signed])
+        order = np.lexsort((line, ids, keys))
+        begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(order) else order
+        one = order[begin]
+        if len(one):
+            again, at, times = np.logical_or.reduceat(again[order], begin), np.maximum.reduceat(at[order], begin), np.add.reduceat(times[order], begin)
+            again |= times > 1
+        keys, twins, ids, line = keys[one], twins[one], ids[one], line[one]
+        most = np.argsort(-times, kind="stable")[:hold]
+        most = most[times[most] > 1]
+        stay = np.zeros(len(keys), bool)
+        stay[most] = True
+        own = stay & (at >= 0)
+        kept_at = np.where(own, np.cumsum(own) - 1, -1)
+        # What is held begins to count anew, so that a key that comes no more goes next time.
+        self.parts = [(keys[stay], twins[stay], ids[stay], line[stay], again[stay], kept_at[stay], np.ones(int(stay.sum()), np.int64))]
+        self.signed = [signed[at[own]]]
+        self.held = int(stay.sum())
+        go = ~stay
+        bands = [signed[i].tobytes() if i >= 0 else None for i in at[go].tolist()]
+        values = (keys[go].view(np.int64), twins[go].view(np.int64), ids[go], line[go], again[go])
+        return pa.RecordBatch.from_arrays([*map(pa.array, values), pa.array(bands, pa.binary())], names=["key", "twin", "doc_id", "line", "again", "bands"])
+
+
 def signed_lines(docs: DataFrame, width: int) -> DataFrame:
-    """(key, twin, doc_id, line, again, bands): each distinct line of a block, with its first place there and whether it has others.
+    """(key, twin, doc_id, line, again, bands): each distinct line of a task, with its first place there and whether it has others.
 
-    twin is a second fingerprint; bands are given about once a task.
+    Beyond SEEN distinct lines, only the frequent ones are merged over the whole
+    task. twin is a second fingerprint; bands are given about once a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        merger = Merger(BANDS * width)
         for part in B.slices(batches, "text"):
             buf, off = B.utf8(part.column("text"))
             begins, ends, doc, number, wordy = line_bounds(buf, off)
@@ -165,14 +218,12 @@ def signed_lines(docs: DataFrame, width: int) -> DataFrame:
                 seen.clear()
             seen.update(keys[fresh].tolist())
             data = buf.tobytes()
-            bands = np.full(len(keys), None, object)
             new = np.flatnonzero(fresh)
             lines = [data[a:b] for a, b in zip(begins[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
-            for a, b in _some(lines):
-                signed = X.to_bytes(X.narrow(signatures(lines[a:b]), width).ravel(), width).reshape(b - a, -1)
-                bands[new[a:b]] = [x.tobytes() for x in signed]
+            bands = [X.to_bytes(X.narrow(signatures(lines[a:b]), width).ravel(), width).reshape(b - a, -1) for a, b in _some(lines)]
             twins = B.span_hashes(buf, begins[at], ends[at], seed=1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(twins.view(np.int64)), pa.array(ids[doc[at]]), pa.array(number[at]), pa.array(again), pa.array(bands, pa.binary())], names=["key", "twin", "doc_id", "line", "again", "bands"])
+            yield from merger.add(keys, twins, ids[doc[at]], number[at], again, fresh, np.concatenate([np.zeros((0, BANDS * width), np.uint8), *bands]))
+        yield merger.send()
 
     return _slim(docs).mapInArrow(run, "key long, twin long, doc_id long, line long, again boolean, bands binary")
 
@@ -297,8 +348,8 @@ def line_homes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     A line that stands in one place and is listed with no other has no row.
     """
-    # About ten lines a document; a wrong guess only changes the chunks' size.
-    chunks = max(1, -(-10 * docs.count() // CHUNK_LINES))
+    # Sized from bytes, so that a chunk's distinct lines are bounded whatever the documents' lengths.
+    chunks = max(1, -(-text_bytes(docs) // CHUNK_BYTES))
     width = X.key_bytes(chunks)
     signed = signed_lines(docs, width).withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
     listed = stored(listed_lines(signed, chunks, width))

@@ -6,10 +6,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from catalogspark.llm import embeddings, licenses, lines, minhash, mixing, packing, quality, shard, substring, suffix
+from catalogspark.llm import embeddings, exchange, licenses, lines, minhash, mixing, packing, quality, shard, substring, suffix
 from tests.llm import brute
 
 
@@ -487,3 +488,54 @@ def test_packing_reads_special_tokens_as_the_file_does(spark, tokenizer, as_text
         assert sorted(found[i]) == [(a, n, zlib.crc32(raw[4 * a : 4 * (a + n)]), len(ids)) for a, n, *_ in sorted(found[i])]
         assert sum(n for _, n, *_ in found[i]) == len(ids)
     assert (50256 in t.encode(SPECIAL[0], add_special_tokens=False).ids) != as_text
+
+
+def test_merger_against_plain_grouping():
+    """Whatever the table's size, the rows of a key give its first place, whether it has others, and its bands."""
+    rng = np.random.default_rng(5)
+    for rows in (1, 7, 40, 10_000):
+        merger, sent, want, seen = lines.Merger(2, rows), [], {}, set()
+        for block in range(60):
+            keys = np.unique(np.append(rng.integers(0, 200, 9), 7)).astype(np.uint64)
+            ids, number, again = rng.integers(0, 50, len(keys)), rng.integers(0, 9, len(keys)), rng.random(len(keys)) < 0.1
+            fresh = np.array([k not in seen for k in keys.tolist()])
+            seen.update(keys.tolist())
+            bands = np.stack([keys[fresh], keys[fresh]], axis=1).astype(np.uint8)
+            sent += merger.add(keys, keys + np.uint64(1), ids, number, again, fresh, bands)
+            for k, i, n, a in zip(keys.tolist(), ids.tolist(), number.tolist(), again.tolist(), strict=True):
+                want.setdefault(k, []).append((i, n, a))
+        sent.append(merger.send())
+        found = pa.Table.from_batches(sent).to_pylist()
+        for k, places in want.items():
+            own = [r for r in found if r["key"] == k]
+            assert {r["twin"] for r in own} == {k + 1}
+            assert min((r["doc_id"], r["line"]) for r in own) == min((i, n) for i, n, _ in places)
+            assert (len(own) > 1 or own[0]["again"]) == (len(places) > 1 or places[0][2])
+            assert [r["bands"] for r in own if r["bands"]] == [bytes([k, k])]
+        if rows >= 40:
+            assert sum(r["key"] == 7 for r in found) == 1  # stands in every block
+        assert merger.held == 0
+
+
+def test_a_line_of_all_documents_is_a_row_a_task(spark):
+    """One line stands in every block of every task; its group is as long as there are tasks, not blocks."""
+    docs = spark.range(0, 400, 1, 4).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit("one line for all\n"), F.repeat(F.concat(F.lit("x"), F.col("id").cast("string"), F.lit(" ")), 4000)).alias("text"))
+    signed = lines.signed_lines(docs, 5).groupBy("key").count().agg(F.max("count").alias("most"), F.count("*").alias("n")).first()
+    assert (signed.most, signed.n) == (4, 401)
+
+
+def test_rows_without_ids_fill_all_chunks(spark):
+    """Half the rows have no id: no chunk gets many of them, and they lose only what rows with ids have."""
+    docs = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 500).cast("string")).alias("text"))
+    rows, chunks = exchange.chunked(docs, chunk_bytes=300)
+    most = rows.groupBy("chunk").count().agg(F.max("count")).first()[0]
+    assert chunks > 40 and most < 150
+    shared = " ".join(f"w{i}" for i in range(60))
+    data = [(None, f"{shared} n{i}") for i in range(40)] + [(3, shared), (4, "another"), (None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    out = substring.dedup_substrings(df).where("doc_id is null and n_words > 0").select("n_words", "n_removed").distinct().collect()
+    assert [tuple(r) for r in out] == [(61, 60)]
+    cut = suffix.dedup_bytes(df).where("doc_id is null and n_bytes > 0").agg(F.min(F.col("n_bytes") - F.col("n_removed")), F.max(F.col("n_bytes") - F.col("n_removed"))).first()
+    assert tuple(cut) == (3, 4)
+    alone = substring.dedup_substrings(df.where("doc_id is null"))
+    assert alone.agg(F.sum("n_removed")).first()[0] == 0 and alone.count() == 41
