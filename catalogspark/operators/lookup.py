@@ -164,9 +164,21 @@ def apply_aliases(candidates: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def product_match(wanted: DataFrame, discs: DataFrame) -> DataFrame:
-    """(seq, url): the first product page, by attempt and then page order, with an equal slug key and years at most one apart."""
-    w = wanted.withColumn("k", X.title_key(F.col("title")))
-    d = discs.withColumn("k", X.title_key(F.replace(F.regexp_replace("url", r"^.*/([^/]+)/\d+/?$", "$1"), F.lit("-"), F.lit(" "))))
-    near = F.col("wyear").isNull() | F.col("dyear").isNull() | (F.abs(F.col("wyear") - F.col("dyear")) <= 1)
-    met = w.where("k != ''").join(d, "k").where(near)
-    return met.groupBy("seq").agg(F.min_by("url", F.struct("attempt_no", "pos")).alias("url"))
+    """(seq, url): the first product page, by attempt and then page order, with an equal slug key and years at most one apart.
+
+    Of a key's pages only the first that each wanted year may take matters: a
+    page stands under its own year and the ones beside it, under every year if it
+    has none, and under no year for wanted rows without one. So a wanted row meets
+    two pages of a key, however many there are.
+    """
+    w = wanted.withColumn("k", X.title_key(F.col("title"))).where("k != ''")
+    d = discs.withColumn("k", X.title_key(F.replace(F.regexp_replace("url", r"^.*/([^/]+)/\d+/?$", "$1"), F.lit("-"), F.lit(" ")))).where("k != ''")
+    first = F.min_by(F.struct("pos", "url"), F.struct("pos", "url")).alias("p")
+    y = F.col("dyear")
+    by_year = d.where("dyear is not null").groupBy("k", "dyear").agg(first)
+    dated = by_year.withColumn("wyear", F.explode(F.array(y - 1, y, y + 1))).groupBy("k", "wyear").agg(F.min("p").alias("dated"))
+    always = d.where("dyear is null").groupBy("k").agg(first.alias("always"))
+    every = d.groupBy("k").agg(first.alias("every"))
+    met = w.join(every, "k").join(always, "k", "left").join(dated, ["k", "wyear"], "left")
+    page = F.when(F.col("wyear").isNull(), F.col("every")).otherwise(F.least("dated", "always"))
+    return met.withColumn("p", page).where("p is not null").groupBy("seq").agg(F.min_by("p.url", F.struct("attempt_no", "p.pos")).alias("url"))
