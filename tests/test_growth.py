@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogspark.operators import lookup
+from catalogspark.operators import lookup, match
 
 
 def joined_rows(df):
@@ -39,3 +39,35 @@ def test_product_match_years_may_be_missing(spark):
     discs = spark.createDataFrame([(0, "http://d/a-b/1", 2005), (1, "http://d/a-b/2", 2000), (2, "http://d/a-b/3", None), (3, "http://d/c/4", 1991)], "pos long, url string, dyear int")
     got = {r.seq: r.url[-3:] for r in lookup.product_match(wanted, discs).collect()}
     assert got == {1: "b/1", 2: "b/2", 3: "b/3", 4: "c/4", 5: "b/3"}
+
+
+def release_rows(spark, first, n, **columns):
+    """n rows (seq from `first`) of a film, all alike but for their numbers."""
+    base = {"movie_title": "Red Rain", "release_date": "2001", "studio": "s", "tmdb_id": "7", "media_type": "movie", "imdb_id": "", "bluray_url": "", "evidence_type": "table-row", "quote": "q"}
+    return spark.range(first, first + n).select(F.col("id").alias("seq"), *[F.lit(v).alias(k) for k, v in {**base, **columns}.items()])
+
+
+def stored_sizes(monkeypatch, module):
+    """The row counts of all tables that a module stores from now on."""
+    sizes = []
+    for name in ("stored", "settle"):
+        if hasattr(module, name):
+            plain = getattr(module, name)
+
+            def counted(df, plain=plain):
+                out = plain(df)
+                sizes.append(out.count())
+                return out
+
+            monkeypatch.setattr(module, name, counted)
+    return sizes
+
+
+def test_match_decision_pairs_classes_not_rows(spark, monkeypatch):
+    n = 150
+    sizes = stored_sizes(monkeypatch, match)
+    cands = release_rows(spark, 0, n).unionByName(release_rows(spark, 1000, n, release_date="Unknown", tmdb_id="")).unionByName(release_rows(spark, 2000, n, movie_title="Other", tmdb_id="8"))
+    rows = release_rows(spark, 5000, n).unionByName(release_rows(spark, 6000, 1, movie_title="Other", tmdb_id="9"))
+    got = match.match_decision(cands, rows).groupBy("action", "reason").agg(F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("implicated", "; "))).alias("titles")).collect()
+    assert {(r.action, r.reason): (r.n, r.titles) for r in got} == {("review", "ambiguous-edition"): (n, n), ("review", "ambiguous-yearless-title"): (n, n), ("review", "identity-conflict"): (n, 1)}
+    assert max(sizes) <= 3 * n
