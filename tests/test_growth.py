@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogspark.operators import lookup, match
+from catalogspark.operators import lookup, match, reconcile
 
 
 def joined_rows(df):
@@ -71,3 +71,43 @@ def test_match_decision_pairs_classes_not_rows(spark, monkeypatch):
     got = match.match_decision(cands, rows).groupBy("action", "reason").agg(F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("implicated", "; "))).alias("titles")).collect()
     assert {(r.action, r.reason): (r.n, r.titles) for r in got} == {("review", "ambiguous-edition"): (n, n), ("review", "ambiguous-yearless-title"): (n, n), ("review", "identity-conflict"): (n, 1)}
     assert max(sizes) <= 3 * n
+
+
+def test_reconcile_stores_a_review_text_once(spark, monkeypatch):
+    n, texts = 40, []
+    for module in (match, reconcile):
+        for name in ("stored", "settle"):
+            if hasattr(module, name):
+                plain = getattr(module, name)
+                monkeypatch.setattr(module, name, lambda df, plain=plain: (texts.append(df.where("implicated != ''").count()) if "implicated" in df.columns else None, plain(df))[1])
+    old = release_rows(spark, 0, n, tmdb_id="")
+    _, decisions = reconcile.reconcile(old, release_rows(spark, 1000, n, release_date="Unknown", tmdb_id=""))
+    got = decisions.select("reason", F.size(F.split("implicated", "; ")).alias("titles")).collect()
+    assert [(r.reason, r.titles) for r in got] == [("ambiguous-yearless-title", n)] * n
+    assert texts and max(texts) == 1
+
+
+def test_signal_matches_hold_no_pairs(spark):
+    n = 60
+    rows = lambda first: release_rows(spark, first, n, imdb_id="tt1")
+    df = match.signal_matches(rows(0), rows(1000))
+    assert df.groupBy("mask").count().collect() == [(6, n * n)]
+    assert "Aggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_yearless_pairs_of_one_title_are_dealt_out(spark):
+    n = 128
+    df = match.yearless_matches(release_rows(spark, 0, n, release_date="Unknown"), release_rows(spark, 1000, n))
+    assert df.count() == n * n and df.agg(F.min("n"), F.max("n")).first() == (n, n)
+    assert "share" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lookup_joins_kinds_of_works_not_works(spark, monkeypatch):
+    n = 300
+    sizes = stored_sizes(monkeypatch, lookup)
+    works = spark.range(n).selectExpr("id AS tmdb_id", "'red rain' AS title", "'red rain of may' AS original_title", "'2001-01-01' AS release_date", "CAST(id % 50 AS INT) AS vote_count", "CAST(id % 7 AS DOUBLE) AS popularity", "'/p.jpg' AS poster_path")
+    asked = spark.createDataFrame([(1, "Red Rain", "2001"), (2, "Red May", "2001"), (3, "Red Rain", "1990")], "seq long, title string, year string")
+    got = {r.seq: (r.tmdb_id, r.score) for r in lookup.scored_lookup(asked, works).collect()}
+    # Points of votes first where the base earns them (44 to 49 votes give as many), then popularity, then the first id.
+    assert got == {1: (48, 185), 2: (6, 80), 3: (48, 95)}
+    assert sizes and max(sizes) <= 3
