@@ -6,7 +6,8 @@ A pair needs 65 points, so few ways lead there, and each is a join of its own:
 - otherwise 0.92 of it. Up to LARGE tokens that means equal token sets: joined on
   the set; larger titles on their rarest tokens, as many as may be missing and one.
 
-A candidate's pairs are reduced by one ordered aggregate, not sorted.
+Works that score alike are reduced to one row first, and a candidate's pairs by one
+ordered aggregate, not sorted.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
+from catalogspark.session import checkpoint as settle
 
 # Fixed values of the score.
 YEAR_EQUAL, YEAR_OFF, YEAR_MISSING = 45, -45, -55
@@ -60,49 +62,90 @@ def _rarest(sets: DataFrame, often: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.select(*keys, F.explode(F.slice("o", 1, F.size("o") - F.ceil(FAR_SHARE * F.size("o")).cast("int") + 1)).alias("x")).select(*keys, "x.t")
 
 
-def _hits(asked: DataFrame, w: DataFrame) -> DataFrame:
-    """(qk, qyear, tmdb_id) of all pairs that may reach the bar."""
-    both = w.select("tmdb_id", "wyear", F.col("wt").alias("ts")).union(w.select("tmdb_id", "wyear", "ot")).where(F.size("ts") > 0)
-    q = asked.select("qk", "qyear", F.col("qt").alias("ts")).where(F.size("ts") > 0)
+def _large(q: DataFrame, both: DataFrame) -> DataFrame:
+    """(qk, qyear, wid) of pairs that share one of the rarest tokens of both."""
+    often = both.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    return _rarest(q, often, ["qk", "qyear"]).join(_rarest(both.drop("wyear"), often, ["wid", "ts"]).drop("ts"), "t").select("qk", "qyear", "wid")
+
+
+def _sides(w: DataFrame) -> DataFrame:
+    return w.select("wid", "wyear", F.col("wt").alias("ts")).union(w.select("wid", "wyear", "ot")).where(F.size("ts") > 0)
+
+
+def _same(q: DataFrame, both: DataFrame) -> DataFrame:
+    """(qk, qyear, wid) of pairs with equal token sets."""
     name = F.array_join(F.array_sort("ts"), " ")
-    same = q.withColumn("s", name).join(both.select("tmdb_id", name.alias("s")), "s").select("qk", "qyear", "tmdb_id")
+    return q.withColumn("s", name).join(both.select("wid", name.alias("s")), "s").select("qk", "qyear", "wid").distinct()
+
+
+def _near(q: DataFrame, both: DataFrame) -> DataFrame:
+    """(qk, qyear, wid) of all other pairs that may reach the bar."""
     dated = q.where("qyear != ''").select("qk", "qyear", "ts", F.explode("ts").alias("t"))
-    works = both.where("wyear != ''").select("tmdb_id", F.col("wyear").alias("qyear"), F.col("ts").alias("us"), F.explode("ts").alias("t"))
+    works = both.where("wyear != ''").select("wid", F.col("wyear").alias("qyear"), F.col("ts").alias("us"), F.explode("ts").alias("t"))
     enough = F.size(F.array_intersect("ts", "us")) >= NEAR_SHARE * F.greatest(F.size("ts"), F.size("us"))
-    near = dated.join(works, ["qyear", "t"]).where(enough).select("qk", "qyear", "tmdb_id")
-    often = both.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    large = _rarest(q, often, ["qk", "qyear"]).join(_rarest(both.drop("wyear"), often, ["tmdb_id", "ts"]).drop("ts"), "t").select("qk", "qyear", "tmdb_id")
-    return same.union(near).union(large).distinct()
+    near = dated.join(works, ["qyear", "t"]).where(enough).select("qk", "qyear", "wid")
+    return near.union(_large(q, both)).distinct()
 
 
-def scored_pairs(candidates: DataFrame, works: DataFrame, use_year: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(qk, qyear, tmdb_id, score, popularity) of all pairs that may reach the bar, and the candidates (seq, qk, qyear)."""
-    c, asked = _asked(candidates, use_year)
-    w = _keyed_works(engaged(works))
-    hits = _hits(asked, w)
-    p = hits.join(asked, ["qk", "qyear"]).join(w, "tmdb_id")
+def _bonus() -> Column:
+    return F.when(F.col("vote_count") > 0, F.least(F.lit(MOST_ENGAGED), F.bround(12 * F.log10(F.col("vote_count") + 1.0)).cast("int"))).otherwise(0)
+
+
+def _kinds(works: DataFrame) -> DataFrame:
+    """One row for all works that score alike: equal keys and year, and whether anyone voted.
+
+    Among them a pair's base, year and exact points are one; only the bonus differs,
+    and it counts either for all of them or for none. `plain` is the best work where it
+    counts for none, `liked` where it counts; `bonus` is that of the liked one.
+    """
+    w = _keyed_works(engaged(works)).withColumns({"voted": F.coalesce(F.col("vote_count") > 0, F.lit(False)), "bonus": _bonus(), "popularity": F.coalesce(F.col("popularity"), F.lit(0.0)).cast("double")})
+    one = F.struct("popularity", (-F.col("tmdb_id")).alias("first"))
+    grouped = w.groupBy("wk", "ok", "wyear", "voted").agg(F.max(one).alias("plain"), F.max(F.struct("bonus", *[one[c].alias(c) for c in ("popularity", "first")])).alias("liked"), F.first("wt").alias("wt"), F.first("ot").alias("ot"))
+    return grouped.withColumn("wid", F.struct("wk", "ok", "wyear", "voted"))
+
+
+def _scored(hits: DataFrame, asked: DataFrame, w: DataFrame) -> DataFrame:
+    """(qk, qyear, b): the best work of each title and year among the hits, as (score, popularity, first)."""
+    p = hits.join(asked, ["qk", "qyear"]).join(w, "wid")
     base = F.greatest(title_score("qt", "wt", "qk", "wk"), title_score("qt", "ot", "qk", "ok"))
     gap = F.abs(F.col("wyear").try_cast("int") - F.col("qyear").try_cast("int"))
     year = (
         F.when(F.col("qyear") == "", 0)
         .when(F.col("wyear") == "", YEAR_MISSING)
-        .when(F.col("wyear") == F.col("qyear"), F.when(F.col("vote_count") > 0, YEAR_EQUAL).otherwise(0))
+        .when(F.col("wyear") == F.col("qyear"), F.when(F.col("voted"), YEAR_EQUAL).otherwise(0))
         .when(gap > 1, YEAR_OFF)
         .otherwise(0)
     )
-    bonus = F.when(F.col("vote_count") > 0, F.least(F.lit(MOST_ENGAGED), F.bround(12 * F.log10(F.col("vote_count") + 1.0)).cast("int"))).otherwise(0)
     exact = F.when(F.col("wk") == F.col("qk"), EXACT).otherwise(0) + F.when(F.col("ok") == F.col("qk"), EXACT).otherwise(0)
     p = p.withColumn("base", base)
-    score = F.col("base") + year + exact + F.when(F.col("base") >= ENGAGED_FROM, bonus).otherwise(0)
-    scored = p.select("qk", "qyear", "tmdb_id", score.cast("int").alias("score"), F.coalesce(F.col("popularity"), F.lit(0.0)).alias("popularity"))
-    return scored, c
+    liked = F.col("base") >= ENGAGED_FROM
+    score = (F.col("base") + year + exact + F.when(liked, F.col("liked.bonus")).otherwise(0)).cast("int")
+    best = lambda k: F.struct(score.alias("score"), F.col(f"{k}.popularity").alias("popularity"), F.col(f"{k}.first").alias("first"))
+    return p.groupBy("qk", "qyear").agg(F.max(F.when(liked, best("liked")).otherwise(best("plain"))).alias("b"))
 
 
 def scored_lookup(candidates: DataFrame, works: DataFrame, use_year: bool = True) -> DataFrame:
-    """(seq, tmdb_id, score): the best work of each candidate that reaches the bar; the first work wins ties."""
-    scored, c = scored_pairs(candidates, works, use_year)
-    best = scored.groupBy("qk", "qyear").agg(F.max_by(F.struct("tmdb_id", "score"), F.struct("score", "popularity", (-F.col("tmdb_id")).alias("first"))).alias("b")).where(F.col("b.score") >= ACCEPT)
-    return c.join(best, ["qk", "qyear"]).select("seq", "b.tmdb_id", "b.score")
+    """(seq, tmdb_id, score): the best work of each candidate that reaches the bar; the first work wins ties.
+
+    Works that score alike are one row. Titles that an equal token set gives more
+    points than any other pair can have are settled by it; only the others meet the
+    works that share some of their tokens.
+    """
+    c, asked = _asked(candidates, use_year)
+    asked = asked.where(F.size("qt") > 0)
+    w = settle(_kinds(works))
+    both = _sides(w)
+    q = settle(asked.select("qk", "qyear", F.col("qt").alias("ts"), "qt"))
+    same = settle(_scored(_same(q, both), q.select("qk", "qyear", "qt"), w))
+    # Without an equal set at least one token of n + 1 is missing.
+    n = F.size("ts")
+    base = F.bround(F.lit(70) * n / (n + 1)) + 1
+    most = base + YEAR_EQUAL + F.when(base >= ENGAGED_FROM, MOST_ENGAGED).otherwise(0)
+    settled = q.join(same, ["qk", "qyear"]).where(F.col("b.score") > most).select("qk", "qyear")
+    rest = settle(q.join(settled, ["qk", "qyear"], "left_anti"))
+    near = _scored(_near(rest.drop("qt"), both), rest.select("qk", "qyear", "qt"), w)
+    best = same.unionByName(near).groupBy("qk", "qyear").agg(F.max("b").alias("b")).where(F.col("b.score") >= ACCEPT)
+    return c.join(best, ["qk", "qyear"]).select("seq", (-F.col("b.first")).alias("tmdb_id"), "b.score")
 
 
 def lookup_with_fallback(candidates: DataFrame, works: DataFrame) -> DataFrame:
