@@ -187,7 +187,9 @@ def series_lookup(candidates: DataFrame, series: DataFrame) -> DataFrame:
     """
     name = X.series_title(F.col("title"))
     first = F.coalesce(X.season_number(F.col("title")) == 1, F.lit(False))
-    asked = candidates.withColumn("_name", name).where("_name != ''").select("seq", F.col("_name").alias("title"), F.when(first, F.col("year")).otherwise("").alias("year"))
+    # Labels are read once: the lookup reads its candidates several times.
+    named = settle(candidates.select("seq", name.alias("title"), F.when(first, F.col("year")).otherwise("").alias("year")))
+    asked = named.where("title != ''")
     return scored_lookup(asked, series).withColumn("media_type", F.lit("tv"))
 
 
