@@ -368,7 +368,8 @@ def ground(candidates: DataFrame, pages: DataFrame, rules: R.EvidenceRules = R.D
     one takes the year directly behind its title, and is turned away if the
     evidence has another year only. Every clause beside the title must be about
     it. pages holds (url, text). The record units of a page stay one array of that
-    page. Null titles, years and evidence count as empty.
+    page. Null titles, years and evidence count as empty. The reason is computed once
+    a row, whatever filters follow.
     """
     p = pages.select(F.col("url").alias("source_url"), "text")
     units = markup.source_records(p.select(F.col("source_url").alias("doc_id"), "text")).groupBy(F.col("doc_id").alias("source_url")).agg(F.collect_list("record").alias("records"))
@@ -393,7 +394,7 @@ def ground(candidates: DataFrame, pages: DataFrame, rules: R.EvidenceRules = R.D
         .when(F.when(dated, ~F.array_contains(years, F.col("year"))).otherwise((F.col("_b.year") == "") & (F.size(years) > 0)), "year-not-in-evidence")
     )
     year = F.when(dated, F.col("year")).otherwise(F.coalesce(F.nullif(F.col("_b.year"), F.lit("")), F.lit(X.UNKNOWN)))
-    c = c.withColumn("reason", reason).withColumn("year", F.when(F.col("reason").isNull(), year).otherwise(F.col("year")))
+    c = X.held(c, "reason", reason).withColumn("year", F.when(F.col("reason").isNull(), year).otherwise(F.col("year")))
     return c.select(*candidates.columns, "reason")
 
 

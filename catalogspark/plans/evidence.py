@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogspark.operators import evidence as E
 from catalogspark.plans.adapters import read
 from catalogspark.plans.registry import query
+from catalogspark.session import spread
 
 # Twelve claims about a title; T stands for it.
 CLAIMS = {
@@ -40,7 +41,7 @@ _ROWS = f"SELECT p_partkey AS seq, {TITLE} AS title, {_claim_sql('(' + TITLE + '
 
 
 def _claims(spark, sf_dir):
-    return spark.sql(_ROWS.replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    return spark.sql(_ROWS.replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
 
 
 @query("SELECT p_partkey AS seq, p_partkey % 12 IN (0, 1, 7, 11) AS direct FROM part")
@@ -59,13 +60,13 @@ _CLAUSES = "SELECT p_partkey AS seq, p_name, CASE p_partkey % 4 WHEN 0 THEN 'P7
 
 @query("SELECT p_partkey AS seq, CASE p_partkey % 4 WHEN 0 THEN 'P7 FEL# with TrueHD# ' || p_name WHEN 1 THEN 'has dolby # vision' WHEN 2 THEN p_name || ' # more' ELSE 'P7 FEL' END AS clauses FROM part")
 def subject_clauses(spark, sf_dir):
-    rows = spark.sql(_CLAUSES.replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    rows = spark.sql(_CLAUSES.replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
     return rows.select("seq", F.array_join(E.subject_clauses(F.col("c")), "#").alias("clauses"))
 
 
 @query("SELECT p_partkey AS seq, p_partkey % 4 = 3 AS correlated FROM part")
 def correlated_evidence(spark, sf_dir):
-    rows = spark.sql(_CLAUSES.replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    rows = spark.sql(_CLAUSES.replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
     return rows.select("seq", E.correlated(F.col("c")).alias("correlated"))
 
 
@@ -77,7 +78,7 @@ def sentence_evidence(spark, sf_dir):
 
 @query("SELECT p_partkey AS page_id, p_name AS title, CAST(1970 + p_size AS STRING) AS year, CAST(p_size + 0.25 AS DOUBLE) AS bitrate FROM part WHERE p_partkey % 3 = 0")
 def list_item_evidence(spark, sf_dir):
-    items = read(spark, sf_dir, "part").selectExpr("p_partkey AS page_id", "CASE p_partkey % 3 WHEN 0 THEN p_name || ' (' || (1970 + p_size) || ') disc 2, FEL - ' || p_size || '.25 Mb/s' WHEN 1 THEN p_name || ' FEL - 3 Mb/s' ELSE 'Zidoo Z9X (2020) FEL - 3 Mb/s' END AS text")
+    items = spread(read(spark, sf_dir, "part")).selectExpr("p_partkey AS page_id", "CASE p_partkey % 3 WHEN 0 THEN p_name || ' (' || (1970 + p_size) || ') disc 2, FEL - ' || p_size || '.25 Mb/s' WHEN 1 THEN p_name || ' FEL - 3 Mb/s' ELSE 'Zidoo Z9X (2020) FEL - 3 Mb/s' END AS text")
     return E.list_item_evidence(items).select("page_id", "title", "year", "bitrate")
 
 
@@ -87,7 +88,7 @@ SELECT p_partkey AS page_id, p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN C
 FROM part WHERE p_partkey % 5 IN (0, 1)"""
 )
 def table_evidence(spark, sf_dir):
-    rows = read(spark, sf_dir, "part").selectExpr(
+    rows = spread(read(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS page_id",
         "array('1', p_name || CASE WHEN p_partkey % 2 = 0 THEN ' (' || (1970 + p_size) || ')' ELSE '' END, CASE p_partkey % 5 WHEN 0 THEN 'Profile 7 FEL' WHEN 1 THEN 'P7 FEL' WHEN 2 THEN 'P7 MEL' WHEN 3 THEN 'P7 FEL: no' ELSE 'Other Film is P7 FEL' END, p_brand) AS cells",
         "array('Rank', 'Title', 'Layer', 'Studio') AS headers",
@@ -97,7 +98,7 @@ def table_evidence(spark, sf_dir):
 
 @query("SELECT p_partkey AS seq, p_partkey % 4 <> 1 AND p_partkey % 4 <> 2 AS title_like, p_partkey % 4 = 1 AS device FROM part")
 def title_filter(spark, sf_dir):
-    rows = read(spark, sf_dir, "part").selectExpr("p_partkey AS seq", "CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'the ' || p_name || ' player' WHEN 2 THEN repeat(p_name, 20) ELSE p_brand END AS t")
+    rows = spread(read(spark, sf_dir, "part")).selectExpr("p_partkey AS seq", "CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN 'the ' || p_name || ' player' WHEN 2 THEN repeat(p_name, 20) ELSE p_brand END AS t")
     return rows.select("seq", E.looks_like_title(F.col("t")).alias("title_like"), E.is_device(F.col("t")).alias("device"))
 
 
@@ -106,7 +107,7 @@ SELECT p_partkey AS seq, CASE p_partkey % 8 WHEN 0 THEN NULL WHEN 1 THEN 'eviden
 
 
 def _grounded(spark, sf_dir):
-    rows = read(spark, sf_dir, "part").selectExpr(
+    rows = spread(read(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS seq",
         "CASE p_partkey % 8 WHEN 5 THEN 'quite another' WHEN 6 THEN 'Zidoo player' ELSE p_name END AS title",
         "CASE p_partkey % 8 WHEN 4 THEN '1901' WHEN 0 THEN cast(1970 + p_size as string) ELSE 'Unknown' END AS year",
@@ -136,7 +137,7 @@ SELECT p_partkey AS page_id, p_name AS t, CAST(1970 + p_size AS STRING) AS y, p_
 @query(f"SELECT page_id, t AS title, CASE WHEN form = 0 THEN 'Unknown' ELSE y END AS year FROM ({_GRID}) WHERE lead <> 2 AND tail < 4")
 def sentence_grid(spark, sf_dir):
     """All combinations of lead, form, marker order and tail; a report of what some list says names no title, and a denial or a rival ends it."""
-    rows = spark.sql(_GRID.replace("//", "DIV").replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    rows = spark.sql(_GRID.replace("//", "DIV").replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
     lead = F.when(F.col("lead") == 1, "The disc for ").when(F.col("lead") == 2, "According to the list, ").otherwise("")
     year = F.concat(F.lit(" ("), "y", F.lit(")"))
     form = F.when(F.col("form") == 0, F.lit(" is ")).when(F.col("form") == 1, F.concat(year, F.lit(" is "))).otherwise(F.concat(year, F.lit(": ")))
@@ -165,7 +166,7 @@ SELECT seq, reason, CASE WHEN reason IS NULL AND asked = 1 AND form > 0 THEN y W
 )
 def ground_years(spark, sf_dir):
     """All combinations of year form, tail, asked year and broken page; the SQL decides from the parts, not from the text."""
-    rows = spark.sql(_BOUND.replace("//", "DIV").replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    rows = spark.sql(_BOUND.replace("//", "DIV").replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
     form = F.when(F.col("form") == 1, F.concat(F.lit(" ("), "y", F.lit(")"))).when(F.col("form") == 2, F.concat(F.lit(" "), "y")).otherwise("")
     tail = F.get(F.array(F.lit(""), F.lit("; Ronin"), F.concat(F.lit("; "), F.upper("t"), F.lit(" has TrueHD")), F.concat(F.lit(" ("), "z", F.lit(")")), F.lit(" and Heat is great")), F.col("tail").cast("int"))
     name = F.concat("t", form)
