@@ -231,10 +231,11 @@ def sentence_title(c: Column) -> Column:
 
 def sentence_evidence(records: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataFrame:
     """Candidates from (.., text): sentences `Title is .. marker .. marker` or `Title (YYYY): marker .. marker`. The cheap marker test comes first."""
-    s = markup.sentences(records).where(marked(F.col("sentence"))).withColumn("_v", sentence_title(F.col("sentence")))
-    s = s.withColumn("_t", F.when(F.col("_v.title") != "", F.col("_v")).otherwise(dated_title(F.col("sentence")))).drop("_v")
+    s = markup.sentences(records).where(marked(F.col("sentence")))
+    titled = lambda v: F.when(v["title"] != "", v).otherwise(dated_title(F.col("sentence")))
+    s = X.held(s, "_t", X.once(sentence_title(F.col("sentence")), titled))
     # The whole span before the verb is the subject, and is masked as such; the title is what is left of it.
-    s = s.withColumns({"_span": F.col("_t.title"), "title": subject_of(F.col("_t.title")), "year": F.col("_t.year")}).drop("_t")
+    s = X.held(s, "title", subject_of(F.col("_t.title"))).withColumns({"_span": F.col("_t.title"), "year": F.col("_t.year")}).drop("_t")
     good = s.where((F.col("title") != "") & looks_like_title(F.col("title")) & direct(F.col("sentence"), F.col("_span"), rules)).drop("_span")
     return good.withColumns({"year": F.when(F.col("year") == "", X.UNKNOWN).otherwise(F.col("year")), "quote": F.substring("sentence", 1, QUOTE_CHARS), "evidence_type": F.lit("sentence")}).drop("sentence")
 
@@ -273,9 +274,11 @@ def table_evidence(rows: DataFrame, rules: R.EvidenceRules = R.DEFAULT) -> DataF
     first = lambda pattern, wanted: F.array_position(F.transform("headers", lambda h: F.rlike(h, F.lit(pattern)) == F.lit(wanted)), True)
     index = F.when(F.col("headers").isNull(), 1).when(first(TITLE_HEADER, True) > 0, first(TITLE_HEADER, True)).when(first(OTHER_HEADER, False) > 0, first(OTHER_HEADER, False)).otherwise(1)
     keys = [c for c in rows.columns if c not in ("cells", "headers")]
-    r = rows.withColumn("ti", index.cast("int")).withColumn("cell", F.coalesce(F.get("cells", F.col("ti") - 1), F.lit("")))
     dated = rf"^(.+?)\s*\(({X.YEAR})\)$"
-    r = r.withColumns({"title": F.when(F.rlike("cell", F.lit(dated)), F.regexp_extract("cell", dated, 1)).otherwise(F.col("cell")), "year": F.when(F.rlike("cell", F.lit(dated)), F.regexp_extract("cell", dated, 2)).otherwise(F.lit(X.UNKNOWN))})
+    split = lambda cell: F.struct(cell.alias("cell"), F.when(F.rlike(cell, F.lit(dated)), F.regexp_extract(cell, dated, 1)).otherwise(cell).alias("title"), F.when(F.rlike(cell, F.lit(dated)), F.regexp_extract(cell, dated, 2)).otherwise(F.lit(X.UNKNOWN)).alias("year"))
+    r = X.held(rows, "ti", index.cast("int"))
+    r = X.held(r, "_s", X.once(F.coalesce(F.get("cells", F.col("ti") - 1), F.lit("")), split))
+    r = r.withColumns({c: F.col("_s")[c] for c in ("cell", "title", "year")}).drop("_s")
     r = r.where((F.col("title") != "") & looks_like_title(F.col("title")))
     placed = F.transform("cells", lambda c, i: F.struct(c.alias("c"), i.alias("i"), F.coalesce(F.get("headers", i), F.lit("status")).alias("h")))
     others = F.filter(placed, lambda p: p["i"] != F.col("ti") - 1)

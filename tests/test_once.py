@@ -8,7 +8,7 @@ from catalogspark.operators import evidence
 from catalogspark.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-DEALT = "rejection_counts ground_years".split()
+DEALT = "rejection_counts ground_years sentence_grid sentence_evidence".split()
 
 
 def optimized(df):
@@ -27,6 +27,11 @@ def test_a_filter_on_the_reason_computes_nothing_again(spark):
     assert {r.reason: r.n for r in counts.collect()} == {"evidence-not-found": 2}
 
 
+@pytest.mark.parametrize("name", ["sentence_grid", "sentence_evidence"])
+def test_a_sentence_is_read_once(spark, name):
+    assert optimized(QUERIES[name](spark, DATA)).count("confirmed\\s+to\\s+be") == 1
+
+
 @pytest.mark.parametrize("name", DEALT)
 def test_rows_are_dealt_before_they_are_read(spark, name):
     plan = optimized(QUERIES[name](spark, DATA))
