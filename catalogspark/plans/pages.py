@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from catalogspark.operators import markup
 from catalogspark.plans.adapters import read, view
 from catalogspark.plans.registry import query
+from catalogspark.session import spread
 from catalogspark.sources import lists
 
 
 def _part(spark, sf_dir, sql):
-    return spark.sql(sql.replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    return spark.sql(sql.replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
 
 
 @query("SELECT page_id AS line_no, url, regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', '') AS source_key FROM (SELECT *, row_number() OVER (PARTITION BY regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', '') ORDER BY page_id) AS rn FROM pages WHERE page_id % 10 <> 3) WHERE rn = 1")
