@@ -74,9 +74,10 @@ def table_rows(pages: DataFrame) -> DataFrame:
     Tables count in the order they open. A table's rows include those of tables
     inside it, which are tables of their own as well.
     """
-    rows = pages.select("page_id", F.explode(T.rows("html")).alias("r"))
     clean = lambda cells: F.transform(cells, text_of)
-    return rows.select("page_id", "r.table_no", "r.row_no", clean(F.col("r.cells")).alias("cells"), clean(F.col("r.headers")).alias("headers"))
+    # Cleaned before rows part, so that filters on cells do not clean them once more.
+    read = F.transform(T.rows("html"), lambda r: F.struct(r["table_no"].alias("table_no"), r["row_no"].alias("row_no"), clean(r["cells"]).alias("cells"), clean(r["headers"]).alias("headers")))
+    return pages.select("page_id", F.explode(read).alias("r")).select("page_id", "r.table_no", "r.row_no", "r.cells", "r.headers")
 
 
 def source_records(texts: DataFrame) -> DataFrame:

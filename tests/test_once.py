@@ -8,7 +8,7 @@ from catalogspark.operators import evidence
 from catalogspark.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-DEALT = "rejection_counts ground_years sentence_grid sentence_evidence".split()
+DEALT = "rejection_counts ground_years sentence_grid sentence_evidence ingest_comment_lists nested_tables table_rows nested_records".split()
 
 
 def optimized(df):
@@ -32,6 +32,10 @@ def test_a_sentence_is_read_once(spark, name):
     assert optimized(QUERIES[name](spark, DATA)).count("confirmed\\s+to\\s+be") == 1
 
 
+def test_a_line_of_comments_is_cleaned_once(spark):
+    assert optimized(QUERIES["ingest_comment_lists"](spark, DATA)).count("&eacute;") == 2  # the line, and a segment's title
+
+
 @pytest.mark.parametrize("name", DEALT)
 def test_rows_are_dealt_before_they_are_read(spark, name):
     plan = optimized(QUERIES[name](spark, DATA))
