@@ -45,14 +45,17 @@ def _text(v: Column, path: str) -> Column:
 
 def candidates(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (resp_id, source_url, payload): candidates (resp_id, pos, title, year, source_url, evidence), and (resp_id, valid)."""
-    items = _items(_variant(F.col("payload")), ("items",))
-    r = responses.select("resp_id", "source_url", items.alias("items")).withColumn("fits", F.coalesce(F.size("items") <= MAX_CANDIDATES, F.lit(False)))
+    # Each response is parsed once, and each candidate read once, whatever is asked of them.
+    parsed = X.held(responses.select("resp_id", "source_url", "payload"), "v", _variant(F.col("payload")))
+    r = X.held(parsed, "items", _items(F.col("v"), ("items",))).select("resp_id", "source_url", "items").withColumn("fits", F.coalesce(F.size("items") <= MAX_CANDIDATES, F.lit(False)))
     each = r.where("fits").select("resp_id", "source_url", F.posexplode("items").alias("pos", "v"))
     year_node = F.try_variant_get("v", "$.year", "variant")
     year = F.when(year_node.isNull(), F.lit(X.UNKNOWN)).when(_kind(year_node).isin("BIGINT", "TINYINT", "SMALLINT", "INT"), F.try_variant_get("v", "$.year", "string")).otherwise(_text(F.col("v"), "$.year"))
     evidence_node = F.try_variant_get("v", "$.evidence", "variant")
     evidence = F.when(evidence_node.isNull(), F.lit("")).otherwise(_text(F.col("v"), "$.evidence"))
-    each = each.withColumns({"title": X.clean_title(_text(F.col("v"), "$.title")), "year": F.trim(year), "evidence": F.trim(evidence)})
+    read = F.struct(X.clean_title(_text(F.col("v"), "$.title")).alias("title"), F.trim(year).alias("year"), F.trim(evidence).alias("evidence"))
+    each = X.held(each, "_r", read)
+    each = each.withColumns({c: F.col("_r")[c] for c in ("title", "year", "evidence")})
     good = each.where((F.col("title") != "") & F.col("year").isNotNull() & F.col("evidence").isNotNull())
     good = good.select("resp_id", "pos", "title", F.coalesce(F.nullif("year", F.lit("")), F.lit(X.UNKNOWN)).alias("year"), "source_url", "evidence")
     n = good.groupBy("resp_id").agg(F.count(F.lit(1)).alias("n"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalogspark.functions import text as X
 from catalogspark.operators import compare, evidence, payload
 from catalogspark.operators.merge import dedupe_merge
+from catalogspark.session import stored
 
 AI_TYPE, AI_LABEL, LEGACY = "ai-extracted", "codex-ai", "legacy-ai-text"
 #: A label in running text: a name that begins with a letter or digit, and a year.
@@ -120,7 +121,8 @@ def extract_batch(responses: DataFrame, pages: DataFrame, now: Column) -> tuple[
     found, valid = payload.candidates(responses)
     if not valid.where("not valid").isEmpty():
         raise ValueError("a response is not a list of candidates")
-    grounded = evidence.ground(found.withColumn("seq", F.col("resp_id") * payload.MAX_CANDIDATES + F.col("pos")).drop("resp_id", "pos"), pages)
+    # Stored, since both results read it.
+    grounded = stored(evidence.ground(found.withColumn("seq", F.col("resp_id") * payload.MAX_CANDIDATES + F.col("pos")).drop("resp_id", "pos"), pages))
     good = grounded.where("reason is null and title != '' and evidence != ''").drop("reason")
     rows = from_candidates(good, now)
     keyed = rows.withColumns({"title_key": X.title_key(F.col("movie_title")), "_year": X.year_of(F.col("release_date"))})

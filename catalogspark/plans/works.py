@@ -10,6 +10,7 @@ from catalogspark.operators import works as W
 from catalogspark.plans import build
 from catalogspark.plans.adapters import read, view
 from catalogspark.plans.registry import query
+from catalogspark.session import spread
 from catalogspark.sources import lists, routes
 
 G = "CAST(floor(p_partkey / 4) AS BIGINT)"
@@ -34,7 +35,7 @@ FROM part"""
 
 
 def _sql_rows(spark, sf_dir, sql):
-    return spark.sql(sql.replace("FROM part", "FROM {part}"), part=read(spark, sf_dir, "part"))
+    return spark.sql(sql.replace("FROM part", "FROM {part}"), part=spread(read(spark, sf_dir, "part")))
 
 
 @query(
@@ -122,7 +123,7 @@ SELECT listing, count(*) AS n FROM (SELECT p_partkey % 3 AS k, p_partkey AS id F
 )
 def comparison_outputs(spark, sf_dir):
     """A third of the titles on both sides, a third on each alone."""
-    rows = read(spark, sf_dir, "part").selectExpr("p_partkey AS seq", "md5(CAST(p_partkey AS STRING)) AS title", "'2001' AS year", "'http://x.example' AS source_url", "'q' AS evidence", "'t' AS extraction_method")
+    rows = spread(read(spark, sf_dir, "part")).selectExpr("p_partkey AS seq", "md5(CAST(p_partkey AS STRING)) AS title", "'2001' AS year", "'http://x.example' AS source_url", "'q' AS evidence", "'t' AS extraction_method")
     _, listings, _ = records.comparison_outputs(rows.where("seq % 3 in (0, 1)"), rows.where("seq % 3 in (0, 2)"))
     return listings.groupBy("listing").agg(F.count(F.lit(1)).alias("n"))
 
@@ -142,7 +143,7 @@ def attach_legacy_sources(spark, sf_dir):
 @query("SELECT p_partkey % 3 AS kind, count(*) AS n, count(*) FILTER (p_partkey % 3 <> 1) AS passed FROM part GROUP BY 1")
 def evaluate_golden(spark, sf_dir):
     """Golden pages: a table row that counts, one whose evidence names another title, a sentence."""
-    part = read(spark, sf_dir, "part")
+    part = spread(read(spark, sf_dir, "part"))
     title = "upper(substr(p_name, 1, 1)) || substr(p_name, 2)"
     pages = part.selectExpr(
         "p_partkey AS page_id",
