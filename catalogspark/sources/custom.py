@@ -16,8 +16,9 @@ PageReader = Callable[[str], Iterator[tuple[str, str, str]]]
 def as_extractor(read: PageReader, kind: str) -> Callable[[DataFrame], DataFrame]:
     """A plain function of one page's text as an extractor for `route_sources`.
 
-    It runs as an Arrow table function over the pages, partitioned by page, so Spark
-    spreads the pages and a page's candidates keep their places. The function must
+    It runs as a table function over the pages, partitioned by page, so Spark spreads
+    the pages and a page's candidates keep their places. Each call makes a few rows,
+    which as an Arrow batch a call would cost more than the reading. The function must
     be importable on the executors, or picklable.
     """
 
@@ -29,7 +30,7 @@ def as_extractor(read: PageReader, kind: str) -> Callable[[DataFrame], DataFrame
     def extract(pages: DataFrame) -> DataFrame:
         spark = pages.sparkSession
         name = f"pages_{re.sub('[^a-z0-9]', '_', kind.lower())}"
-        spark.udtf.register(name, udtf(Pages, returnType=RETURNS, useArrow=True))
+        spark.udtf.register(name, udtf(Pages, returnType=RETURNS, useArrow=False))
         return spark.sql(f"SELECT * FROM {name}(TABLE(SELECT page_id, html FROM {{pages}}) PARTITION BY page_id)", pages=pages.select("page_id", "html"))
 
     return extract

@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType
 from catalogspark.functions import text as X
 from catalogspark.functions import urls as U
 from catalogspark.operators import evidence, markup
+from catalogspark.session import stored
 from catalogspark.sources import lists
 
 FIELDS = ("page_id", "place", "title", "year", "quote", "evidence_type")
@@ -20,8 +21,7 @@ Extractor = Callable[[DataFrame], DataFrame]
 def with_route(pages: DataFrame, registry: DataFrame) -> DataFrame:
     """pages (page_id, url, html) of the registry (url, strictness), with `route`. Pages meet their source by its key."""
     r = registry.select(U.source_key(F.col("url")).alias("k"), (F.col("strictness") == "always-fel").alias("trusted")).groupBy("k").agg(F.bool_or("trusted").alias("trusted"))
-    host = U.host(F.col("url"))
-    on = lambda name: F.contains(host, F.lit(name))
+    on = lambda name: F.contains("host", F.lit(name))
     route = (
         F.when(on("docs.google.com"), F.when(F.col("trusted"), "trusted-sheet").otherwise("sheet"))
         .when(on("reddit.com"), "comments")
@@ -30,7 +30,8 @@ def with_route(pages: DataFrame, registry: DataFrame) -> DataFrame:
         .when(F.col("trusted") & on("letterboxd.com"), "items")
         .otherwise("evidence")
     )
-    return pages.withColumn("k", U.source_key(F.col("url"))).join(r, "k").withColumn("route", route).drop("k", "trusted")
+    keyed = X.held(pages, "k", U.source_key(F.col("url")))
+    return X.held(keyed.join(r, "k"), "host", U.host(F.col("url"))).withColumn("route", route).drop("k", "trusted", "host")
 
 
 def _fields(df: DataFrame, *place: str, quote=None, kind: str | None = None, part: int = 0) -> DataFrame:
@@ -86,8 +87,11 @@ EXTRACTORS: dict[str, Extractor] = {
 
 
 def route_sources(pages: DataFrame, registry: DataFrame, extractors: dict[str, Extractor] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(candidates, errors) of all registered pages. A page without markup is an error row and stops nothing."""
-    routed = with_route(pages, registry)
+    """(candidates, errors) of all registered pages. A page without markup is an error row and stops nothing.
+
+    Pages meet their sources once and are stored by route, so that an extractor reads its own pages.
+    """
+    routed = stored(with_route(pages, registry).sortWithinPartitions("route"))
     errors = routed.where("html is null").select("page_id", "route", F.lit("no content").alias("error"))
     good = routed.where("html is not null")
     out = None

@@ -8,7 +8,7 @@ from catalogspark.operators import evidence
 from catalogspark.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-DEALT = "rejection_counts ground_years sentence_grid sentence_evidence ingest_comment_lists nested_tables table_rows nested_records".split()
+DEALT = "rejection_counts ground_years sentence_grid sentence_evidence ingest_comment_lists nested_tables table_rows nested_records evaluate_golden".split()
 
 
 def optimized(df):
@@ -49,3 +49,19 @@ def test_entities_and_marks_as_before(spark):
     titles = {"101 Dalmatians x": "101 Dalmatians x", "101 ALIENS": "ALIENS", "127 hours": "127 hours", "300 RISE of": "300 RISE of", "300 Rose": "Rose", None: None}
     df = spark.createDataFrame([(i, k) for i, k in enumerate(titles)], "i int, c string").select("i", X.clean_title(F.col("c")).alias("o"))
     assert [r.o for r in df.orderBy("i").collect()] == list(titles.values())
+
+
+def test_pages_meet_their_sources_once(spark):
+    from catalogspark.sources import routes
+
+    pages = spark.createDataFrame([(1, "https://www.reddit.com/r/x/comments/k1/t", "<p>x</p>"), (2, "https://other.example/2", None)], "page_id long, url string, html string")
+    found, errors = routes.route_sources(pages, pages.selectExpr("url", "'' AS strictness"))
+    assert "Join" not in optimized(found) and [r.page_id for r in errors.collect()] == [2] and found.collect() == []
+
+
+def test_a_custom_extractor_makes_rows_not_a_batch_a_page(spark):
+    from catalogspark.sources import custom
+
+    pages = spark.createDataFrame([(1, "A :: 2001")], "page_id long, html string")
+    plan = custom.as_extractor(custom.colon_lines, "own")(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPythonUDTF" in plan and "ArrowEvalPythonUDTF" not in plan
