@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalogspark.operators import compare, publish, reconcile as R, records
 from catalogspark.plans.adapters import read, view
 from catalogspark.plans.registry import query
-from catalogspark.session import shared_folder
+from catalogspark.session import shared_folder, spread
 from catalogspark.sources import custom, lists, routes
 from catalogspark.streaming import refresh
 
@@ -20,7 +20,7 @@ def _folder(spark) -> str:
 
 def _films(spark, sf_dir):
     """Rows 0 and 1 of four are known, 2 is new, 3 names the film of 0 again with another spelling, an outside id and a full date."""
-    part = read(spark, sf_dir, "part")
+    part = spread(read(spark, sf_dir, "part"))
     rows = part.selectExpr(
         "p_partkey AS seq", "CASE WHEN p_partkey % 4 = 3 THEN 'The, Film No ' || (p_partkey - 3) || '!' ELSE 'the film no ' || p_partkey END AS movie_title",
         "CASE WHEN p_partkey % 4 = 3 THEN '2001-02-03' ELSE '2001' END AS release_date", "p_brand AS studio", "'' AS tmdb_id", "'movie' AS media_type", "CASE WHEN p_partkey % 4 = 3 THEN 'tt' || p_partkey ELSE '' END AS imdb_id", "'' AS bluray_url",
@@ -85,7 +85,7 @@ def stream_reconcile(spark, sf_dir):
 @query("SELECT p_partkey AS page_id, 'own' AS evidence_type, p_name AS title, CASE WHEN p_partkey % 3 = 0 THEN 'Unknown' ELSE CAST(1970 + p_size AS STRING) END AS year FROM part UNION ALL SELECT p_partkey, 'own', p_brand || ' again', '1999' FROM part WHERE p_partkey % 5 = 0")
 def custom_extractor(spark, sf_dir):
     """Pages of a form that no built-in route reads, by a user's table function in the place of one."""
-    pages = read(spark, sf_dir, "part").selectExpr("p_partkey AS page_id", "'https://own.example/' || p_partkey AS url", "'<p>' || p_name || ' ::' || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ' ' || (1970 + p_size) END || '</p><p>no mark</p>' || CASE WHEN p_partkey % 5 = 0 THEN '<b>' || p_brand || ' again :: 1999</b>' ELSE '' END AS html")
+    pages = spread(read(spark, sf_dir, "part")).selectExpr("p_partkey AS page_id", "'https://own.example/' || p_partkey AS url", "'<p>' || p_name || ' ::' || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ' ' || (1970 + p_size) END || '</p><p>no mark</p>' || CASE WHEN p_partkey % 5 = 0 THEN '<b>' || p_brand || ' again :: 1999</b>' ELSE '' END AS html")
     found, _ = routes.route_sources(pages, pages.select("url", F.lit("").alias("strictness")), {"evidence": custom.as_extractor(custom.colon_lines, "own")})
     return found.select("page_id", "evidence_type", "title", "year")
 
