@@ -16,6 +16,11 @@ def label_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("mk", X.match_key(F.col("title"))).withColumn("label", F.concat("mk", F.lit(" ("), "year", F.lit(")")))
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """The side of a join that grows with the input: it is dealt by its key, never broadcast."""
+    return df.hint("merge")
+
+
 def percent_of(shared: Column, most: Column) -> Column:
     return F.bround(100 * shared / most).cast("int")
 
@@ -23,7 +28,7 @@ def percent_of(shared: Column, most: Column) -> Column:
 def _ranked(titles: DataFrame, order: DataFrame) -> DataFrame:
     """(mk, size, words): the words of each title that the other side has, rarest first; size counts all words."""
     words = titles.select("mk", F.size("t").alias("size"), F.explode("t").alias("w"))
-    found = words.join(order, "w").groupBy("mk", "size").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
+    found = words.join(_dealt(order), "w").groupBy("mk", "size").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
     return found.select("mk", "size", F.transform("o", lambda x: x["w"]).alias("words"))
 
 
@@ -44,20 +49,20 @@ def best_overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
     held = stored(words.groupBy("w").agg(F.count(F.lit(1)).alias("df"), F.min("size").alias("least")))
     order = held.select("w", "df")
     x, y = stored(_ranked(left, order)), stored(_ranked(right, order))
-    floors = x.select("mk", "size", F.explode("words").alias("w")).join(held, "w").groupBy("mk").agg(F.max(percent_of(F.lit(1), F.greatest("size", "least"))).alias("best"))
+    floors = x.select("mk", "size", F.explode("words").alias("w")).join(_dealt(held), "w").groupBy("mk").agg(F.max(percent_of(F.lit(1), F.greatest("size", "least"))).alias("best"))
     best = stored(floors)
     at_left = x.select("mk", F.col("size").alias("n"), F.posexplode("words").alias("i", "w"), F.col("words").alias("a"))
     at_right = y.select(F.col("size").alias("m"), F.posexplode("words").alias("j", "w"), F.col("words").alias("b"))
     longest = x.agg(F.max(F.size("words"))).first()[0] or 0
     done, upto = 0, 1
     while done < longest - 1:
-        open_ = at_left.where((F.col("i") >= done) & (F.col("i") < upto)).join(best, "mk")
+        open_ = at_left.where((F.col("i") >= done) & (F.col("i") < upto)).join(_dealt(best), "mk")
         # The bound by the left side alone keeps settled titles from the exchange.
         open_ = open_.where((F.size("a") - F.col("i") > 1) & (percent_of(F.size("a") - F.col("i"), F.col("n")) > F.col("best")))
         bound = percent_of(F.least(F.size("a") - F.col("i"), F.size("b") - F.col("j")), F.greatest("n", "m"))
-        met = open_.join(at_right, "w").where(bound > F.col("best"))
+        met = open_.join(_dealt(at_right), "w").where(bound > F.col("best"))
         better = met.groupBy("mk").agg(F.max(percent_of(F.size(F.array_intersect("a", "b")), F.greatest("n", "m"))).alias("more"))
-        now = stored(best.join(better, "mk", "left").select("mk", F.greatest("best", "more").alias("best")))
+        now = stored(best.join(_dealt(better), "mk", "left").select("mk", F.greatest("best", "more").alias("best")))
         release(best)
         best, done, upto = now, upto, 2 * upto
     release(held, x, y)
@@ -66,22 +71,34 @@ def best_overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def best_match(a: DataFrame, b: DataFrame) -> DataFrame:
     """(seq, match_percent): 100 for an equal label in b, else the best rounded token overlap; 0 where no token is shared."""
-    x, y = label_key(a), label_key(b)
-    exact = x.join(y.select("label").distinct(), "label", "left_semi").select("seq", F.lit(100).alias("match_percent"))
+    return matched(label_key(a), label_key(b)).select("seq", "match_percent")
+
+
+def matched(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Rows with their label and key, each with its match_percent among those of y. A row meets the labels and the titles of y once each, and not itself.
+
+    No side of these joins is small, so none is sent to the driver to be broadcast, however small an estimate has it.
+    """
+    exact = x.join(_dealt(y.select("label").distinct().withColumn("_same", F.lit(100))), "label", "left")
     # Equal titles are compared once, and one that stands on both sides is settled by that.
     titles = lambda df: df.groupBy("mk").agg(F.first(X.tokens(F.col("mk"))).alias("t"))
     left, right = titles(x), titles(y)
     some = F.size("t") > 0
-    same = left.where(some).join(right.select("mk"), "mk", "left_semi").select("mk", F.lit(100).alias("best"))
-    other = best_overlaps(left.where(some).join(right.select("mk"), "mk", "left_anti"), right.where(some))
-    out = x.join(exact, "seq", "left").join(same.unionByName(other), "mk", "left")
-    return out.select("seq", F.coalesce("match_percent", "best", F.lit(0)).alias("match_percent"))
+    same = left.where(some).join(_dealt(right.select("mk")), "mk", "left_semi").select("mk", F.lit(100).alias("best"))
+    other = best_overlaps(left.where(some).join(_dealt(right.select("mk")), "mk", "left_anti"), right.where(some))
+    out = exact.join(_dealt(same.unionByName(other)), "mk", "left")
+    return out.select(*x.columns, F.coalesce("_same", "best", F.lit(0)).alias("match_percent"))
 
 
 def set_compare(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: distinct labels of each side, shared and on one side only."""
-    one = lambda df, name: label_key(df).select("label").distinct().withColumn(name, F.lit(1))
-    both = one(a, "a").join(one(b, "b"), "label", "full")
+    return labels_compared(label_key(a), label_key(b))
+
+
+def labels_compared(x: DataFrame, y: DataFrame) -> DataFrame:
+    """The same of rows that have their labels."""
+    one = lambda df, name: df.select("label").distinct().withColumn(name, F.lit(1))
+    both = one(x, "a").join(one(y, "b"), "label", "full")
     n = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0))
     return both.agg(n(F.col("a") == 1).alias("n_a"), n(F.col("b") == 1).alias("n_b"), n((F.col("a") == 1) & (F.col("b") == 1)).alias("n_both"), n(F.col("b").isNull()).alias("only_a"), n(F.col("a").isNull()).alias("only_b"))
 

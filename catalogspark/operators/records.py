@@ -37,18 +37,20 @@ def evidence_urls(source_url: Column, more: Column) -> Column:
 
 def comparison_outputs(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, listings, summary) of two candidate tables: every row with its best match on the other side; the five label lists; counts."""
+    # Keys are made once a row and stored, since each side is read from both ends.
+    x, y = stored(compare.label_key(a)), stored(compare.label_key(b))
+
     def one(x: DataFrame, y: DataFrame, side: str) -> DataFrame:
-        label = F.concat("title", F.lit(" ("), "year", F.lit(")"))
-        return x.join(compare.best_match(x, y), "seq").withColumn("label", label).withColumn("side", F.lit(side))
+        return compare.matched(x, y).drop("mk").withColumn("label", F.concat("title", F.lit(" ("), "year", F.lit(")"))).withColumn("side", F.lit(side))
 
-    rows = one(a, b, "a").unionByName(one(b, a, "b"))
+    rows = one(x, y, "a").unionByName(one(y, x, "b"))
     line = F.concat("label", F.lit(" | match="), F.col("match_percent").cast("string"), F.lit("% | source="), "source_url")
     lists = F.array(
         F.concat("side", F.lit("_found")),
         F.when(F.col("match_percent") != 100, F.concat("side", F.lit("_only"))).when(F.col("side") == "a", F.lit("overlap")),
     )
     listings = rows.select(F.explode(F.array_compact(lists)).alias("listing"), "side", "seq", line.alias("line"))
-    return rows, listings, compare.set_compare(a, b)
+    return rows, listings, compare.labels_compared(x, y)
 
 
 def write_comparison(a: DataFrame, b: DataFrame, folder: str) -> None:
