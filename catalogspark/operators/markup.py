@@ -39,6 +39,10 @@ def text_of(piece: Column) -> Column:
 
 def outside_tables(html: Column) -> Column:
     """Markup without its tables, nested ones included; a table that is never ended ends with the page, an end without a table is nothing."""
+    return X.once(html, lambda h: F.when(F.rlike(h, F.lit("(?i)</?table")), _outside(h)).otherwise(h))
+
+
+def _outside(html: Column) -> Column:
     parts = F.split(html, r"(?is)(?=<table\b)|(?<=</table\s{0,9}>)")
     none = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
 
@@ -77,7 +81,8 @@ def table_rows(pages: DataFrame) -> DataFrame:
     clean = lambda cells: F.transform(cells, text_of)
     # Cleaned before rows part, so that filters on cells do not clean them once more.
     read = F.transform(T.rows("html"), lambda r: F.struct(r["table_no"].alias("table_no"), r["row_no"].alias("row_no"), clean(r["cells"]).alias("cells"), clean(r["headers"]).alias("headers")))
-    return pages.select("page_id", F.explode(read).alias("r")).select("page_id", "r.table_no", "r.row_no", "r.cells", "r.headers")
+    some = pages.where(F.rlike("html", F.lit("(?i)<table")))  # others have no row, and need no walk
+    return some.select("page_id", F.explode(read).alias("r")).select("page_id", "r.table_no", "r.row_no", "r.cells", "r.headers")
 
 
 def source_records(texts: DataFrame) -> DataFrame:
